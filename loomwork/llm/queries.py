@@ -4,15 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, radix, simhash
+from . import cdc, htmlmain, langid, licences, mixing, packing, pii, quality, radix, simhash
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(read_table(spark, sf_dir, "documents").select("doc_id", "text"), read_table(spark, sf_dir, "labels").select("doc_id", "quality"))
+
+
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict_languages(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(read_table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
@@ -23,15 +32,31 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(read_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("redacted_text")
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op7_chunking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cdc.fingerprint_documents(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmlmain.extract_main_text(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op9_radix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return radix.exact_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES: dict[str, Query] = {
-    "op3_mixing": op3_mixing,
-    "op4_simhash": op4_simhash,
-    "op9_radix": op9_radix,
-}
+def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_licences(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality, op2_langid, op3_mixing, op4_simhash, op5_pii, op6_packing, op7_chunking, op8_html, op9_radix, op10_licences)}
 
 ORACLE_SQL: dict[str, str] = {
     "op3_mixing": r"""

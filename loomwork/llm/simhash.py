@@ -56,11 +56,12 @@ def for_similarity(similarity: float, words: int = 5, bits: int = 2048, segments
     """Sets of shingles with a Jaccard similarity s have a cosine of 2s / (1 + s); bits differ with probability angle / pi.
 
     A pair at similarity 0.8 differs in 15 % of the bits; it meets in a segment of 21 bits with probability
-    0.155, in one of 24 with 0.98, and passes 19 of 64 bits with 0.9995; 2048 bits tell the similarity to
-    about 0.02.
+    0.155, in one of 24 with 0.98, and passes 20 of 64 bits with 0.9995. The bits tell the similarity to about
+    0.015 (one standard deviation); the largest distance allows for one, so that few pairs at the similarity
+    itself are missed.
     """
     p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return Plan(words, bits, tuple((i * width, width) for i in range(segments)), round(bits * p), math.ceil(64 * p + 3.2 * math.sqrt(64 * p * (1 - p))), True)
+    return Plan(words, bits, tuple((i * width, width) for i in range(segments)), round(bits * p + math.sqrt(bits * p * (1 - p))), math.ceil(64 * p + 3.2 * math.sqrt(64 * p * (1 - p))), True)
 
 
 def _bit_sums(h: np.ndarray, bits: int) -> np.ndarray:
