@@ -1,10 +1,8 @@
-"""Queries over the driver's tables, by operator id, and the SQL that gives the same rows."""
+"""All queries over the driver's tables, and the SQL that gives the same rows."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from . import view_queries
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {**view_queries.QUERIES}
+ORACLE_SQL = {**view_queries.ORACLE_SQL}
