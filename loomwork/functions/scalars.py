@@ -163,7 +163,8 @@ def money_in(text: Column) -> Column:
 def detect_lang(text: Column, default: str = "en") -> Column:
     """The language whose marker words are the most; a tie or none gives the default."""
     words = F.regexp_extract_all(F.lower(text), F.lit(r"(?U)([\p{L}]+)"), 1)
-    n = {k: F.coalesce(F.size(F.filter(words, lambda w, v=v: w.isin(*v))), F.lit(0)) for k, v in MARKERS.items()}
+    among = lambda v: lambda w: w.isin(*v)
+    n = {k: F.coalesce(F.size(F.filter(words, among(v))), F.lit(0)) for k, v in MARKERS.items()}
     return reduce(lambda c, k: c.when(reduce(lambda a, b: a & b, [n[k] > n[o] for o in n if o != k]), F.lit(k)), list(MARKERS)[1:], F.when(F.lit(False), F.lit(""))).otherwise(F.lit(default))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import view_queries
+from . import core_queries
 
-QUERIES = {**view_queries.QUERIES}
-ORACLE_SQL = {**view_queries.ORACLE_SQL}
+QUERIES = {**core_queries.QUERIES}
+ORACLE_SQL = {**core_queries.ORACLE_SQL}
