@@ -14,11 +14,14 @@ counted within a range, so a length that a third of the pieces have is no hot ta
 
 from __future__ import annotations
 
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,31 +34,69 @@ EOT = 1
 #: Sizes that large lengths are rounded to, and the share of the capacity above which a length is large.
 GROUPS = 40
 LARGE = 1 / 8
+assert sys.byteorder == "little" and array("I").itemsize == 4  # the ids' bytes are those of the machine
 #: Distinct words whose ids a worker keeps; beyond it starts anew.
 WORDS_KEPT = 400_000
 RANGE_ROWS = 50_000
 
 
-class WordIds(dict):
-    """The ids of a white-space separated piece of text as little-endian uint32 bytes, worked out once.
+class WordIds:
+    """Ids of whole texts as little-endian uint32 bytes.
 
-    The tokenizer drops white space and no token spans it, so a text's ids are those of its pieces in order.
+    The tokenizer drops white space and no token spans it, so a text's ids are those of its white-space
+    separated words in order, and a word's ids those of its runs of letters, digits and other marks, which the
+    tokenizer's model merges. Both are kept once worked out. Words outside the Latin blocks, or with what may
+    be a special token or is not printable, are encoded as they are.
     """
 
+    RUNS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+
     def __init__(self, path: str):
-        super().__init__()
-        self.encode = Tokenizer.from_file(path).encode
-
-    def __missing__(self, piece: bytes) -> bytes:
-        ids = np.array(self.encode(piece.decode("utf-8"), add_special_tokens=False).ids, dtype="<u4").tobytes()
-        if len(piece) <= 64:
-            if len(self) >= WORDS_KEPT:
-                self.clear()
-            self[piece] = ids
+        tokenizer = Tokenizer.from_file(path)
+        self.encode, self.merge = tokenizer.encode, tokenizer.model.tokenize
+        self.words: dict[bytes, bytes] = {}
+        self.runs: dict[str, bytes] = {}
+        # The model's bytes as characters: printable Latin-1 ones stand for themselves, the rest from U+0100 on.
+        own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [b for b in range(256) if b not in own]
+        self.chars = {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+    def _run(self, run: str) -> bytes:
+        text = run if run.isascii() else "".join(map(self.chars.__getitem__, run.encode()))
+        ids = self.runs[run] = array("I", [t.id for t in self.merge(text)]).tobytes()
         return ids
 
-    def of(self, text: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, text.split()))
+    def _add(self, new: set[bytes]) -> None:
+        if len(self.runs) > WORDS_KEPT:
+            self.runs.clear()
+        get, run, words = self.runs.get, self._run, self.words
+        for word in new:
+            text = word.decode("utf-8")
+            if not text.isprintable() or not (text.isascii() or max(text) < "\u0250") or "<|" in text:
+                words[word] = array("I", self.encode(text, add_special_tokens=False).ids).tobytes()
+                continue
+            low = text.lower()
+            if low.isalpha():
+                words[word] = get(low) or run(low)
+            elif low[-1] in ".,;:!?" and low[:-1].isalpha():
+                words[word] = (get(low[:-1]) or run(low[:-1])) + (get(low[-1]) or run(low[-1]))
+            else:
+                words[word] = b"".join([get(r) or run(r) for r in self.RUNS.findall(low)])
+
+    def batch(self, texts: list[bytes]) -> Iterator[bytes]:
+        """The ids of each text."""
+        for at in range(0, len(texts), 64):
+            words = [t.split() for t in texts[at : at + 64]]
+            wanted = set().union(*words)
+            new = wanted.difference(self.words)
+            if len(self.words) + len(new) > WORDS_KEPT:
+                self.words.clear()
+                new = wanted
+            if new:
+                self._add(new)
+            get = self.words.__getitem__
+            for w in words:
+                yield b"".join(map(get, w))
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = EOT, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
@@ -69,8 +110,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
         words = WordIds(tokenizer_path)
         for b in batches:
             at, piece, start, length, crc = [], [], [], [], []
-            for i, text in enumerate(bytes_of(b, "text")):
-                ids = words.of(text) + end
+            for i, ids in enumerate(words.batch(bytes_of(b, "text"))):
+                ids += end
                 for k in range(0, len(ids), 4 * capacity):
                     part = ids[k : k + 4 * capacity]
                     at.append(i)
