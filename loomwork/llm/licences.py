@@ -10,6 +10,7 @@ mandatory phrases. Nothing is exploded or grouped by document, so rows never mee
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import reduce
 
@@ -101,8 +102,6 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     seen = index.where(F.size("hits") > 0).select(F.explode(F.array_distinct(F.transform("hits", lambda h: h["w"]))).alias("w")).groupBy("w").agg(F.count("*").alias("n")).collect()  # a row for each word of the vocabulary
     df = {r["w"]: r["n"] for r in seen}
     idf = {w: 1.0 / (1 + df.get(w, 0)) for w in vocabulary}
-    import math
-
     n = index.count()
     weight = {p: sum(math.log((1 + n) / (1 + df.get(w, 0))) + 1 for w in p.split()) for p in phrases}
     at = {p: f"p{k}" for k, p in enumerate(phrases)}
@@ -127,5 +126,33 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.array_max(base).cast("bigint").alias("last_word"),
         joined(based).alias("base_labels"),
         joined(based + own_labels).alias("labels"),
-        F.least(F.coalesce(F.greatest(*scores), F.lit(0.0)), F.lit(1.0)).alias("score"),
+        F.round(F.least(F.coalesce(F.greatest(*scores), F.lit(0.0)), F.lit(1.0)), 9).alias("score"),
     )
+
+
+def oracle_sql(templates: tuple[Template, ...] = TEMPLATES) -> str:
+    """DuckDB SQL for the rows of scan_licences over `documents`: each word stands between bars of its own, so a phrase is a substring."""
+    quote = lambda x: "'" + x + "'"
+    needle = lambda p: quote("".join(f"|{w}|" for w in p.split()))
+    phrases = _phrases(templates)
+    vocabulary = sorted({w for p in phrases for w in p.split()})
+    stands = lambda p: f"contains(s, {needle(p)})"
+    at = lambda p: f"(length(s) - length(replace(s, {needle(p)}, ''))) // length({needle(p)})"
+    bars = lambda x: f"(length({x}) - length(replace({x}, '|', ''))) // 2"
+    first = lambda p: f"CASE WHEN {stands(p)} THEN {bars(f'substring(s, 1, instr(s, {needle(p)}) - 1)')} END"
+    last = lambda p: f"CASE WHEN {stands(p)} THEN {bars(f'substring(s, 1, length(s) - instr(reverse(s), reverse({needle(p)})) - length({needle(p)}) + 1)')} END"
+    weight = lambda p: f"(SELECT wt FROM pw WHERE p = {quote(p)})"
+    labelled = [(t.label, " AND ".join(stands(p) for p in t.mandatory), (*t.mandatory, *t.further)) for t in templates]
+    scores = [f"CASE WHEN {stands(p)} THEN 1.0 END" for p, _ in BASE] + [f"CASE WHEN {c} THEN ({' + '.join(f'CASE WHEN {stands(p)} THEN {weight(p)} ELSE 0.0 END' for p in ps)}) / ({' + '.join(map(weight, ps))}) END" for _, c, ps in labelled]
+    joined = lambda xs: "array_to_string(list_sort(list_distinct(list_filter([" + ", ".join(xs) + "], lambda x: x IS NOT NULL))), ',')"
+    base = [f"CASE WHEN {stands(p)} THEN {quote(x)} END" for p, x in BASE]
+    more = [f"CASE WHEN {c} THEN {quote(x)} END" for x, c, _ in labelled]
+    return f"""
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+d AS (SELECT x, count(*) AS df FROM (SELECT unnest(list_distinct(ws)) AS x FROM w) u WHERE x IN ({", ".join(map(quote, vocabulary))}) GROUP BY x),
+pw AS (SELECT p, sum(ln((1 + (SELECT count(*) FROM w)) / (1 + coalesce(df, 0))) + 1) AS wt FROM (SELECT p, unnest(string_split(p, ' ')) AS x FROM (SELECT unnest([{", ".join(map(quote, phrases))}]) AS p) q) r LEFT JOIN d USING (x) GROUP BY p),
+t AS (SELECT doc_id, len(ws) AS n_words, '|' || array_to_string(ws, '||') || '|' AS s FROM w)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST({" + ".join(at(p) for p, _ in BASE)} AS BIGINT) AS n_base,
+  CAST(least({", ".join(first(p) for p, _ in BASE)}) AS BIGINT) AS first_word, CAST(greatest({", ".join(last(p) for p, _ in BASE)}) AS BIGINT) AS last_word,
+  {joined(base)} AS base_labels, {joined(base + more)} AS labels, round(coalesce(greatest({", ".join(scores)}), 0.0), 9) AS score FROM t
+"""

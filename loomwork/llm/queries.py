@@ -88,6 +88,7 @@ SELECT p.doc_id, p.size, g.source_size, g.target,
        CAST(CASE WHEN g.source_size = 0 THEN 0 ELSE (g.budget // g.source_size) * p.size + greatest(0, least(p.size, g.budget % g.source_size - p.before)) END AS BIGINT) AS taken
 FROM p JOIN g ON p.source IS NOT DISTINCT FROM g.source
 """,
+    "op10_licences": licences.oracle_sql(),
     "op9_radix": """
 SELECT doc_id, max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id,
        count(*) OVER (PARTITION BY coalesce(text, '')) AS group_size,
