@@ -51,7 +51,7 @@ def superseded_versions(t):
     return L.latest_versions(v, ["project_id", "borrower_ref_norm"], "project_id", "disclosed", "plan_version")[1]
 
 
-_PLAN = "pl AS (SELECT 'P' || CAST(o_custkey % 40 AS VARCHAR) AS project_id, 'v' || CAST(o_orderkey % 3 AS VARCHAR) AS plan_version, 'R' || CAST(o_orderkey % 25 AS VARCHAR) AS borrower_ref_norm, 'd' || CAST(o_orderkey % 2 AS VARCHAR) AS description_match, o_orderkey % 7 AS amount, CAST(o_orderkey AS BIGINT) AS package_version_id FROM orders WHERE o_orderkey < 100000)"
+_PLAN = "pl AS (SELECT 'P' || CAST(o_custkey % 40 AS VARCHAR) AS project_id, 'v' || CAST(o_orderkey % 3 AS VARCHAR) AS plan_version, 'R' || CAST(o_orderkey % 25 AS VARCHAR) AS borrower_ref_norm, 'd' || CAST(o_orderkey % 2 AS VARCHAR) AS description_match, o_orderkey % 7 AS amount, CAST(o_orderkey AS BIGINT) AS package_version_id FROM orders)"
 
 
 @query(
@@ -64,7 +64,7 @@ SELECT project_id, plan_version, borrower_ref_norm, description_match, amount, p
 def package_keys(t):
     k = F.col("o_orderkey")
     s = lambda p, c: F.concat(F.lit(p), c.cast("string"))
-    plan = t["orders"].where(k < 100000).select(s("P", F.col("o_custkey") % 40).alias("project_id"), s("v", k % 3).alias("plan_version"), s("R", k % 25).alias("borrower_ref_norm"), s("d", k % 2).alias("description_match"), (k % 7).alias("amount"), k.cast("bigint").alias("package_version_id"))
+    plan = t["orders"].select(s("P", F.col("o_custkey") % 40).alias("project_id"), s("v", k % 3).alias("plan_version"), s("R", k % 25).alias("borrower_ref_norm"), s("d", k % 2).alias("description_match"), (k % 7).alias("amount"), k.cast("bigint").alias("package_version_id"))
     return L.package_keys(plan)
 
 
