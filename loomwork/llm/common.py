@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN_DIR: list[str] = []
+_MADE: list[str] = []
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,7 +42,41 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark, schema = df.sparkSession, df.schema
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    _MADE.append(path)
+    out = spark.read.schema(schema).parquet(path)
+    out._own_path = path
+    return out
+
+
+def made() -> int:
+    """How many working tables were written so far."""
+    return len(_MADE)
+
+
+def made_since(number: int) -> list[str]:
+    """The working tables written after the first `number`."""
+    return _MADE[number:]
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes working tables (of `written`) that nothing reads any more."""
+    for t in tables:
+        _delete(t.sparkSession, t._own_path)
+
+
+def release(spark: SparkSession, paths: list[str], reader: DataFrame) -> list[str]:
+    """Deletes the working tables at `paths` that `reader` does not read; returns those that stay."""
+    read = reader.inputFiles() if paths else []
+    plain = lambda x: x.removeprefix("file:").lstrip("/")
+    kept = [p for p in paths if any(plain(f).startswith(plain(p)) for f in read)]
+    for p in set(paths) - set(kept):
+        _delete(spark, p)
+    return kept
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def col(name: str) -> Column:
