@@ -239,9 +239,9 @@ def _with(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def shingles(text: Column, n: int = 6) -> Column:
-    """Distinct md5 of runs of n words of ASCII letters and digits; a shorter text is one run."""
+    """Distinct 64-bit hashes of runs of n words of ASCII letters and digits; a shorter text is one run."""
     words = F.split(F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " ")), " ")
-    return F.array_distinct(_with(words, lambda ws: F.transform(F.sequence(F.lit(1), F.greatest(F.size(ws) - n + 1, F.lit(1))), lambda i: F.md5(F.array_join(F.slice(ws, i, n), " ")))))
+    return F.array_distinct(_with(words, lambda ws: F.transform(F.sequence(F.lit(1), F.greatest(F.size(ws) - n + 1, F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice(ws, i, n), " ")))))
 
 
 def positional_shingles(text: Column, n: int = 6) -> Column:

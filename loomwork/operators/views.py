@@ -218,8 +218,9 @@ def wording_overlap(findings: DataFrame, paragraph_projects: DataFrame, s: Setti
     flat = runs.select("unit_id", "project_id", F.explode("hs").alias("h"))
     # A project counts for a run of a unit if a unit of it other than this one has the run: two distinct units settle that.
     held = flat.groupBy("h", F.col("project_id").alias("other")).agg(F.min("unit_id").alias("one"), F.max("unit_id").alias("two"))
-    many = flat.groupBy("h").agg(F.min("project_id").alias("p"), F.max("project_id").alias("q")).where("p <> q").select("h")
-    met = flat.join(many, "h", "left_semi").join(held, "h").where("other <> project_id and (one <> unit_id or two <> unit_id)")
+    shared_runs = Window.partitionBy("h")  # as many rows as projects that hold the run
+    held = held.withColumns({"__p": F.min("other").over(shared_runs), "__q": F.max("other").over(shared_runs)}).where("__p <> __q").drop("__p", "__q")
+    met = flat.join(held, "h").where("other <> project_id and (one <> unit_id or two <> unit_id)")
     shared = met.groupBy("unit_id", "project_id", "other").agg(F.count("*").alias("runs_shared"))
     near = shared.join(n, ["unit_id", "project_id"]).where(F.col("runs_shared") >= s.near_copy_share * F.col("runs")).groupBy("unit_id", "project_id").agg(F.count("*").alias("near_copy_projects"))
     return n.join(near, ["unit_id", "project_id"], "left").withColumn("near_copy_projects", F.coalesce("near_copy_projects", F.lit(0)))
