@@ -45,28 +45,31 @@ Token = tuple[str, str, tuple[str, ...]]
 def tokens(page: str) -> Iterator[Token]:
     """Tags and text runs of a page; unclosed elements end with their parents, unknown closing tags are ignored."""
     stack: list[tuple[str, tuple[str, ...]]] = []
-    keys: tuple[str, ...] = ()
+    keys: tuple[str, ...] = ()  # each name once, so that deep nesting costs no more than wide
+    open_: Counter[str] = Counter()
     at = 0
 
     def close(name: str) -> None:
         nonlocal keys
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] == name:
-                del stack[i:]
-                keys = stack[-1][1] if stack else ()
-                return
+        while open_[name]:
+            last, _ = stack.pop()
+            open_[last] -= 1
+            if last == name:
+                break
+        else:
+            return
+        keys = stack[-1][1] if stack else ()
 
     n = len(page)
+    last_end = page.rfind(">") + 1  # no tag ends after it; a comment may still begin
     while at < n:
-        m = _TOKEN.search(page, at)
-        end = m.start() if m else n
-        if end > at and not page.isspace():
+        m = _TOKEN.search(page, at, last_end) if at < last_end else None
+        comment = page.find("<!--", at) if not m else -1
+        end = m.start() if m else comment if comment >= 0 else n
+        if end > at:
             run = page[at:end]
-            if not run.isspace():
-                yield "text", html.unescape(run), keys
-            elif run:
-                yield "text", " ", keys
-        if not m:
+            yield "text", " " if run.isspace() else html.unescape(run), keys
+        if not m or (m.group().startswith("<!--") and not m.group().endswith("-->")):
             return
         at = m.end()
         name = (m.group(2) or m.group(5) or "").lower()
@@ -82,7 +85,7 @@ def tokens(page: str) -> Iterator[Token]:
             at = stop.end() if stop else n
             yield "tag", name, keys
             continue
-        if name in ENDS_P and any(x[0] == "p" for x in stack):
+        if name in ENDS_P and open_["p"]:
             close("p")
         elif name == "li" and any(x[0] == "li" for x in stack[-4:]) and not any(x[0] in ("ul", "ol") for x in stack[-1:]):
             close("li")
@@ -95,8 +98,10 @@ def tokens(page: str) -> Iterator[Token]:
                 own += ["." + w.lower() for w in _PART.findall(" ".join(v))]
             if _HIDDEN.search(attributes):
                 own.append("@hidden")
-        keys = (*keys, *own)
+        if new := [k for k in dict.fromkeys(own) if k not in keys]:
+            keys = (*keys, *new)
         stack.append((name, keys))
+        open_[name] += 1
         yield "tag", name, keys
 
 

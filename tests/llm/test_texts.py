@@ -136,6 +136,15 @@ def test_pages(spark, page, text):
     assert (got.text, got.n_chars, got.url) == (text, len(text), None)
 
 
+def test_odd_pages_take_linear_time():
+    weights = htmlmain.learn(htmlmain.labelled_pages(60))
+    for page in ("<div>" * 60_000 + "word " * 10 + "</i>" * 60_000, "<p>" * 60_000 + "word " * 10):
+        assert htmlmain.main_text(page, weights) == " ".join(["word"] * 10)
+    assert htmlmain.main_text('<a "' * 50_000, weights)
+    assert htmlmain.main_text("a <!-- never closed <b>bold</b> more", weights) == "a"
+    assert htmlmain.main_text("<p>a<!-- c -->b</p>", weights) == "ab"
+
+
 def test_labelled_pages_are_read_again():
     weights = htmlmain.learn(htmlmain.labelled_pages())
     right, all_ = 0, 0
