@@ -155,7 +155,7 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
 
     found = written(own.mapInArrow(run, "h bigint, lang string, at array<int>, n array<int>, feature int, df bigint"), "langid")
     df = found.where("feature is not null").groupBy("feature").agg(F.sum("df").alias("df")).toPandas()  # `features` rows at most
-    sample = found.where("lang is not null").orderBy("h", "lang").limit(max_train).select("lang", "at", "n").toPandas()
+    sample = found.where("lang is not null").orderBy("h", "lang", "at", "n").limit(max_train).select("lang", "at", "n").toPandas()
     idf = np.zeros(features)
     idf[df["feature"].to_numpy()] = np.log((1 + number) / (1 + df["df"].to_numpy())) + 1
     languages = tuple(sorted(set(sample["lang"])))
@@ -198,7 +198,7 @@ def predict_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     return got.select("doc_id", (crc_of_id(F.col("doc_id")) % 4 == 2).alias("held_out"), "lang_pred", "score")
 
 
-def keep_known_languages(docs: DataFrame, least: float = 0.5, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def keep_known_languages(docs: DataFrame, least: float = 0.4, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of `docs` whose language is told with a probability of `least` or more, with all their columns."""
     got = identify(docs, train(docs, learnt(id_col), id_col, text_col, lang_col), id_col, text_col, keep=docs.columns)
     return got.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
