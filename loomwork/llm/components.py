@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import forget, written
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -23,13 +23,16 @@ def connected_components(edges: DataFrame) -> DataFrame:
         at = written(ends.groupBy("node").agg(F.min("to").alias("root")), "cc-roots")
         while True:  # root of root, until nothing changes
             up = at.select(F.col("node").alias("root"), F.col("root").alias("up"))
-            new = written(at.join(up, "root").select("node", F.col("up").alias("root"), (F.col("up") < F.col("root")).alias("moved")), "cc-roots")
-            at = new.select("node", "root")
+            new = written(at.select("node", "root").join(up, "root").select("node", F.col("up").alias("root"), (F.col("up") < F.col("root")).alias("moved")), "cc-roots")
+            forget(at)
+            at = new
             if new.where("moved").isEmpty():
                 break
+        at = at.select("node", "root")
         maps.append(at)
         hi, lo = at.select(F.col("node").alias("hi"), F.col("root").alias("r_hi")), at.select(F.col("node").alias("lo"), F.col("root").alias("r_lo"))
-        left = written(left.join(hi, "hi").join(lo, "lo").where("r_hi <> r_lo").select(F.greatest("r_hi", "r_lo").alias("hi"), F.least("r_hi", "r_lo").alias("lo")).distinct(), "cc-edges")
+        old, left = left, written(left.join(hi, "hi").join(lo, "lo").where("r_hi <> r_lo").select(F.greatest("r_hi", "r_lo").alias("hi"), F.least("r_hi", "r_lo").alias("lo")).distinct(), "cc-edges")
+        forget(old)
     if not maps:
         return edges.sparkSession.createDataFrame([], "node bigint, root bigint")
     out = maps[0]
