@@ -12,6 +12,7 @@ Null ids, repeated rows and further columns pass through; an empty table gives a
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
@@ -19,32 +20,55 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwork.llm import langid, mixing, packing, radix, simhash
-from loomwork.llm.common import read_table, written
+from loomwork.llm.common import made, made_since, read_table, release, written
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: Working tables of the stages before, which a stage deletes as soon as its own input does not read them.
+_LEFT: list[str] = []
 
+
+def staged(stage: Stage) -> Stage:
+    """The stage, which first deletes the working tables of those before: their results have been written and read again by then."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        _LEFT[:] = release(spark, _LEFT, docs)
+        before = made()
+        out = stage(spark, docs, sf_dir)
+        _LEFT.extend(made_since(before))
+        return out
+
+    return run_stage
+
+
+@staged
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.keep_known_languages(docs)
 
 
+@staged
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return radix.drop_exact_duplicates(docs)
 
 
+@staged
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.drop_near_duplicates(docs, similarity=0.8, words=5)
 
 
+@staged
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(docs, carry=docs.columns).where("taken > 0")
     times = F.explode(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int")))
     return mixed.select("row", times.alias("time")).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
+@staged
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+STAGES: list[tuple[str, Stage]] = [
     ("language_id", language_id),
     ("exact_dedup", exact_dedup),
     ("near_dedup", near_dedup),
