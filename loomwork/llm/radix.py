@@ -24,26 +24,31 @@ def radix_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     the columns returned in `row` (all by default); they never meet the names used here.
     """
     names = docs.columns if carry is None else carry
-    base = docs.select(F.struct(*[col(c) for c in names]).alias("row"), col(id_col).alias("id"), F.coalesce(col(text_col).cast("binary"), F.lit(bytearray())).alias("body"))
-    digit = F.substring("body", 1, first)
+    # The bytes are read from the carried text, or from a column of their own, kept while a row is open.
+    carried = text_col in names
+    text = F.col("row").getField(text_col) if carried else F.col("body")
+    body = F.coalesce(text.cast("binary"), F.lit(bytearray()))
+    own = [] if carried else ["body"]
+    base = docs.select(F.struct(*[col(c) for c in names]).alias("row"), col(id_col).alias("id"), *([] if carried else [col(text_col).cast("binary").alias("body")]))
+    digit = F.substring(body, 1, first)
     # Written first, the counts are joined by exchanges of their own, of which hot digits can be split.
     shared = written(base.groupBy(digit.alias("digit")).agg(F.count("*").alias("n")).where("n > 1").select("digit", F.lit(0).cast("bigint").alias("gid")), "radix-counts")
-    at = written(base.withColumn("digit", digit).join(shared.hint("merge"), "digit", "left").select("row", "id", F.monotonically_increasing_id().alias("rid"), F.when(F.col("gid").isNotNull(), F.col("body")).alias("body"), "gid"), "radix")
+    at = written(base.withColumn("digit", digit).join(shared.hint("merge"), "digit", "left").select("row", "id", F.monotonically_increasing_id().alias("rid"), *[F.when(F.col("gid").isNotNull(), F.col(c)).alias(c) for c in own], "gid"), "radix")
     forget(shared)
     one = F.lit(1).cast("bigint")
     done = [at.where("gid is null").select("row", "id", F.col("id").alias("keep_id"), one.alias("group_size"), F.lit(True).alias("kept"))]
     live, offset, end = at.where("gid is not null"), 0, first * factor  # one group as yet: the first bytes are read again
     while not live.isEmpty():
-        keyed = live.select("row", "id", "rid", "body", "gid", F.substring("body", offset + 1, end - offset).alias("digit"), (F.length("body") > end).alias("more"))
+        keyed = live.select("row", "id", "rid", *own, "gid", F.substring(body, offset + 1, end - offset).alias("digit"), (F.length(body) > end).alias("more"))
         split = written(keyed.groupBy("gid", "digit", "more").agg(F.count("*").alias("n"), F.min("rid").alias("next"), F.max(F.struct("id", "rid")).alias("best")), "radix-counts")
         open_ = (F.col("n") > 1) & F.col("more")
         at = written(
-            keyed.join(split.hint("merge"), ["gid", "digit", "more"]).select("row", "id", "rid", F.when(open_, F.col("body")).alias("body"), F.when(open_, F.col("next")).alias("gid"), F.when(~open_, F.col("n")).alias("n"), F.when(~open_, F.col("best")).alias("best")),
+            keyed.join(split.hint("merge"), ["gid", "digit", "more"]).select("row", "id", "rid", *[F.when(open_, F.col(c)).alias(c) for c in own], F.when(open_, F.col("next")).alias("gid"), F.when(~open_, F.col("n")).alias("n"), F.when(~open_, F.col("best")).alias("best")),
             "radix",
         )
         forget(split)
         done.append(at.where("gid is null").select("row", "id", F.col("best.id").alias("keep_id"), F.col("n").alias("group_size"), (F.col("rid") == F.col("best.rid")).alias("kept")))
-        live, offset, end = at.where("gid is not null").select("row", "id", "rid", "body", "gid"), end, end * factor
+        live, offset, end = at.where("gid is not null").select("row", "id", "rid", *own, "gid"), end, end * factor
     out = done[0]
     for part in done[1:]:
         out = out.unionAll(part)
