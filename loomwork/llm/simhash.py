@@ -7,10 +7,10 @@ set bits are flipped: half the ball finds every pair once. What meets under a va
 distance. A value that very many fingerprints share is cut into blocks of the table that each meet all lookups,
 and a large meeting gives a spanning forest of its links instead of all pairs: the components stay the same.
 
-The 64-bit form (two segments of 32 bits) is exact for distances up to 3. The wide form is for a similarity:
-a distance of 64 bits says too little about it, so the fingerprint has 2048 bits, the first of them are cut
-into 24 segments of 21 bits, lookups that meet pass a check of 64 bits, and the survivors are verified by the
-distance over all bits.
+The 64-bit form (two segments of 32 bits) is exact for distances up to 3. The wide form is for a similarity of
+shingle sets, of which 64 bits say too little: the fingerprint has 256 bits, of which 12 segments of 16 bits are
+filed and looked up; lookups that meet pass a check of the other 64 bits; of the survivors the complete distance
+and then the similarity of the sets themselves is worked out.
 """
 
 from __future__ import annotations
@@ -32,36 +32,44 @@ from .components import connected_components
 HASH_SEED = 42
 #: Rows of the table under one value that one task takes; more are cut into blocks.
 BLOCK = 20_000
+#: Ids of near documents up to this number (8 bytes each) go to all executors to fetch the texts; more are joined by a shuffle.
+BROADCAST_NODES = 1_000_000
 #: Meetings of more rows than this give a spanning forest, smaller ones their links.
 SMALL = 64
 
 
 @dataclass(frozen=True)
 class Plan:
-    """words: of a shingle; bits: of the fingerprint; distance: largest that links; near64: largest over the first 64 bits (wide form); distinct: each shingle counts once."""
+    """words: of a shingle; bits: of the fingerprint; segments: offset and width; distance: largest that links.
+
+    Wide form: check: the 64-bit word that lookups are checked by, near: its largest distance, similarity: least of the sets of distinct shingles.
+    """
 
     words: int
     bits: int
     segments: tuple[tuple[int, int], ...]
     distance: int
-    near64: int = 64
-    distinct: bool = False
+    check: int = 0
+    near: int = 64
+    similarity: float | None = None
 
 
 #: 3-word shingles, repeats included; 3 bits at most. One of two segments differs in one bit at most.
-EXACT = Plan(3, 64, ((0, 32), (32, 32)), 3, 3)
+EXACT = Plan(3, 64, ((0, 32), (32, 32)), 3, near=3)
 
 
-def for_similarity(similarity: float, words: int = 5, bits: int = 2048, segments: int = 24, width: int = 21) -> Plan:
+def for_similarity(similarity: float, words: int = 5, segments: int = 12, width: int = 16) -> Plan:
     """Sets of shingles with a Jaccard similarity s have a cosine of 2s / (1 + s); bits differ with probability angle / pi.
 
-    A pair at similarity 0.8 differs in 15 % of the bits; it meets in a segment of 21 bits with probability
-    0.155, in one of 24 with 0.98, and passes 20 of 64 bits with 0.9995. The bits tell the similarity to about
-    0.015 (one standard deviation); the largest distance allows for one, so that few pairs at the similarity
-    itself are missed.
+    A pair at similarity 0.8 differs in 15 % of the bits; it meets in a segment of 16 bits with probability
+    0.28, in one of 12 with 0.98 (0.85: 0.997), and is within the distances allowed (3.2 standard deviations)
+    with 0.999. Wider segments, and more of them, suit corpora of more than about 100 million different
+    documents: fewer strangers meet, each document is looked up more often.
     """
     p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return Plan(words, bits, tuple((i * width, width) for i in range(segments)), round(bits * p + math.sqrt(bits * p * (1 - p))), math.ceil(64 * p + 3.2 * math.sqrt(64 * p * (1 - p))), True)
+    most = lambda bits: math.ceil(bits * p + 3.2 * math.sqrt(bits * p * (1 - p)))
+    check = -(-segments * width // 64)
+    return Plan(words, 64 * (check + 1), tuple((i * width, width) for i in range(segments)), most(64 * (check + 1)), check, most(64), similarity)
 
 
 def _bit_sums(h: np.ndarray, bits: int) -> np.ndarray:
@@ -84,21 +92,23 @@ def _bit_sums(h: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
+def shingle_hashes(text: bytes, words: int) -> np.ndarray:
+    """XXH64 of each shingle, repeats included: words are runs without \x20 and \x09-\x0d, A-Z lower-cased; a shorter text is one shingle, one without words none."""
+    split = text.lower().split()
+    if not split:
+        return np.zeros(0, np.uint64)
+    flat, digest = b" ".join(split), xxhash.xxh64_intdigest
+    if len(split) <= words:
+        return np.array([digest(flat, HASH_SEED)], dtype=np.uint64)
+    ends = np.cumsum(np.fromiter(map(len, split), np.int64, len(split)) + 1) - 1
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    return np.array([digest(flat[a:b], HASH_SEED) for a, b in zip(starts[: len(split) - words + 1].tolist(), ends[words - 1 :].tolist(), strict=True)], dtype=np.uint64)
+
+
 def fingerprint(text: bytes, plan: Plan = EXACT) -> bytes:
-    """Little-endian bytes of the fingerprint of a UTF-8 text: bit i is 1 if set in over half of the shingles' hashes; no words: zero."""
-    words = text.lower().split()  # of bytes: A-Z only, and at \x20 and \x09-\x0d only
-    if not words:
-        return bytes(plan.bits // 8)
-    flat, k = b" ".join(words), plan.words
-    if len(words) <= k:
-        h = [xxhash.xxh64_intdigest(flat, HASH_SEED)]
-    else:
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-        starts = np.concatenate([[0], ends[:-1] + 1])
-        digest = xxhash.xxh64_intdigest
-        h = [digest(flat[a:b], HASH_SEED) for a, b in zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)]
-    hashes = np.array(h, dtype=np.uint64)
-    if plan.distinct:
+    """Little-endian bytes of the fingerprint of a UTF-8 text: bit i is 1 if set in over half of the shingles' hashes (in the wide form of the distinct ones); no words: zero."""
+    hashes = shingle_hashes(text, plan.words)
+    if plan.similarity is not None:
         hashes = np.unique(hashes)
     return np.packbits(_bit_sums(hashes, plan.bits) * 2 > len(hashes), bitorder="little").tobytes()
 
@@ -116,7 +126,7 @@ def fingerprints(docs: DataFrame, plan: Plan = EXACT, id_col: str = "doc_id", te
 
 
 def _filed(prints: DataFrame, plan: Plan, balls: bool = True) -> DataFrame:
-    """key, node, sub (the first 64 bits), ball: each fingerprint under its value of each segment, and, with `balls`, under those with one set bit cleared."""
+    """key, node, sub (the word that lookups are checked by), ball: each fingerprint under its value of each segment, and, with `balls`, under those with one set bit cleared."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -124,7 +134,7 @@ def _filed(prints: DataFrame, plan: Plan, balls: bool = True) -> DataFrame:
                 part = b.slice(at, 2048)
                 node = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
                 raw = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint8).reshape(part.num_rows, -1)
-                sub = np.ascontiguousarray(raw[:, :8]).view(np.int64)[:, 0]
+                sub = np.ascontiguousarray(raw[:, 8 * plan.check : 8 * plan.check + 8]).view(np.int64)[:, 0]
                 set_ = np.unpackbits(raw[:, : (max(o + w for o, w in plan.segments) + 7) // 8], axis=1, bitorder="little")
                 for s, (offset, width) in enumerate(plan.segments):
                     seg = set_[:, offset : offset + width].astype(np.int64)
@@ -156,8 +166,8 @@ def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def _forest(prints: np.ndarray, table: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links (distance up to `most`) between the rows of the table and all rows of one meeting: positions a, b."""
+def _forest(prints: np.ndarray, table: np.ndarray, most: int, similar: Callable[[int, np.ndarray], np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the links (distance up to `most`, and `similar`) between the rows of the table and all rows of one meeting: positions a, b. Rows that hang together already aren't compared by `similar`."""
     parent = np.arange(len(prints))
     a: list[int] = []
     b: list[int] = []
@@ -173,6 +183,11 @@ def _forest(prints: np.ndarray, table: np.ndarray, most: int) -> tuple[np.ndarra
     for i in np.flatnonzero(table):
         near = np.flatnonzero(np.bitwise_count(prints ^ prints[i]).sum(axis=1, dtype=np.int32) <= most)
         root = roots(near)
+        if similar is not None:
+            other = root != roots(np.array([i]))[0]
+            far = near[other]
+            near = np.concatenate([[i], far[similar(int(i), far)]]) if len(far) else np.array([i])
+            root = roots(near)
         new, first = np.unique(root, return_index=True)
         own = roots(np.array([i]))[0]
         for r, j in zip(new.tolist(), near[first].tolist(), strict=True):
@@ -217,7 +232,7 @@ def _meet(plan: Plan, wide: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterat
             small = some & (ends - starts <= SMALL)
             found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for i, j in _pairs(starts[small], ends[small], ball):
-                near = np.bitwise_count(sub[i] ^ sub[j]) <= plan.near64
+                near = np.bitwise_count(sub[i] ^ sub[j]) <= plan.near
                 i, j = i[near], j[near]
                 if wide:
                     member = np.unique(np.concatenate([i, j]))
@@ -230,7 +245,7 @@ def _meet(plan: Plan, wide: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterat
                 if wide:
                     has = np.zeros(e - s, bool)
                     for i in range(s, s + int((~ball[s:e]).sum())):
-                        near = np.bitwise_count(sub[s:e] ^ sub[i]) <= plan.near64
+                        near = np.bitwise_count(sub[s:e] ^ sub[i]) <= plan.near
                         near[i - s] = False
                         if near.any():
                             has |= near
@@ -251,26 +266,72 @@ def _meet(plan: Plan, wide: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterat
     return run
 
 
+def _near_members(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The members of each meeting that are within the complete distance of another."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in _whole_groups(batches):
+            prints = np.frombuffer(b"".join(piece.column(2).to_pylist()), np.uint64).reshape(piece.num_rows, -1)
+            has = np.zeros(piece.num_rows, bool)
+            for s, e in zip(*map(np.ndarray.tolist, runs(piece.column(0).to_numpy(zero_copy_only=False))), strict=True):
+                for i in range(s, e - 1):
+                    near = np.bitwise_count(prints[i + 1 : e] ^ prints[i]).sum(axis=1, dtype=np.int32) <= plan.distance
+                    if near.any():
+                        has[i] = True
+                        has[i + 1 : e] |= near
+            yield piece.filter(pa.array(has))
+
+    return run
+
+
+def _sets(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """node and its distinct shingles' hashes, from node and text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            hashes = [np.unique(shingle_hashes(t, plan.words)).tobytes() for t in bytes_of(b, "text")]
+            yield pa.record_batch([b.column(0), pa.array(hashes, pa.binary())], ["node", "hashes"])
+
+    return run
+
+
 def _verified(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A spanning forest of each meeting's links by the complete distance."""
+    """A spanning forest of each meeting's links: pairs within the complete distance whose sets are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in _whole_groups(batches):
             key, node = (piece.column(i).to_numpy(zero_copy_only=False) for i in range(2))
             prints = np.frombuffer(b"".join(piece.column(2).to_pylist()), np.uint64).reshape(len(key), -1)
-            links = [(node[s:e][a], node[s:e][b]) for s, e in zip(*map(np.ndarray.tolist, runs(key)), strict=True) for a, b in [_forest(prints[s:e], np.ones(e - s, bool), plan.distance)]]
+            sets = [np.frombuffer(x, np.uint64) for x in piece.column(3).to_pylist()]
+            links: list[tuple[np.ndarray, np.ndarray]] = []
+            for s, e in zip(*map(np.ndarray.tolist, runs(key)), strict=True):
+                own = sets[s:e]
+                size = np.fromiter(map(len, own), np.int64, e - s)
+                known, ids = np.unique(np.concatenate(own), return_inverse=True)
+                ends = np.cumsum(size)
+                has = np.zeros(len(known), bool)
+
+                def similar(i: int, j: np.ndarray, ids=ids, ends=ends, size=size, has=has) -> np.ndarray:
+                    mine = ids[ends[i] - size[i] : ends[i]]
+                    has[mine] = True
+                    both = np.fromiter((np.count_nonzero(has[ids[ends[k] - size[k] : ends[k]]]) for k in j.tolist()), np.int64, len(j))
+                    has[mine] = False
+                    return both >= plan.similarity * (size[i] + size[j] - both) - 1e-9
+
+                a, b = _forest(prints[s:e], np.ones(e - s, bool), plan.distance, similar)
+                links.append((node[s:e][a], node[s:e][b]))
             if links:
                 yield pa.record_batch([np.concatenate([x[0] for x in links]), np.concatenate([x[1] for x in links])], ["a", "b"])
 
     return run
 
 
-def links(prints: DataFrame, plan: Plan = EXACT, block: int = BLOCK) -> DataFrame:
-    """Edges (a, b) between nodes, whose components are those of all links. prints: node bigint, fp binary; equal fingerprints once."""
+def links(prints: DataFrame, plan: Plan = EXACT, block: int = BLOCK, texts: DataFrame | None = None) -> DataFrame:
+    """Edges (a, b) between nodes, whose components are those of all links. prints: node bigint, fp binary; equal fingerprints once. texts (wide form): node, text."""
     spark: SparkSession = prints.sparkSession
     small_batches(spark, 20_000)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wide = plan.bits > 64
+    wide = plan.similarity is not None
     rows = _filed(prints, plan)
     hot = written(_filed(prints, plan, balls=False).groupBy("key").count().where(F.col("count") > block), "simhash-hot")
     if not hot.isEmpty():
@@ -282,10 +343,16 @@ def links(prints: DataFrame, plan: Plan = EXACT, block: int = BLOCK) -> DataFram
     met = rows.repartition(n, "key").sortWithinPartitions("key", "ball").mapInArrow(_meet(plan, wide), "a bigint, b bigint")
     if not wide:
         return met
-    members = written(met.select(F.col("a").alias("key"), F.col("b").alias("node")), "simhash-met")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 5_000)
-    whole = members.join(prints.select("node", "fp"), "node").select("key", "node", "fp")
-    return whole.repartition(n, "key").sortWithinPartitions("key").mapInArrow(_verified(plan), "a bigint, b bigint")
+    by_key = lambda df: df.repartition(n, "key").sortWithinPartitions("key")
+    members = met.select(F.col("a").alias("key"), F.col("b").alias("node")).join(prints.select("node", "fp"), "node").select("key", "node", "fp")
+    near = written(by_key(members).mapInArrow(_near_members(plan), "key bigint, node bigint, fp binary"), "simhash-near")
+    # The sets are worked out for the few documents within the complete distance of another.
+    nodes = written(near.select("node").distinct(), "simhash-nodes")
+    small_batches(spark)
+    few = F.broadcast(nodes) if nodes.count() <= BROADCAST_NODES else nodes
+    sets = written(texts.join(few, "node", "left_semi").select("node", "text").mapInArrow(_sets(plan), "node bigint, hashes binary"), "simhash-sets")
+    whole = near.join(sets, "node").select("key", "node", "fp", "hashes")
+    return by_key(whole).mapInArrow(_verified(plan), "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, plan: Plan = EXACT, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
@@ -297,19 +364,22 @@ def near_duplicates(docs: DataFrame, plan: Plan = EXACT, id_col: str = "doc_id",
     """
     small_batches(docs.sparkSession)
     names = carry or []
+    wide = plan.similarity is not None
+    kept = ["doc_id", *(["text"] if wide and text_col not in names else []), *(["row"] if names else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = pa.array([fingerprint(t, plan) for t in bytes_of(b, "text")], pa.binary())
-            yield pa.record_batch([b.column(0), *([b.column(2)] if names else []), fp], ["doc_id", *(["row"] if names else []), "fp"])
+            yield pa.record_batch([*(c for c, f in zip(b.columns, b.schema.names, strict=True) if f in kept), fp], [*kept, "fp"])
 
     own = docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text"), *([F.struct(*[col(c) for c in names]).alias("row")] if names else []))
-    made = own.mapInArrow(run, T.StructType([*(f for f in own.schema if f.name != "text"), T.StructField("fp", T.BinaryType())]))
+    made = own.mapInArrow(run, T.StructType([*(f for f in own.schema if f.name in kept), T.StructField("fp", T.BinaryType())]))
     rows = written(made.withColumn("rid", F.monotonically_increasing_id()), "simhash")
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("rid").alias("rid"))
     # Each fingerprint once; its node is the row id of its first row.
     prints = written(rows.groupBy("fp").agg(F.min(order).alias("first"), F.min("rid").alias("node")), "simhash-prints")
-    roots = written(connected_components(links(prints, plan)), "simhash-roots")
+    texts = rows.select(F.col("rid").alias("node"), (F.col("text") if "text" in kept else F.col("row").getField(text_col)).alias("text")) if wide else None
+    roots = written(connected_components(links(prints, plan, texts=texts)), "simhash-roots")
     linked = prints.join(roots, "node", "left").select("fp", "first", F.coalesce("root", "node").alias("root"))
     best = linked.groupBy("root").agg(F.min("first").alias("best"))
     placed = linked.join(best, "root").select("fp", "best")
