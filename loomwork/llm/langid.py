@@ -23,7 +23,7 @@ from .common import col, crc_of_id, small_batches, texts_of, written
 FEATURES = 1 << 15
 ORDERS = (1, 2, 3)
 #: At most so many documents train the weights (chosen by a hash); document frequencies count all.
-MAX_TRAIN = 6000
+MAX_TRAIN = 3000
 UNKNOWN = "und"
 _TOP = 0x110000
 _MIX = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
@@ -76,7 +76,7 @@ class Model:
 
     def vector(self, at: np.ndarray, n: np.ndarray) -> np.ndarray:
         x = (1 + np.log(n)) * self.idf[at]
-        return x / max(np.sqrt((x * x).sum()), 1e-12)
+        return (x / max(np.sqrt((x * x).sum()), 1e-12)).astype(np.float32)
 
     def predict(self, text: str) -> tuple[str, float]:
         """The likeliest language and its calibrated probability; `und` and 0 for a text without a letter or a model without languages."""
@@ -164,6 +164,7 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
         return model
     index = {x: i for i, x in enumerate(languages)}
     rows = [(np.asarray(a), model.vector(np.asarray(a), np.asarray(n)), index[x]) for x, a, n in sample.itertuples(index=False)]
+    del sample, df  # the driver may be small
     cut = len(rows) - len(rows) // 5
     weights = _ftrl(rows[:cut], features, len(languages))
     kept = rows[cut:] or rows
