@@ -9,7 +9,7 @@ from . import relational as R
 
 
 def link_records(records: DataFrame, packages: DataFrame, id_col: str) -> DataFrame:
-    """Each record (unique by `id_col`) with package_id and package_link, how it was found.
+    """Each record with package_id and package_link, how it was found; records that share an id share their candidates.
 
     No reference: no_reference. By project and reference: no package: not_in_plan; one: reference; several, of
     which one has the record's description key: reference_and_description; else ambiguous. The candidates of a
@@ -21,6 +21,8 @@ def link_records(records: DataFrame, packages: DataFrame, id_col: str) -> DataFr
     by_ref = p.groupBy(*key).agg(F.count("*").alias("n_ref"), F.min("package_id").alias("only"))
     by_text = p.where("coalesce(description_match, '') <> ''").groupBy(*key, "description_match").agg(F.count("*").alias("n_text"), F.min("package_id").alias("same"))
     r = records.drop("package_id", "package_link").join(by_ref, key, "left").join(by_text, [*key, "description_match"], "left")
+    own = Window.partitionBy(id_col)
+    r = r.withColumns({c: f(c).over(own) for c, f in (("n_ref", F.sum), ("only", F.min), ("n_text", F.sum), ("same", F.min))})
     blank = F.coalesce("borrower_ref_norm", F.lit("")) == ""
     link = F.when(blank, "no_reference").when(F.col("n_ref").isNull(), "not_in_plan").when(F.col("n_ref") == 1, "reference").when(F.col("n_text") == 1, "reference_and_description").otherwise("ambiguous")
     found = F.when(link == "reference", F.col("only")).when(link == "reference_and_description", F.col("same"))

@@ -38,12 +38,12 @@ FROM orders""",
 SELECT 'N' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || CAST(l_partkey AS STRING) AS notice_id, CASE WHEN l_partkey % 9 <> 0 THEN 'K' || CAST(l_orderkey AS STRING) END AS package_id,
        'P' || CAST(o_custkey AS STRING) AS project_id, CASE WHEN l_partkey % 5 = 0 THEN '' ELSE 'REF-' || CAST((o_orderkey + l_linenumber % 2) % 700 AS STRING) END AS borrower_ref_norm, 'supplyofitem' || CAST(l_partkey % 3 AS STRING) AS description_match,
        CASE WHEN l_partkey % 7 <> 0 THEN CAST(l_shipdate AS DATE) END AS publication_date, CASE WHEN l_partkey % 6 <> 0 THEN CAST(CAST(l_shipdate AS DATE) + 40 AS DATE) END AS deadline_date
-FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_linestatus = 'O' AND l_suppkey % 4 = 0""",
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_linestatus = 'O'""",
     "awards": """
 SELECT 'A' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || CAST(l_partkey AS STRING) AS award_id, CASE WHEN l_partkey % 8 <> 0 THEN 'K' || CAST(l_orderkey AS STRING) END AS package_id,
        'P' || CAST(o_custkey AS STRING) AS project_id, CASE WHEN l_partkey % 5 = 0 THEN '' ELSE 'REF-' || CAST((o_orderkey + l_linenumber % 2) % 700 AS STRING) END AS borrower_ref_norm, 'supplyofitem' || CAST(l_partkey % 3 AS STRING) AS description_match,
        CASE WHEN l_partkey % 10 <> 0 THEN CAST(l_shipdate AS DATE) END AS signed_date, 'supplier ' || CAST(l_suppkey AS STRING) AS supplier_name, CAST(round(l_extendedprice) AS BIGINT) AS total_amount_usd
-FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_returnflag = 'R' AND l_suppkey % 3 = 0""",
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_returnflag = 'R'""",
     "docs": """
 SELECT 'D' || CAST(d AS STRING) AS document_id, CASE WHEN d % 3 = 0 THEN 'Project Paper' ELSE 'Project Appraisal Document' END AS document_type, 'kind ' || CAST(d % 3 AS STRING) AS document_kind, 'title ' || CAST(d % 40 AS STRING) AS title,
        CASE WHEN d % 10 <> 0 THEN CAST(CAST('1996-01-01' AS DATE) + CAST(d % 60 AS INT) * 7 AS DATE) END AS disclosure_date, CASE WHEN d % 2 = 0 THEN 'http://x.example/' ELSE 'https://x.example/' END || CAST(d AS STRING) AS pdf_url,
