@@ -54,7 +54,7 @@ SELECT document_id, project_1 AS project_id FROM docs UNION ALL SELECT document_
     "paragraphs": """
 SELECT 'G' || CAST(g AS STRING) AS paragraph_id, 'D' || CAST(g - g % 10 AS STRING) AS document_id, t.text, 'section ' || CAST(g % 7 AS STRING) AS section_title, CASE WHEN g % 20 = 0 THEN 'annex' ELSE 'narrative' END AS block,
        CASE WHEN g % 4 = 0 THEN NULL ELSE CAST(g % 4 AS STRING) END AS component_number, CASE WHEN g % 4 = 0 THEN NULL ELSE 'component ' || CAST(g % 4 AS STRING) END AS component_name, CASE WHEN g % 12 = 5 THEN CAST(g % 4 AS STRING) || '.1' ELSE '' END AS subcomponent_number, CASE WHEN g % 12 = 5 THEN 'part' ELSE '' END AS subcomponent_name, CASE WHEN g % 9 <> 0 THEN CAST(g % 30 AS INT) END AS page_from
-FROM (SELECT doc_id AS g, text FROM documents WHERE doc_id % 5 = 0) t""",
+FROM (SELECT doc_id - doc_id % 5 AS g, concat_ws(' ', max(CASE WHEN doc_id % 5 = 0 THEN text END), max(CASE WHEN doc_id % 5 = 1 THEN text END), max(CASE WHEN doc_id % 5 = 2 THEN text END), max(CASE WHEN doc_id % 5 = 3 THEN text END), max(CASE WHEN doc_id % 5 = 4 THEN text END)) AS text FROM documents GROUP BY doc_id - doc_id % 5) t""",
     "paragraph_projects": """
 SELECT p.paragraph_id, p.document_id, x.project_id FROM paragraphs p JOIN document_projects x ON x.document_id = p.document_id""",
     "units": """
@@ -75,7 +75,7 @@ SELECT f.*, u.unit_kind, u.paragraph_id, u.document_id, u.text FROM (
 ) f JOIN units u ON u.unit_id = f.unit_id""",
     "pair_checks": """
 SELECT 'U' || CAST(doc_id AS STRING) AS unit_id, 'm' || CAST(doc_id % 5 AS STRING) AS set_a, 'm' || CAST((doc_id + 1) % 5 AS STRING) AS set_b, CAST((doc_id * 53) % 100 AS DOUBLE) / 100 AS p_keep_a, CAST((doc_id * 71) % 100 AS DOUBLE) / 100 AS p_keep_b
-FROM documents WHERE doc_id % 2 = 0""",
+FROM documents""",
     "commitment_packages": """
 SELECT f.label_set, f.label_id, f.unit_id, x.project_id, p.package_id, CAST((u.n * 31 + length(p.package_id) * 17) % 100 AS DOUBLE) / 100 AS probability
 FROM findings f JOIN units u ON u.unit_id = f.unit_id JOIN paragraph_projects x ON x.paragraph_id = f.paragraph_id JOIN packages p ON p.project_id = x.project_id
@@ -90,13 +90,13 @@ FROM part""",
 SELECT unit_id, paragraph_id, 'a' || CAST(n % 6 AS STRING) AS asset_id, CASE n % 4 WHEN 0 THEN 'none' WHEN 1 THEN 'paragraph' ELSE 'unit' END AS asset_level, CAST((n * 41) % 1000 AS DOUBLE) / 1000 AS probability FROM units
 UNION ALL SELECT unit_id, paragraph_id, 'a' || CAST((n + 2) % 6 AS STRING), 'unit', CAST((n * 43) % 1000 AS DOUBLE) / 1000 FROM units WHERE n % 3 = 0""",
     "asset_scores": """
-SELECT unit_id, paragraph_id, ordinal, 'a' || CAST(k AS STRING) AS asset_id, CAST((n * (37 + k)) % 1000 AS DOUBLE) / 1000 AS p FROM units CROSS JOIN (SELECT DISTINCT label AS k FROM embeddings WHERE label < 3) t""",
+SELECT unit_id, paragraph_id, ordinal, 'a' || CAST(k AS STRING) AS asset_id, CAST((n * (37 + k)) % 1000 AS DOUBLE) / 1000 AS p FROM units CROSS JOIN (SELECT DISTINCT label AS k FROM embeddings) t""",
     "grades": """
 SELECT doc_id AS item_id, quality AS y, CAST((doc_id * 61) % 1000 AS DOUBLE) / 1000 AS p, CAST(1 + doc_id % 4 AS DOUBLE) AS w, doc_id % 7 AS stratum FROM labels""",
     "answers": """
 SELECT event_id, user_id, event_type AS stage, CASE WHEN event_id % 9 = 0 THEN NULL ELSE CAST(event_id % 1000 AS DOUBLE) / 1000 END AS p, CAST(round(value * 100) AS BIGINT) AS cost, ts FROM events""",
     "measure_quality": """
-SELECT 'm' || CAST(user_id % 6 AS STRING) AS label_set, CASE WHEN event_id % 3 = 0 THEN 'evaluation' ELSE 'training' END AS sheet, event_id AS graded_units, ts AS evaluated_at FROM events WHERE event_id % 50 = 0""",
+SELECT 'm' || CAST(user_id % 6 AS STRING) AS label_set, CASE WHEN event_id % 3 = 0 THEN 'evaluation' ELSE 'training' END AS sheet, event_id AS graded_units, ts AS evaluated_at FROM events""",
 }
 
 #: What each table reads, for the oracles' common table expressions.
