@@ -30,8 +30,8 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 ENDS_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*)>", re.S)
-_NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?until)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 _PART = re.compile(r"[A-Za-z]+")
 _SPACE = re.compile(r"\s+")
 
@@ -94,11 +94,14 @@ def tokens(page: str) -> Iterator[Token]:
             continue
         own = [] if name in INLINE else [name]
         if attributes:
-            for v in _NAMES.findall(attributes):
-                own += ["." + w.lower() for w in _PART.findall(" ".join(v))]
-            if _HIDDEN.search(attributes):
-                own.append("@hidden")
-        if new := [k for k in dict.fromkeys(own) if k not in keys]:
+            for a, *v in _ATTRIBUTE.findall(attributes):
+                a, v = a.lower(), "".join(v)
+                if a in ("class", "id", "role") and name not in ("html", "body"):  # there they tell of the page, not of its words
+                    own += ["." + w.lower() for w in _PART.findall(v)]
+                elif (a == "hidden" and v.strip().lower() != "until-found") or (a == "style" and _NO_DISPLAY.search(v)) or (a == "aria-hidden" and v.strip().lower() == "true"):
+                    own.append("@hidden")
+        inner = keys[max((keys.index(x) for x in ("article", "main") if x in keys), default=0) :]  # names above an article count anew in it
+        if new := [k for k in dict.fromkeys(own) if k not in inner]:
             keys = (*keys, *new)
         stack.append((name, keys))
         open_[name] += 1
@@ -153,6 +156,17 @@ def _scope(seen: list[Token]) -> str:
     return ""
 
 
+def _holders(seen: list[Token], scope: str) -> set[str]:
+    """Names of elements around the article that hold most of its words: they are around the page's main part, whatever they are called. Hidden stays hidden."""
+    total, held = 0, Counter()
+    for kind, value, keys in seen:
+        if scope and kind == "text" and scope in keys:
+            n = len(value.split())
+            total += n
+            held.update(dict.fromkeys(keys[: keys.index(scope)], n))
+    return {k for k, n in held.items() if n * 2 > total and k != "@hidden"}
+
+
 def region(scores: list[float]) -> tuple[int, int]:
     """Start and end of the contiguous part with the highest positive sum, the first and shortest such; (0, 0) if none is positive."""
     best, at, total, start = 0.0, (0, 0), 0.0, 0
@@ -169,9 +183,13 @@ def main_text(page: str, weights: Weights) -> str:
     """The blocks of the main text, joined by one space; empty if there is none."""
     seen = list(tokens(page))
     scope = _scope(seen)
+    holders = _holders(seen, scope)
     scores = []
     good, price = [], 0.0
     for kind, value, keys in seen:
+        if holders and scope in keys:
+            at = keys.index(scope)
+            keys = (*(k for k in keys[:at] if k not in holders), *keys[at:])
         w = weights.word(keys, bool(scope) and scope not in keys)
         good.append(w > 0)
         if w > 0:

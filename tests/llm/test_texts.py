@@ -182,3 +182,17 @@ def test_licences(spark):
     (mit,) = [x for x in got if x.doc_id == 6000]
     assert mit.labels == "mit" and mit.base_labels == "" and mit.score > 0
     assert licences.scan_licences(cases.empty(spark)).count() == 0
+
+
+def test_html_words_are_not_lost_to_what_is_around_them():
+    weights = htmlmain.learn(htmlmain.labelled_pages())
+    text = "These are the words of a long enough article about rivers and the towns that stand beside them."
+    article = f"<article><p>{text}</p></article>"
+    for page in (
+        f'<body><article style="overflow:hidden"><p>{text}</p></article></body>', f'<body><div class="overflow-hidden">{article}</div></body>', f'<body><div aria-hidden="false">{article}</div></body>',
+        f'<body class="has-sidebar">{article}</body>', f'<body class="has-sidebar"><div><p>{text}</p></div></body>', f'<body><div class="layout has-sidebar">{article}<div class="sidebar"><p>other words</p></div></div></body>', f'<body><div data-title="hidden">{article}</div></body>',
+    ):
+        assert htmlmain.main_text(page, weights) == text, page
+    for hidden in ("hidden", 'style="color:red; display: none"', "aria-hidden='true'", 'HIDDEN=""'):
+        assert htmlmain.main_text(f"<body><article><p>{text}</p><div {hidden}><p>left out</p></div></article></body>", weights) == text
+    assert htmlmain.main_text(f'<body><div class="has-sidebar"><article><p>{text}</p><div class="sidebar"><p>left out</p></div></article></div></body>', weights) == text
