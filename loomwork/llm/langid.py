@@ -1,8 +1,8 @@
 """Language identification: sparse multinomial logistic regression on TF-IDF character n-grams.
 
 Texts are reduced to lower-case letters and single spaces; n-grams of 1 to 3 characters are hashed to a fixed
-number of features. Document frequencies are counted over all learning documents, in one distributed pass that
-also keeps the counts of a bounded sample. The model is trained on the sample with follow-the-regularised-leader
+number of features. Languages and document frequencies are counted over all learning documents; the pass over
+the texts also keeps the counts of a bounded sample of each language. The model is trained on the sample with follow-the-regularised-leader
 (FTRL-proximal, elastic net: L1 makes the weights sparse), and a temperature, fitted on a part of the sample
 kept back, calibrates the probabilities.
 """
@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,8 +22,10 @@ from .common import col, crc_of_id, small_batches, texts_of, written
 
 FEATURES = 1 << 15
 ORDERS = (1, 2, 3)
-#: At most so many documents train the weights (chosen by a hash); document frequencies count all.
-MAX_TRAIN = 3000
+#: So many documents train the weights (chosen by a hash, each language by its share); document frequencies count all.
+MAX_TRAIN = 6000
+#: Of each language at least so many, or all that there are.
+LEAST_TRAIN = 100
 UNKNOWN = "und"
 _TOP = 0x110000
 _MIX = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
@@ -133,41 +135,44 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     spark = docs.sparkSession
     small_batches(spark)
     own = docs.where(learn & col(lang_col).isNotNull()).select(F.xxhash64(F.lit("langid"), col(id_col)).alias("h"), col(text_col).alias("text"), col(lang_col).alias("lang"))
-    number = own.count()
-    chosen = min(1.0, max_train / max(1, number))
-    below = int(-(2**63) + chosen * 2**64) - (chosen == 1.0)
+    of = {r["lang"]: r["count"] for r in own.groupBy("lang").count().collect()}  # a row for each language
+    number = sum(of.values())
+    quota = {x: min(k, max(LEAST_TRAIN, -(-max_train * k // number))) for x, k in of.items()}
+    below = {x: -(2**63) + quota[x] * 2**64 // k - (quota[x] == k) for x, k in of.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(features, np.int64)
-        empty = [[], []]
         for b in batches:
             rows = []
             for h, text, lang in zip(b.column("h").to_pylist(), texts_of(b, "text"), b.column("lang").to_pylist(), strict=True):
                 at, n = counts(text, features)
                 seen[at] += 1
-                if h <= below and len(at):
+                if h <= below[lang] and len(at):
                     rows.append((h, lang, at, n))
             if rows:
-                yield pa.record_batch([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows]), *(pa.array([r[k] for r in rows], pa.list_(pa.int32())) for k in (2, 3)), pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.int64())], ["h", "lang", "at", "n", "feature", "df"])
+                yield pa.record_batch([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows]), *(pa.array([r[k].tobytes() for r in rows], pa.binary()) for k in (2, 3)), pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.int64())], ["h", "lang", "at", "n", "feature", "df"])
         at = np.flatnonzero(seen).astype(np.int32)
         k = len(at)
-        yield pa.record_batch([pa.nulls(k, pa.int64()), pa.nulls(k, pa.string()), *(pa.array(empty[:1] * k, pa.list_(pa.int32())) for _ in range(2)), pa.array(at), pa.array(seen[at])], ["h", "lang", "at", "n", "feature", "df"])
+        yield pa.record_batch([pa.nulls(k, pa.int64()), pa.nulls(k, pa.string()), *(pa.nulls(k, pa.binary()) for _ in range(2)), pa.array(at), pa.array(seen[at])], ["h", "lang", "at", "n", "feature", "df"])
 
-    found = written(own.mapInArrow(run, "h bigint, lang string, at array<int>, n array<int>, feature int, df bigint"), "langid")
+    found = written(own.mapInArrow(run, "h bigint, lang string, at binary, n binary, feature int, df bigint"), "langid")
     df = found.where("feature is not null").groupBy("feature").agg(F.sum("df").alias("df")).toPandas()  # `features` rows at most
-    sample = found.where("lang is not null").orderBy("h", "lang", "at", "n").limit(max_train).select("lang", "at", "n").toPandas()
+    order = F.row_number().over(Window.partitionBy("lang").orderBy("h", "at", "n"))
+    most = F.create_map(*[F.lit(y) for x in quota.items() for y in x])[F.col("lang")] if quota else F.lit(0)
+    sample = found.where("lang is not null").withColumn("k", order).where(F.col("k") <= most).select("lang", "k", "at", "n")
     idf = np.zeros(features)
     idf[df["feature"].to_numpy()] = np.log((1 + number) / (1 + df["df"].to_numpy())) + 1
-    languages = tuple(sorted(set(sample["lang"])))
+    languages = tuple(sorted(of))
     model = Model(languages, idf, np.zeros((features + 1, len(languages))), 1.0)
     if not languages:
         return model
     index = {x: i for i, x in enumerate(languages)}
-    rows = [(np.asarray(a), model.vector(np.asarray(a), np.asarray(n)), index[x]) for x, a, n in sample.itertuples(index=False)]
-    del sample, df  # the driver may be small
-    cut = len(rows) - len(rows) // 5
-    weights = _ftrl(rows[:cut], features, len(languages))
-    kept = rows[cut:] or rows
+    rows, kept = [], []
+    for r in sorted(sample.toLocalIterator(), key=lambda r: (r["lang"], r["k"])):  # bytes, since the driver may be small
+        at, n = (np.frombuffer(bytes(r[c]), np.int32) for c in ("at", "n"))
+        (rows if r["k"] % 5 else kept).append((at, model.vector(at, n), index[r["lang"]]))
+    weights = _ftrl(rows, features, len(languages))
+    kept = kept or rows
     scores = np.array([x @ weights[at] + weights[-1] for at, x, _ in kept])
     return Model(languages, idf.astype(np.float32), weights.astype(np.float32), _temperature(scores, np.array([y for *_, y in kept])))
 

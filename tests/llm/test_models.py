@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from loomwork.llm import gbdt, langid, pii, quality
 
@@ -54,6 +55,16 @@ def test_language_on_held_out_documents(spark):
     assert kept.columns == cases.SCHEMA.names and 190 <= kept.count() < len(data)
 
 
+def test_rare_languages_are_learnt(spark):
+    r = random.Random(5)
+    rare = [f"x{k}" for k in range(20)]  # each with letters of its own
+    prose = lambda x: " ".join("".join(chr(0x4E00 + 40 * rare.index(x) + r.randrange(30)) for _ in range(5)) for _ in range(30))
+    data = [(i, cases.prose(r, "en", 40), "en", "s") for i in range(3000)] + [(5000 + 10 * k + i, prose(x), x, "s") for k, x in enumerate(rare) for i in range(4)]
+    model = langid.train(cases.frame(spark, data), F.lit(True), max_train=100)
+    assert model.languages == ("en", *sorted(rare))
+    assert [model.predict(prose(x))[0] for x in rare] == rare and model.predict(cases.prose(r, "en", 40))[0] == "en"
+
+
 def test_no_language_to_learn(spark):
     got = langid.predict_languages(cases.frame(spark, [(1, "some text", None, "s"), (2, "more", None, "s")])).collect()
     assert {x.lang_pred for x in got} == {"und"}
