@@ -16,6 +16,8 @@ and then the similarity of the sets themselves is worked out.
 from __future__ import annotations
 
 import math
+import os
+import tempfile
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -36,6 +38,8 @@ BLOCK = 20_000
 BROADCAST_NODES = 1_000_000
 #: Meetings of more rows than this give a spanning forest, smaller ones their links.
 SMALL = 64
+#: Bytes of shingle sets that a task holds in memory; those of a larger meeting wait in a temporary file.
+SETS_BYTES = 128 << 20
 
 
 @dataclass(frozen=True)
@@ -107,9 +111,15 @@ def shingle_hashes(text: bytes, words: int) -> np.ndarray:
 
 def fingerprint(text: bytes, plan: Plan = EXACT) -> bytes:
     """Little-endian bytes of the fingerprint of a UTF-8 text: bit i is 1 if set in over half of the shingles' hashes (in the wide form of the distinct ones); no words: zero."""
+    return _fingerprint(_hashes(text, plan), plan)
+
+
+def _hashes(text: bytes, plan: Plan) -> np.ndarray:
     hashes = shingle_hashes(text, plan.words)
-    if plan.similarity is not None:
-        hashes = np.unique(hashes)
+    return hashes if plan.similarity is None else np.unique(hashes)
+
+
+def _fingerprint(hashes: np.ndarray, plan: Plan) -> bytes:
     return np.packbits(_bit_sums(hashes, plan.bits) * 2 > len(hashes), bitorder="little").tobytes()
 
 
@@ -147,23 +157,75 @@ def _filed(prints: DataFrame, plan: Plan, balls: bool = True) -> DataFrame:
     return prints.select("node", "fp").mapInArrow(run, "key bigint, node bigint, sub bigint, ball boolean")
 
 
-def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The sorted rows in pieces that end where a key ends."""
-    held: list[pa.RecordBatch] = []
+def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """One batch of all rows; binary columns with 64-bit offsets, since those of 32 bits end at 2 GB."""
+    table = pa.Table.from_batches(parts)
+    wide = pa.schema([f.with_type(pa.large_binary()) if pa.types.is_binary(f.type) else f for f in table.schema])
+    (out,) = table.cast(wide).combine_chunks().to_batches()
+    return out
+
+
+def _key_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, bool]]:
+    """The sorted rows in slices, and whether a key ends before the slice."""
+    last = None
     for b in batches:
         if not b.num_rows:
             continue
         keys = b.column(0).to_numpy(zero_copy_only=False)
         cut = int(np.searchsorted(keys, keys[-1]))
         if cut:
-            yield pa.Table.from_batches([*held, b.slice(0, cut)]).combine_chunks().to_batches()[0]
-            held = []
-        elif held and held[-1].column(0)[0].as_py() != keys[0]:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            yield b.slice(0, cut), last is not None and last != keys[0]
+            last = keys[0]
+        yield b.slice(cut), bool(cut) or (last is not None and last != keys[-1])
+        last = keys[-1]
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sorted rows in pieces that end where a key ends."""
+    held: list[pa.RecordBatch] = []
+    for b, ends in _key_ends(batches):
+        if ends and held:
+            yield _joined(held)
             held = []
-        held.append(b.slice(cut))
+        held.append(b)
     if held:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        yield _joined(held)
+
+
+class _Sets:
+    """Sorted shingle hashes of rows, in memory up to `most` bytes and else in a temporary file, which goes with the object."""
+
+    def __init__(self, most: int) -> None:
+        self.most, self.bytes, self.ends, self.held, self.file = most, 0, [], [], None
+
+    def add(self, sets: list[bytes]) -> None:
+        for x in sets:
+            self.bytes += len(x)
+            self.ends.append(self.bytes)
+            if self.file is None:
+                self.held.append(x)
+                if self.bytes > self.most:
+                    self.file = tempfile.TemporaryFile()
+                    self.file.writelines(self.held)
+                    self.held = []
+            else:
+                self.file.write(x)
+
+    def done(self) -> None:
+        if self.file is not None:
+            self.file.flush()
+
+    def size(self, k: int) -> int:
+        return (self.ends[k] - (self.ends[k - 1] if k else 0)) // 8
+
+    def __getitem__(self, k: int) -> np.ndarray:
+        if self.file is None:
+            return np.frombuffer(self.held[k], np.uint64)
+        n, at, parts = 8 * self.size(k), self.ends[k] - 8 * self.size(k), []
+        while n:  # one call reads 2 GB at most
+            parts.append(os.pread(self.file.fileno(), n, at))
+            n, at = n - len(parts[-1]), at + len(parts[-1])
+        return np.frombuffer(b"".join(parts), np.uint64)
 
 
 def _forest(prints: np.ndarray, table: np.ndarray, most: int, similar: Callable[[int, np.ndarray], np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -181,6 +243,8 @@ def _forest(prints: np.ndarray, table: np.ndarray, most: int, similar: Callable[
             x = parent[up]
 
     for i in np.flatnonzero(table):
+        if len(a) == len(prints) - 1:  # all hang together
+            break
         near = np.flatnonzero(np.bitwise_count(prints ^ prints[i]).sum(axis=1, dtype=np.int32) <= most)
         root = roots(near)
         if similar is not None:
@@ -271,15 +335,19 @@ def _near_members(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in _whole_groups(batches):
+            keys = piece.column(0).to_numpy(zero_copy_only=False)
             prints = np.frombuffer(b"".join(piece.column(2).to_pylist()), np.uint64).reshape(piece.num_rows, -1)
             has = np.zeros(piece.num_rows, bool)
-            for s, e in zip(*map(np.ndarray.tolist, runs(piece.column(0).to_numpy(zero_copy_only=False))), strict=True):
+            for s, e in zip(*map(np.ndarray.tolist, runs(keys)), strict=True):
                 for i in range(s, e - 1):
                     near = np.bitwise_count(prints[i + 1 : e] ^ prints[i]).sum(axis=1, dtype=np.int32) <= plan.distance
                     if near.any():
                         has[i] = True
                         has[i + 1 : e] |= near
-            yield piece.filter(pa.array(has))
+            at = np.flatnonzero(has)
+            for k in range(0, len(at), 20_000):
+                part = piece.take(pa.array(at[k : k + 20_000]))
+                yield pa.record_batch([part.column(0), part.column(1), part.column(2).cast(pa.binary())], ["key", "node", "fp"])
 
     return run
 
@@ -295,33 +363,58 @@ def _sets(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
     return run
 
 
-def _verified(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _verified(plan: Plan, most: int = SETS_BYTES) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A spanning forest of each meeting's links: pairs within the complete distance whose sets are similar enough."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in _whole_groups(batches):
-            key, node = (piece.column(i).to_numpy(zero_copy_only=False) for i in range(2))
-            prints = np.frombuffer(b"".join(piece.column(2).to_pylist()), np.uint64).reshape(len(key), -1)
-            sets = [np.frombuffer(x, np.uint64) for x in piece.column(3).to_pylist()]
-            links: list[tuple[np.ndarray, np.ndarray]] = []
-            for s, e in zip(*map(np.ndarray.tolist, runs(key)), strict=True):
-                own = sets[s:e]
-                size = np.fromiter(map(len, own), np.int64, e - s)
-                known, ids = np.unique(np.concatenate(own), return_inverse=True)
-                ends = np.cumsum(size)
+    def forests(keys: list[np.ndarray], nodes: list[np.ndarray], fps: list[bytes], sets: _Sets) -> Iterator[pa.RecordBatch]:
+        sets.done()
+        key, node = np.concatenate(keys), np.concatenate(nodes)
+        prints = np.frombuffer(b"".join(fps), np.uint64).reshape(len(key), -1)
+        for s, e in zip(*map(np.ndarray.tolist, runs(key)), strict=True):
+            size = np.fromiter(map(sets.size, range(s, e)), np.int64, e - s)
+            ends = np.cumsum(size)
+            enough = lambda i, j, both, size=size: both >= plan.similarity * (size[i] + size[j] - both) - 1e-9
+            if sets.file is None:
+                known, ids = np.unique(np.concatenate([sets[k] for k in range(s, e)]), return_inverse=True)
                 has = np.zeros(len(known), bool)
 
-                def similar(i: int, j: np.ndarray, ids=ids, ends=ends, size=size, has=has) -> np.ndarray:
+                def similar(i: int, j: np.ndarray, ids=ids, ends=ends, size=size, has=has, enough=enough) -> np.ndarray:
+                    j = np.asarray(j)
+                    fit = np.minimum(size[j], size[i]) >= plan.similarity * np.maximum(size[j], size[i]) - 1e-9
                     mine = ids[ends[i] - size[i] : ends[i]]
                     has[mine] = True
-                    both = np.fromiter((np.count_nonzero(has[ids[ends[k] - size[k] : ends[k]]]) for k in j.tolist()), np.int64, len(j))
+                    both = np.zeros(len(j), np.int64)
+                    both[fit] = [np.count_nonzero(has[ids[ends[k] - size[k] : ends[k]]]) for k in j[fit].tolist()]
                     has[mine] = False
-                    return both >= plan.similarity * (size[i] + size[j] - both) - 1e-9
+                    return fit & enough(i, j, both)
+
+            else:
+
+                def similar(i: int, j: np.ndarray, s=s, enough=enough) -> np.ndarray:
+                    mine = sets[s + i]
+
+                    def shared(k: int) -> int:
+                        other = sets[s + k]
+                        return int((mine[np.minimum(np.searchsorted(mine, other), len(mine) - 1)] == other).sum())
 
-                a, b = _forest(prints[s:e], np.ones(e - s, bool), plan.distance, similar)
-                links.append((node[s:e][a], node[s:e][b]))
-            if links:
-                yield pa.record_batch([np.concatenate([x[0] for x in links]), np.concatenate([x[1] for x in links])], ["a", "b"])
+                    return enough(i, j, np.fromiter(map(shared, j.tolist()), np.int64, len(j)))
+
+            a, b = _forest(prints[s:e], np.ones(e - s, bool), plan.distance, similar)
+            if len(a):
+                yield pa.record_batch([node[s:e][a], node[s:e][b]], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = ([], [], [], _Sets(most))
+        for b, ends in _key_ends(batches):
+            if ends and held[0]:
+                yield from forests(*held)
+                held = ([], [], [], _Sets(most))
+            for k in range(2):
+                held[k].append(b.column(k).to_numpy(zero_copy_only=False))
+            held[2].extend(b.column(2).to_pylist())
+            held[3].add(b.column(3).to_pylist())
+        if held[0]:
+            yield from forests(*held)
 
     return run
 

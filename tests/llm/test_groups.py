@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 from loomwork.llm import components, mixing, radix, simhash
@@ -164,3 +165,20 @@ def test_mixture(spark):
     assert {(sizes[s], round(target[s], 6)) for s in order} == {(a, round(b, 6)) for a, b in by}
     again = mixing.mix_sources(cases.frame(spark, data), range_rows=1000).collect()
     assert Counter((r.doc_id, r.size, r.taken) for r in got) == Counter((r.doc_id, r.size, r.taken) for r in again)
+
+
+def test_whole_groups_keep_rows_beyond_2_gb():
+    big = pa.array([b"\0" * (60 << 20)] * 12, pa.binary())
+    batches = [pa.record_batch([np.full(12, 7), big], ["key", "hashes"])] * 3  # 2.1 GB under one key
+    assert sum(x.num_rows for x in simhash._whole_groups(iter(batches))) == 36
+
+
+def test_sets_of_a_large_meeting_wait_in_a_file():
+    r = np.random.default_rng(1)
+    plan = simhash.for_similarity(0.8)
+    base = np.unique(r.integers(1 << 62, size=500).astype(np.uint64))
+    sets = [np.sort(np.concatenate([base[: 500 - 10 * (k % 4)], r.integers(1 << 62, size=1).astype(np.uint64)])) for k in range(20)]
+    sets += [np.unique(r.integers(1 << 62, size=500).astype(np.uint64)) for _ in range(5)]
+    rows = pa.record_batch([np.full(25, 7), np.arange(25), pa.array([bytes(plan.bits // 8)] * 25, pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary())], ["key", "node", "fp", "hashes"])
+    links = [[tuple(x.values()) for b in simhash._verified(plan, most)(iter([rows.slice(0, 9), rows.slice(9)])) for x in b.to_pylist()] for most in (1 << 30, 1000)]
+    assert links[0] == links[1] and {x for p in links[0] for x in p} == set(range(20)) and len(links[0]) == 19
