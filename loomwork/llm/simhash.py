@@ -8,9 +8,11 @@ distance. A value that very many fingerprints share is cut into blocks of the ta
 and a large meeting gives a spanning forest of its links instead of all pairs: the components stay the same.
 
 The 64-bit form (two segments of 32 bits) is exact for distances up to 3. The wide form is for a similarity of
-shingle sets, of which 64 bits say too little: the fingerprint has 256 bits, of which 12 segments of 16 bits are
+shingle sets, of which 64 bits say too little: the fingerprint has 320 bits, of which 16 segments of 16 bits are
 filed and looked up; lookups that meet pass a check of the other 64 bits; of the survivors the complete distance
-and then the similarity of the sets themselves is worked out.
+and then the similarity of the sets themselves is worked out. Bits of few shingles say too little: documents of up
+to SHORT distinct shingles also meet under the first of their hashes in order, so many that two similar sets share
+one (a prefix filter), and there the similarity alone decides: among them every link is found.
 """
 
 from __future__ import annotations
@@ -38,6 +40,10 @@ BLOCK = 20_000
 BROADCAST_NODES = 1_000_000
 #: Meetings of more rows than this give a spanning forest, smaller ones their links.
 SMALL = 64
+#: Documents of up to so many distinct shingles are compared without fingerprints (wide form).
+SHORT = 64
+#: Keys of shingles have this bit, keys of segments don't.
+BY_SHINGLE = 1 << 62
 #: Bytes of shingle sets that a task holds in memory; those of a larger meeting wait in a temporary file.
 SETS_BYTES = 128 << 20
 
@@ -62,16 +68,16 @@ class Plan:
 EXACT = Plan(3, 64, ((0, 32), (32, 32)), 3, near=3)
 
 
-def for_similarity(similarity: float, words: int = 5, segments: int = 12, width: int = 16) -> Plan:
+def for_similarity(similarity: float, words: int = 5, segments: int = 16, width: int = 16) -> Plan:
     """Sets of shingles with a Jaccard similarity s have a cosine of 2s / (1 + s); bits differ with probability angle / pi.
 
     A pair at similarity 0.8 differs in 15 % of the bits; it meets in a segment of 16 bits with probability
-    0.28, in one of 12 with 0.98 (0.85: 0.997), and is within the distances allowed (3.2 standard deviations)
-    with 0.999. Wider segments, and more of them, suit corpora of more than about 100 million different
+    0.28, in one of 16 with 0.994 (0.85: 0.999), and is within the distances allowed (4 standard deviations)
+    with 0.9999; these hold for large sets, small ones meet by their shingles. Wider segments, and more of them, suit corpora of more than about 100 million different
     documents: fewer strangers meet, each document is looked up more often.
     """
     p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    most = lambda bits: math.ceil(bits * p + 3.2 * math.sqrt(bits * p * (1 - p)))
+    most = lambda bits: math.ceil(bits * p + 4 * math.sqrt(bits * p * (1 - p)))
     check = -(-segments * width // 64)
     return Plan(words, 64 * (check + 1), tuple((i * width, width) for i in range(segments)), most(64 * (check + 1)), check, most(64), similarity)
 
@@ -123,6 +129,14 @@ def _fingerprint(hashes: np.ndarray, plan: Plan) -> bytes:
     return np.packbits(_bit_sums(hashes, plan.bits) * 2 > len(hashes), bitorder="little").tobytes()
 
 
+def _prefix(hashes: np.ndarray, plan: Plan) -> bytes | None:
+    """The least hashes of a short document, of which it shares one with every similar document; None for others."""
+    n = len(hashes)
+    if plan.similarity is None or not 0 < n <= SHORT:
+        return None
+    return hashes[: n - math.ceil(plan.similarity * n - 1e-9) + 1].tobytes()
+
+
 def fingerprints(docs: DataFrame, plan: Plan = EXACT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fp (binary) for each row; null and empty texts have a fingerprint of zeros."""
     small_batches(docs.sparkSession)
@@ -339,6 +353,9 @@ def _near_members(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
             prints = np.frombuffer(b"".join(piece.column(2).to_pylist()), np.uint64).reshape(piece.num_rows, -1)
             has = np.zeros(piece.num_rows, bool)
             for s, e in zip(*map(np.ndarray.tolist, runs(keys)), strict=True):
+                if keys[s] & BY_SHINGLE:
+                    has[s:e] = e - s > 1
+                    continue
                 for i in range(s, e - 1):
                     near = np.bitwise_count(prints[i + 1 : e] ^ prints[i]).sum(axis=1, dtype=np.int32) <= plan.distance
                     if near.any():
@@ -364,7 +381,7 @@ def _sets(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
 
 
 def _verified(plan: Plan, most: int = SETS_BYTES) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A spanning forest of each meeting's links: pairs within the complete distance whose sets are similar enough."""
+    """A spanning forest of each meeting's links: pairs within the complete distance (any, of those that meet by a shingle) whose sets are similar enough."""
 
     def forests(keys: list[np.ndarray], nodes: list[np.ndarray], fps: list[bytes], sets: _Sets) -> Iterator[pa.RecordBatch]:
         sets.done()
@@ -399,7 +416,7 @@ def _verified(plan: Plan, most: int = SETS_BYTES) -> Callable[[Iterator[pa.Recor
 
                     return enough(i, j, np.fromiter(map(shared, j.tolist()), np.int64, len(j)))
 
-            a, b = _forest(prints[s:e], np.ones(e - s, bool), plan.distance, similar)
+            a, b = _forest(prints[s:e], np.ones(e - s, bool), plan.bits if key[s] & BY_SHINGLE else plan.distance, similar)
             if len(a):
                 yield pa.record_batch([node[s:e][a], node[s:e][b]], ["a", "b"])
 
@@ -419,8 +436,17 @@ def _verified(plan: Plan, most: int = SETS_BYTES) -> Callable[[Iterator[pa.Recor
     return run
 
 
+def _by_shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """a (key), b (node) for each hash of the prefixes of short documents."""
+    for b in batches:
+        raw = b.column(1).to_pylist()
+        hashes = np.frombuffer(b"".join(raw), np.uint64)
+        node = np.repeat(b.column(0).to_numpy(zero_copy_only=False), [len(x) // 8 for x in raw])
+        yield pa.record_batch([(hashes >> np.uint64(2)).astype(np.int64) | BY_SHINGLE, node], ["a", "b"])
+
+
 def links(prints: DataFrame, plan: Plan = EXACT, block: int = BLOCK, texts: DataFrame | None = None) -> DataFrame:
-    """Edges (a, b) between nodes, whose components are those of all links. prints: node bigint, fp binary; equal fingerprints once. texts (wide form): node, text."""
+    """Edges (a, b) between nodes, whose components are those of all links. prints: node bigint, fp binary; equal fingerprints once; short (wide form): the prefix of a short document or null. texts (wide form): node, text."""
     spark: SparkSession = prints.sparkSession
     small_batches(spark, 20_000)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -436,6 +462,8 @@ def links(prints: DataFrame, plan: Plan = EXACT, block: int = BLOCK, texts: Data
     met = rows.repartition(n, "key").sortWithinPartitions("key", "ball").mapInArrow(_meet(plan, wide), "a bigint, b bigint")
     if not wide:
         return met
+    if "short" in prints.columns:
+        met = met.unionAll(prints.where("short is not null").select("node", "short").mapInArrow(_by_shingle, "a bigint, b bigint").distinct())
     by_key = lambda df: df.repartition(n, "key").sortWithinPartitions("key")
     members = met.select(F.col("a").alias("key"), F.col("b").alias("node")).join(prints.select("node", "fp"), "node").select("key", "node", "fp")
     near = written(by_key(members).mapInArrow(_near_members(plan), "key bigint, node bigint, fp binary"), "simhash-near")
@@ -458,19 +486,25 @@ def near_duplicates(docs: DataFrame, plan: Plan = EXACT, id_col: str = "doc_id",
     small_batches(docs.sparkSession)
     names = carry or []
     wide = plan.similarity is not None
+    added = ["fp", "short"] if wide else ["fp"]
     kept = ["doc_id", *(["text"] if wide and text_col not in names else []), *(["row"] if names else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = pa.array([fingerprint(t, plan) for t in bytes_of(b, "text")], pa.binary())
-            yield pa.record_batch([*(c for c, f in zip(b.columns, b.schema.names, strict=True) if f in kept), fp], [*kept, "fp"])
+            fp, short = [], []
+            for t in bytes_of(b, "text"):
+                hashes = _hashes(t, plan)
+                fp.append(_fingerprint(hashes, plan))
+                short.append(_prefix(hashes, plan))
+            new = [pa.array(x, pa.binary()) for x in ((fp, short) if wide else (fp,))]
+            yield pa.record_batch([*(c for c, f in zip(b.columns, b.schema.names, strict=True) if f in kept), *new], [*kept, *added])
 
     own = docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text"), *([F.struct(*[col(c) for c in names]).alias("row")] if names else []))
-    made = own.mapInArrow(run, T.StructType([*(f for f in own.schema if f.name in kept), T.StructField("fp", T.BinaryType())]))
+    made = own.mapInArrow(run, T.StructType([*(f for f in own.schema if f.name in kept), *(T.StructField(x, T.BinaryType()) for x in added)]))
     rows = written(made.withColumn("rid", F.monotonically_increasing_id()), "simhash")
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("rid").alias("rid"))
     # Each fingerprint once; its node is the row id of its first row.
-    prints = written(rows.groupBy("fp").agg(F.min(order).alias("first"), F.min("rid").alias("node")), "simhash-prints")
+    prints = written(rows.groupBy("fp").agg(F.min(order).alias("first"), F.min("rid").alias("node"), *([F.min_by("short", "rid").alias("short")] if wide else [])), "simhash-prints")
     texts = rows.select(F.col("rid").alias("node"), (F.col("text") if "text" in kept else F.col("row").getField(text_col)).alias("text")) if wide else None
     roots = written(connected_components(links(prints, plan, texts=texts)), "simhash-roots")
     linked = prints.join(roots, "node", "left").select("fp", "first", F.coalesce("root", "node").alias("root"))

@@ -167,6 +167,32 @@ def test_mixture(spark):
     assert Counter((r.doc_id, r.size, r.taken) for r in got) == Counter((r.doc_id, r.size, r.taken) for r in again)
 
 
+def test_short_similar_documents_all_link(spark):
+    r = random.Random(9)
+    words = [f"w{i}" for i in range(400)]
+    texts = [[r.choice(words) for _ in range(r.randint(5, 20))] for _ in range(150)]
+    for t in texts[:150]:
+        texts.append([*t, "more"])
+        texts.append(["x", *t] if r.random() < 0.5 else t[:-1])
+    texts = list(dict.fromkeys(" ".join(t) for t in texts))
+    sets = [set(simhash.shingle_hashes(t.encode(), 5).tolist()) for t in texts]
+    parent = list(range(len(texts)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) * 5 >= 4 * len(sets[i] | sets[j]):
+                a, b = find(i), find(j)
+                parent[max(a, b)] = min(a, b)
+    got = simhash.near_duplicates(cases.frame(spark, [(i, t, "en", "s") for i, t in enumerate(texts)]), simhash.for_similarity(0.8)).collect()
+    assert len({find(i) for i in range(len(texts))}) < len(texts) - 50
+    assert {x.doc_id: x.component_id for x in got} == {i: find(i) for i in range(len(texts))}
+
+
 def test_whole_groups_keep_rows_beyond_2_gb():
     big = pa.array([b"\0" * (60 << 20)] * 12, pa.binary())
     batches = [pa.record_batch([np.full(12, 7), big], ["key", "hashes"])] * 3  # 2.1 GB under one key
