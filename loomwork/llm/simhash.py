@@ -4,33 +4,34 @@ A fingerprint is cut into segments. Two fingerprints that differ in few bits agr
 bit, so each fingerprint is filed under its value of every segment (the table) and looked up under the values
 one bit away (the small Hamming ball). Of two values one bit apart exactly one has that bit set, so only the
 set bits are flipped: half the ball finds every pair once. What meets under a value is verified by the complete
-distance. A value that very many fingerprints share is cut into blocks of the table that each meet all lookups,
-and a large meeting gives a spanning forest of its links instead of all pairs: the components stay the same.
+distance and gives a spanning forest of its links, of which a task reports only those that join what it has not
+seen joined: a large group costs a row a document, not a pair. A value that very many fingerprints share is cut
+into blocks of the table that each meet all lookups.
 
 The 64-bit form (two segments of 32 bits) is exact for distances up to 3. The wide form is for a similarity of
-shingle sets, of which 64 bits say too little: the fingerprint has 320 bits, of which 16 segments of 16 bits are
-filed and looked up; lookups that meet pass a check of the other 64 bits; of the survivors the complete distance
-and then the similarity of the sets themselves is worked out. Bits of few shingles say too little: documents of up
-to SHORT distinct shingles also meet under the first of their hashes in order, so many that two similar sets share
-one (a prefix filter), and there the similarity alone decides: among them every link is found.
+shingle sets, of which 64 bits say too little. It has 256 bits in 16 segments of 16 bits and two rounds: documents
+that agree in a segment, and then, by what the first round has joined, those that agree up to one bit. What hangs
+together within the distance allowed is a cluster; each document of a cluster comes once with its set of shingles,
+and the sets decide which links there are. Clusters of large sets are cut into blocks, each pair of which is a
+group of its own. Bits of few shingles say too little: documents of up to SHORT distinct shingles, and those that
+may be similar to one, meet under their rarest shingles, so many that two similar sets share one (a prefix
+filter), and there the sets alone decide: every such link is found.
 """
 
 from __future__ import annotations
 
 import math
-import os
-import tempfile
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bytes_of, col, runs, small_batches, written
+from .common import bytes_of, col, forget, runs, small_batches, written
 from .components import connected_components
 
 HASH_SEED = 42
@@ -38,48 +39,46 @@ HASH_SEED = 42
 BLOCK = 20_000
 #: Ids of near documents up to this number (8 bytes each) go to all executors to fetch the texts; more are joined by a shuffle.
 BROADCAST_NODES = 1_000_000
-#: Meetings of more rows than this give a spanning forest, smaller ones their links.
+#: Meetings of more rows than this are searched row by row, smaller ones pair by pair.
 SMALL = 64
-#: Documents of up to so many distinct shingles are compared without fingerprints (wide form).
+#: Links of documents with up to so many distinct shingles are found without fingerprints (wide form).
 SHORT = 64
-#: Keys of shingles have this bit, keys of segments don't.
-BY_SHINGLE = 1 << 62
-#: Bytes of shingle sets that a task holds in memory; those of a larger meeting wait in a temporary file.
-SETS_BYTES = 128 << 20
+#: Bytes of shingle sets in one block; a group that is verified at once has two blocks at most.
+SETS_BYTES = 32 << 20
 
 
 @dataclass(frozen=True)
 class Plan:
     """words: of a shingle; bits: of the fingerprint; segments: offset and width; distance: largest that links.
 
-    Wide form: check: the 64-bit word that lookups are checked by, near: its largest distance, similarity: least of the sets of distinct shingles.
+    Wide form: near: largest distance of one 64-bit word, looked at before the complete one; similarity: least of the sets of distinct shingles.
     """
 
     words: int
     bits: int
     segments: tuple[tuple[int, int], ...]
     distance: int
-    check: int = 0
     near: int = 64
     similarity: float | None = None
 
 
 #: 3-word shingles, repeats included; 3 bits at most. One of two segments differs in one bit at most.
-EXACT = Plan(3, 64, ((0, 32), (32, 32)), 3, near=3)
+EXACT = Plan(3, 64, ((0, 32), (32, 32)), 3)
 
 
 def for_similarity(similarity: float, words: int = 5, segments: int = 16, width: int = 16) -> Plan:
     """Sets of shingles with a Jaccard similarity s have a cosine of 2s / (1 + s); bits differ with probability angle / pi.
 
     A pair at similarity 0.8 differs in 15 % of the bits; it meets in a segment of 16 bits with probability
-    0.28, in one of 16 with 0.994 (0.85: 0.999), and is within the distances allowed (4 standard deviations)
-    with 0.9999; these hold for large sets, small ones meet by their shingles. Wider segments, and more of them, suit corpora of more than about 100 million different
-    documents: fewer strangers meet, each document is looked up more often.
+    0.28, in one of 16 with 0.994 (0.85: 0.999), and is within the complete distance (4 standard deviations) and
+    the word's (5) with 0.9999; these hold for large sets, small ones meet by their shingles. Wider segments, and
+    more of them, suit corpora of more than about 100 million different documents: fewer strangers meet, each
+    document is looked up more often.
     """
     p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    most = lambda bits: math.ceil(bits * p + 4 * math.sqrt(bits * p * (1 - p)))
-    check = -(-segments * width // 64)
-    return Plan(words, 64 * (check + 1), tuple((i * width, width) for i in range(segments)), most(64 * (check + 1)), check, most(64), similarity)
+    most = lambda bits, sd: math.ceil(bits * p + sd * math.sqrt(bits * p * (1 - p)))
+    bits = 64 * -(-segments * width // 64)
+    return Plan(words, bits, tuple((i * width, width) for i in range(segments)), most(bits, 4), most(64, 5), similarity)
 
 
 def _bit_sums(h: np.ndarray, bits: int) -> np.ndarray:
@@ -129,14 +128,6 @@ def _fingerprint(hashes: np.ndarray, plan: Plan) -> bytes:
     return np.packbits(_bit_sums(hashes, plan.bits) * 2 > len(hashes), bitorder="little").tobytes()
 
 
-def _prefix(hashes: np.ndarray, plan: Plan) -> bytes | None:
-    """The least hashes of a short document, of which it shares one with every similar document; None for others."""
-    n = len(hashes)
-    if plan.similarity is None or not 0 < n <= SHORT:
-        return None
-    return hashes[: n - math.ceil(plan.similarity * n - 1e-9) + 1].tobytes()
-
-
 def fingerprints(docs: DataFrame, plan: Plan = EXACT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fp (binary) for each row; null and empty texts have a fingerprint of zeros."""
     small_batches(docs.sparkSession)
@@ -149,8 +140,10 @@ def fingerprints(docs: DataFrame, plan: Plan = EXACT, id_col: str = "doc_id", te
     return own.mapInArrow(run, T.StructType([own.schema["doc_id"], T.StructField("fp", T.BinaryType())]))
 
 
-def _filed(prints: DataFrame, plan: Plan, balls: bool = True) -> DataFrame:
-    """key, node, sub (the word that lookups are checked by), ball: each fingerprint under its value of each segment, and, with `balls`, under those with one set bit cleared."""
+def _filed(prints: DataFrame, plan: Plan, balls: bool = True, table: bool = True) -> DataFrame:
+    """key, node, w0, w1, ...: each fingerprint (in words of 64 bits) under its value of each segment (`table`), and under those with one set bit cleared (`balls`), there with node as -1 - node."""
+    words = [f"w{i}" for i in range(plan.bits // 64)]
+    names = ["key", "node", *words]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -158,17 +151,18 @@ def _filed(prints: DataFrame, plan: Plan, balls: bool = True) -> DataFrame:
                 part = b.slice(at, 2048)
                 node = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
                 raw = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint8).reshape(part.num_rows, -1)
-                sub = np.ascontiguousarray(raw[:, 8 * plan.check : 8 * plan.check + 8]).view(np.int64)[:, 0]
-                set_ = np.unpackbits(raw[:, : (max(o + w for o, w in plan.segments) + 7) // 8], axis=1, bitorder="little")
+                own = np.ascontiguousarray(raw).view(np.int64)
+                set_ = np.unpackbits(raw, axis=1, bitorder="little")
                 for s, (offset, width) in enumerate(plan.segments):
                     seg = set_[:, offset : offset + width].astype(np.int64)
                     value = (seg << np.arange(width, dtype=np.int64)).sum(axis=1) | (s << 32)
-                    yield pa.record_batch([value, node, sub, np.zeros(len(node), bool)], ["key", "node", "sub", "ball"])
+                    if table:
+                        yield pa.record_batch([value, node, *own.T], names)
                     if balls:
                         i, bit = np.nonzero(seg)
-                        yield pa.record_batch([value[i] & ~(np.int64(1) << bit), node[i], sub[i], np.ones(len(i), bool)], ["key", "node", "sub", "ball"])
+                        yield pa.record_batch([value[i] & ~(np.int64(1) << bit), -1 - node[i], *own[i].T], names)
 
-    return prints.select("node", "fp").mapInArrow(run, "key bigint, node bigint, sub bigint, ball boolean")
+    return prints.select("node", "fp").mapInArrow(run, ", ".join(f"{n} bigint" for n in names))
 
 
 def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -179,104 +173,82 @@ def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
     return out
 
 
-def _key_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, bool]]:
-    """The sorted rows in slices, and whether a key ends before the slice."""
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sorted rows in pieces that end where a key ends."""
+    held: list[pa.RecordBatch] = []
     last = None
     for b in batches:
         if not b.num_rows:
             continue
         keys = b.column(0).to_numpy(zero_copy_only=False)
         cut = int(np.searchsorted(keys, keys[-1]))
-        if cut:
-            yield b.slice(0, cut), last is not None and last != keys[0]
-            last = keys[0]
-        yield b.slice(cut), bool(cut) or (last is not None and last != keys[-1])
-        last = keys[-1]
-
-
-def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The sorted rows in pieces that end where a key ends."""
-    held: list[pa.RecordBatch] = []
-    for b, ends in _key_ends(batches):
-        if ends and held:
+        if held and (cut or last != keys[-1]):
+            if cut:
+                held.append(b.slice(0, cut))
             yield _joined(held)
             held = []
+            b = b.slice(cut)
+        elif cut:
+            yield b.slice(0, cut)
+            b = b.slice(cut)
         held.append(b)
+        last = keys[-1]
     if held:
         yield _joined(held)
 
 
-class _Sets:
-    """Sorted shingle hashes of rows, in memory up to `most` bytes and else in a temporary file, which goes with the object."""
-
-    def __init__(self, most: int) -> None:
-        self.most, self.bytes, self.ends, self.held, self.file = most, 0, [], [], None
-
-    def add(self, sets: list[bytes]) -> None:
-        for x in sets:
-            self.bytes += len(x)
-            self.ends.append(self.bytes)
-            if self.file is None:
-                self.held.append(x)
-                if self.bytes > self.most:
-                    self.file = tempfile.TemporaryFile()
-                    self.file.writelines(self.held)
-                    self.held = []
-            else:
-                self.file.write(x)
-
-    def done(self) -> None:
-        if self.file is not None:
-            self.file.flush()
-
-    def size(self, k: int) -> int:
-        return (self.ends[k] - (self.ends[k - 1] if k else 0)) // 8
-
-    def __getitem__(self, k: int) -> np.ndarray:
-        if self.file is None:
-            return np.frombuffer(self.held[k], np.uint64)
-        n, at, parts = 8 * self.size(k), self.ends[k] - 8 * self.size(k), []
-        while n:  # one call reads 2 GB at most
-            parts.append(os.pread(self.file.fileno(), n, at))
-            n, at = n - len(parts[-1]), at + len(parts[-1])
-        return np.frombuffer(b"".join(parts), np.uint64)
-
-
-def _forest(prints: np.ndarray, table: np.ndarray, most: int, similar: Callable[[int, np.ndarray], np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links (distance up to `most`, and `similar`) between the rows of the table and all rows of one meeting: positions a, b. Rows that hang together already aren't compared by `similar`."""
-    parent = np.arange(len(prints))
-    a: list[int] = []
-    b: list[int] = []
-
-    def roots(x: np.ndarray) -> np.ndarray:
-        while True:
-            up = parent[x]
-            if (up == x).all():
-                return x
-            parent[x] = parent[up]
-            x = parent[up]
-
-    for i in np.flatnonzero(table):
-        if len(a) == len(prints) - 1:  # all hang together
-            break
-        near = np.flatnonzero(np.bitwise_count(prints ^ prints[i]).sum(axis=1, dtype=np.int32) <= most)
-        root = roots(near)
-        if similar is not None:
-            other = root != roots(np.array([i]))[0]
-            far = near[other]
-            near = np.concatenate([[i], far[similar(int(i), far)]]) if len(far) else np.array([i])
-            root = roots(near)
-        new, first = np.unique(root, return_index=True)
-        own = roots(np.array([i]))[0]
-        for r, j in zip(new.tolist(), near[first].tolist(), strict=True):
-            if r != own:
-                a.append(int(i))
-                b.append(j)
-        parent[new] = new.min() if len(new) else own
-    return np.array(a, np.int64), np.array(b, np.int64)
-
-
-def _pairs(starts: np.ndarray, ends: np.ndarray, ball: np.ndarray, chunk: int = 2_000_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+class _Sieve:
+    """Lets a link pass that joins what the links before have not joined."""
+
+    def __init__(self) -> None:
+        self.up: dict[int, int] = {}
+
+    def _root(self, x: int) -> int:
+        up = self.up
+        top = x
+        while (next_ := up.get(top, top)) != top:
+            top = next_
+        while x != top:
+            up[x], x = top, up.get(x, x)
+        return top
+
+    def __call__(self, a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
+        kept: tuple[list[int], list[int]] = [], []
+        for x, y in zip(a.tolist(), b.tolist(), strict=True):
+            r, s = self._root(x), self._root(y)
+            if r != s:
+                self.up[max(r, s)] = min(r, s)
+                kept[0].append(x)
+                kept[1].append(y)
+        return kept
+
+
+def _forest(prints: np.ndarray, starts: int, most: int, similar: Callable[[int, np.ndarray], np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the links (distance up to `most`, and `similar`) among the rows of a meeting, as far as they hang together with one of its first `starts` rows: positions a, b.
+
+    Each row that is reached is compared with those not reached yet, so rows that hang together cost little.
+    """
+    left, rest = np.arange(len(prints)), prints
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    while len(left) > 1 and left[0] < starts:
+        queue, left, rest = [int(left[0])], left[1:], rest[1:]
+        while queue and len(left):
+            i = queue.pop()
+            near = np.flatnonzero(np.bitwise_count(rest ^ prints[i]).sum(axis=1, dtype=np.int32) <= most)
+            if similar is not None and len(near):
+                near = near[similar(i, left[near])]
+            if len(near):
+                new = left[near]
+                a.append(np.full(len(new), i))
+                b.append(new)
+                queue += new.tolist()
+                stays = np.ones(len(left), bool)
+                stays[near] = False
+                left, rest = left[stays], rest[stays]
+    return np.concatenate(a), np.concatenate(b)
+
+
+def _pairs(starts: np.ndarray, ends: np.ndarray, ball: np.ndarray, chunk: int = 1_000_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Positions of each table row with every later row of its group (a group's table rows come first)."""
     n = ends - starts
     if not len(n):
@@ -297,74 +269,36 @@ def _pairs(starts: np.ndarray, ends: np.ndarray, ball: np.ndarray, chunk: int =
             yield i, i + 1 + np.arange(total) - np.repeat(np.concatenate([[0], np.cumsum(m)[:-1]]), m)
 
 
-def _meet(plan: Plan, wide: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Links (a, b) of what meets under a key; in the wide form the members that have a partner (a: key, b: node)."""
+def _meet(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Links (a, b) within the complete distance of what meets under a key, as many as it takes to hold together what hangs together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        new = _Sieve()
         for piece in _whole_groups(batches):
-            key, node, sub, ball = (piece.column(i).to_numpy(zero_copy_only=False) for i in range(4))
-            sub = sub.view(np.uint64)
+            key, node = (piece.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+            words = [piece.column(i).to_numpy(zero_copy_only=False).view(np.uint64) for i in range(2, piece.num_columns)]
+            ball = node < 0
+            node = np.where(ball, -1 - node, node)
             starts, ends = runs(key)
-            table = np.add.reduceat(~ball, starts) if len(starts) else starts
+            table = np.add.reduceat(~ball, starts, dtype=np.int64) if len(starts) else starts
             some = (ends - starts > 1) & (table > 0)
             small = some & (ends - starts <= SMALL)
-            found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for i, j in _pairs(starts[small], ends[small], ball):
-                near = np.bitwise_count(sub[i] ^ sub[j]) <= plan.near
-                i, j = i[near], j[near]
-                if wide:
-                    member = np.unique(np.concatenate([i, j]))
-                    found_a.append(key[member])
-                    found_b.append(node[member])
-                else:
-                    found_a.append(node[i])
-                    found_b.append(node[j])
-            for s, e in zip(starts[some & ~small].tolist(), ends[some & ~small].tolist(), strict=True):
-                if wide:
-                    has = np.zeros(e - s, bool)
-                    for i in range(s, s + int((~ball[s:e]).sum())):
-                        near = np.bitwise_count(sub[s:e] ^ sub[i]) <= plan.near
-                        near[i - s] = False
-                        if near.any():
-                            has |= near
-                            has[i - s] = True
-                    found_a.append(key[s:e][has])
-                    found_b.append(node[s:e][has])
-                else:
-                    a, b = _forest(sub[s:e, None], ~ball[s:e], plan.distance)
-                    found_a.append(node[s:e][a])
-                    found_b.append(node[s:e][b])
-            a, b = np.concatenate(found_a), np.concatenate(found_b)
-            if wide and len(a):  # a member may come in several chunks
-                once = np.unique(np.stack([a, b]), axis=1)
-                a, b = once[0], once[1]
-            for at in range(0, len(a), 20_000):
-                yield pa.record_batch([a[at : at + 20_000], b[at : at + 20_000]], ["a", "b"])
-
-    return run
-
-
-def _near_members(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The members of each meeting that are within the complete distance of another."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in _whole_groups(batches):
-            keys = piece.column(0).to_numpy(zero_copy_only=False)
-            prints = np.frombuffer(b"".join(piece.column(2).to_pylist()), np.uint64).reshape(piece.num_rows, -1)
-            has = np.zeros(piece.num_rows, bool)
-            for s, e in zip(*map(np.ndarray.tolist, runs(keys)), strict=True):
-                if keys[s] & BY_SHINGLE:
-                    has[s:e] = e - s > 1
-                    continue
-                for i in range(s, e - 1):
-                    near = np.bitwise_count(prints[i + 1 : e] ^ prints[i]).sum(axis=1, dtype=np.int32) <= plan.distance
-                    if near.any():
-                        has[i] = True
-                        has[i + 1 : e] |= near
-            at = np.flatnonzero(has)
-            for k in range(0, len(at), 20_000):
-                part = piece.take(pa.array(at[k : k + 20_000]))
-                yield pa.record_batch([part.column(0), part.column(1), part.column(2).cast(pa.binary())], ["key", "node", "fp"])
+                far = np.bitwise_count(words[-1][i] ^ words[-1][j]).astype(np.int32)
+                near = np.flatnonzero((far <= plan.near) & (node[i] != node[j]))
+                i, j, far = i[near], j[near], far[near]
+                for w in words[:-1]:
+                    far += np.bitwise_count(w[i] ^ w[j])
+                near = far <= plan.distance
+                a, b = new(node[i[near]], node[j[near]])
+                if a:
+                    yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            prints = np.stack(words, axis=1)
+            for s, e, n in zip(starts[some & ~small].tolist(), ends[some & ~small].tolist(), table[some & ~small].tolist(), strict=True):
+                i, j = _forest(prints[s:e], n, plan.distance)
+                a, b = new(node[s:e][i], node[s:e][j])
+                for at in range(0, len(a), 20_000):
+                    yield pa.record_batch([pa.array(a[at : at + 20_000], pa.int64()), pa.array(b[at : at + 20_000], pa.int64())], ["a", "b"])
 
     return run
 
@@ -380,100 +314,117 @@ def _sets(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
     return run
 
 
-def _verified(plan: Plan, most: int = SETS_BYTES) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A spanning forest of each meeting's links: pairs within the complete distance (any, of those that meet by a shingle) whose sets are similar enough."""
+def _verified(plan: Plan, by_print: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A spanning forest of each group's links: pairs whose sets are similar enough, and, with `by_print`, whose fingerprints are within the complete distance. Rows: key, node, hashes, and fp."""
 
-    def forests(keys: list[np.ndarray], nodes: list[np.ndarray], fps: list[bytes], sets: _Sets) -> Iterator[pa.RecordBatch]:
-        sets.done()
-        key, node = np.concatenate(keys), np.concatenate(nodes)
-        prints = np.frombuffer(b"".join(fps), np.uint64).reshape(len(key), -1)
-        for s, e in zip(*map(np.ndarray.tolist, runs(key)), strict=True):
-            size = np.fromiter(map(sets.size, range(s, e)), np.int64, e - s)
-            ends = np.cumsum(size)
-            enough = lambda i, j, both, size=size: both >= plan.similarity * (size[i] + size[j] - both) - 1e-9
-            if sets.file is None:
-                known, ids = np.unique(np.concatenate([sets[k] for k in range(s, e)]), return_inverse=True)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        new = _Sieve()
+        for piece in _whole_groups(batches):
+            key, node = (piece.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+            raw = piece.column(2).to_pylist()
+            prints = np.frombuffer(b"".join(piece.column(3).to_pylist()), np.uint64).reshape(len(key), -1) if by_print else np.zeros((len(key), 1), np.uint64)
+            for s, e in zip(*map(np.ndarray.tolist, runs(key)), strict=True):
+                if e - s < 2:
+                    continue
+                size = np.fromiter((len(x) // 8 for x in raw[s:e]), np.int64, e - s)
+                ends = np.cumsum(size)
+                known, ids = np.unique(np.frombuffer(b"".join(raw[s:e]), np.uint64), return_inverse=True)
                 has = np.zeros(len(known), bool)
 
-                def similar(i: int, j: np.ndarray, ids=ids, ends=ends, size=size, has=has, enough=enough) -> np.ndarray:
-                    j = np.asarray(j)
-                    fit = np.minimum(size[j], size[i]) >= plan.similarity * np.maximum(size[j], size[i]) - 1e-9
+                def similar(i: int, j: np.ndarray, ids=ids, ends=ends, size=size, has=has) -> np.ndarray:
+                    fit = np.flatnonzero((np.minimum(size[j], size[i]) >= plan.similarity * np.maximum(size[j], size[i]) - 1e-9) & (size[j] > 0))
+                    if not len(fit) or not size[i]:
+                        return np.zeros(0, np.int64)
+                    k = j[fit]
                     mine = ids[ends[i] - size[i] : ends[i]]
                     has[mine] = True
-                    both = np.zeros(len(j), np.int64)
-                    both[fit] = [np.count_nonzero(has[ids[ends[k] - size[k] : ends[k]]]) for k in j[fit].tolist()]
+                    cuts = np.concatenate([[0], np.cumsum(size[k])[:-1]])
+                    both = np.add.reduceat(has[np.concatenate([ids[a:b] for a, b in zip((ends[k] - size[k]).tolist(), ends[k].tolist(), strict=True)])], cuts, dtype=np.int64)
                     has[mine] = False
-                    return fit & enough(i, j, both)
+                    return fit[both >= plan.similarity * (size[i] + size[k] - both) - 1e-9]
 
-            else:
+                i, j = _forest(prints[s:e], e - s, plan.distance if by_print else 64, similar)
+                a, b = new(node[s:e][i], node[s:e][j])
+                for at in range(0, len(a), 20_000):
+                    yield pa.record_batch([pa.array(a[at : at + 20_000], pa.int64()), pa.array(b[at : at + 20_000], pa.int64())], ["a", "b"])
 
-                def similar(i: int, j: np.ndarray, s=s, enough=enough) -> np.ndarray:
-                    mine = sets[s + i]
-
-                    def shared(k: int) -> int:
-                        other = sets[s + k]
-                        return int((mine[np.minimum(np.searchsorted(mine, other), len(mine) - 1)] == other).sum())
-
-                    return enough(i, j, np.fromiter(map(shared, j.tolist()), np.int64, len(j)))
-
-            a, b = _forest(prints[s:e], np.ones(e - s, bool), plan.bits if key[s] & BY_SHINGLE else plan.distance, similar)
-            if len(a):
-                yield pa.record_batch([node[s:e][a], node[s:e][b]], ["a", "b"])
+    return run
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = ([], [], [], _Sets(most))
-        for b, ends in _key_ends(batches):
-            if ends and held[0]:
-                yield from forests(*held)
-                held = ([], [], [], _Sets(most))
-            for k in range(2):
-                held[k].append(b.column(k).to_numpy(zero_copy_only=False))
-            held[2].extend(b.column(2).to_pylist())
-            held[3].add(b.column(3).to_pylist())
-        if held[0]:
-            yield from forests(*held)
 
-    return run
+def _least_shared(size: int, similarity: float) -> int:
+    """Of so many of its shingles in any fixed order, a set shares one with every similar set."""
+    return size - math.ceil(similarity * size - 1e-9) + 1
 
 
-def _by_shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """a (key), b (node) for each hash of the prefixes of short documents."""
+def _hashes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """node, hash, size: a row for each hash of a set."""
     for b in batches:
         raw = b.column(1).to_pylist()
-        hashes = np.frombuffer(b"".join(raw), np.uint64)
-        node = np.repeat(b.column(0).to_numpy(zero_copy_only=False), [len(x) // 8 for x in raw])
-        yield pa.record_batch([(hashes >> np.uint64(2)).astype(np.int64) | BY_SHINGLE, node], ["a", "b"])
-
-
-def links(prints: DataFrame, plan: Plan = EXACT, block: int = BLOCK, texts: DataFrame | None = None) -> DataFrame:
-    """Edges (a, b) between nodes, whose components are those of all links. prints: node bigint, fp binary; equal fingerprints once; short (wide form): the prefix of a short document or null. texts (wide form): node, text."""
-    spark: SparkSession = prints.sparkSession
-    small_batches(spark, 20_000)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wide = plan.similarity is not None
-    rows = _filed(prints, plan)
+        size = np.array([len(x) // 8 for x in raw], np.int64)
+        yield pa.record_batch([np.repeat(b.column(0).to_numpy(zero_copy_only=False), size), np.frombuffer(b"".join(raw), np.int64), np.repeat(size, size)], ["node", "hash", "size"])
+
+
+def _by_shingle(sets: DataFrame, plan: Plan) -> DataFrame:
+    """key, node: each set under its rarest hashes, as far as another set has them too. sets: node, hashes."""
+    rows = sets.mapInArrow(_hashes_of, "node bigint, hash bigint, size bigint")
+    shared = rows.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
+    order = Window.partitionBy("node").orderBy(F.coalesce("n", F.lit(1)), "hash")
+    most = F.element_at(F.array(*[F.lit(_least_shared(n, plan.similarity)) for n in range(1, int(SHORT / plan.similarity) + 1)]), F.col("size").cast("int"))
+    ranked = rows.join(shared, "hash", "left").withColumn("place", F.row_number().over(order))
+    return ranked.where((F.col("place") <= most) & F.col("n").isNotNull()).select(F.col("hash").alias("key"), "node")
+
+
+def _grouped(members: DataFrame, sets: DataFrame, names: list[str], most: int) -> DataFrame:
+    """key, node and `names` (of sets: node, bytes, ...) of each member of a key (key, node; each once), sorted by key; a key whose sets take more than `most` bytes is cut into blocks, and each pair of blocks has a key of its own."""
+    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sums = written(members.join(sets.select("node", "bytes"), "node").groupBy("key").agg(F.sum("bytes").alias("bytes"), F.count("*").alias("n")).where("n > 1"), "simhash-groups")
+    parts = F.ceil(F.col("bytes") / most).cast("int")
+    own = F.pmod(F.xxhash64("node"), parts).cast("int")
+    pairs = F.when(parts > 1, F.transform(F.filter(F.sequence(F.lit(0), parts - 1), lambda k: k != own), lambda k: F.xxhash64("key", F.least(k, own), F.greatest(k, own)))).otherwise(F.array("key"))
+    keyed = members.join(sums, "key").select(F.explode(pairs).alias("key"), "node")
+    return keyed.join(sets.select("node", *names), "node").select("key", "node", *names).repartition(n, "key").sortWithinPartitions("key")
+
+
+def _met(prints: DataFrame, plan: Plan, block: int, balls: bool, table: bool = True) -> DataFrame:
+    """Links (a, b) between the nodes of `prints` (node, fp) that meet under a key."""
+    n = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = _filed(prints, plan, balls, table)
     hot = written(_filed(prints, plan, balls=False).groupBy("key").count().where(F.col("count") > block), "simhash-hot")
     if not hot.isEmpty():
         # A table row stays in one block and is looked up in the others; a lookup goes to all blocks.
         parts = F.ceil(F.col("count") / block).cast("int")
-        own = F.pmod(F.xxhash64("node"), parts)
-        spread = rows.join(hot, "key", "left").select("key", "node", "sub", "ball", own.cast("int").alias("own"), F.explode(F.when(F.col("count").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), parts - 1))).alias("part"))
-        rows = spread.select((F.col("key") + F.shiftleft(F.col("part").cast("bigint"), 40)).alias("key"), "node", "sub", (F.col("ball") | F.coalesce(F.col("own") != F.col("part"), F.lit(False))).alias("ball"))
-    met = rows.repartition(n, "key").sortWithinPartitions("key", "ball").mapInArrow(_meet(plan, wide), "a bigint, b bigint")
-    if not wide:
-        return met
-    if "short" in prints.columns:
-        met = met.unionAll(prints.where("short is not null").select("node", "short").mapInArrow(_by_shingle, "a bigint, b bigint").distinct())
-    by_key = lambda df: df.repartition(n, "key").sortWithinPartitions("key")
-    members = met.select(F.col("a").alias("key"), F.col("b").alias("node")).join(prints.select("node", "fp"), "node").select("key", "node", "fp")
-    near = written(by_key(members).mapInArrow(_near_members(plan), "key bigint, node bigint, fp binary"), "simhash-near")
-    # The sets are worked out for the few documents within the complete distance of another.
-    nodes = written(near.select("node").distinct(), "simhash-nodes")
+        node = F.when(F.col("node") < 0, -1 - F.col("node")).otherwise(F.col("node"))
+        spread = rows.join(hot, "key", "left").withColumn("own", F.pmod(F.xxhash64(node), parts).cast("int")).withColumn("part", F.explode(F.when(F.col("count").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), parts - 1))))
+        away = (F.col("node") >= 0) & (F.col("own") != F.col("part"))
+        rows = spread.select((F.col("key") + F.shiftleft(F.col("part").cast("bigint"), 40)).alias("key"), F.when(away, -1 - F.col("node")).otherwise(F.col("node")).alias("node"), *rows.columns[2:])
+    return rows.repartition(n, "key").sortWithinPartitions("key", F.col("node").desc()).mapInArrow(_meet(plan), "a bigint, b bigint")
+
+
+def links(prints: DataFrame, plan: Plan = EXACT, block: int = BLOCK, texts: DataFrame | None = None, sets_bytes: int = SETS_BYTES) -> DataFrame:
+    """Edges (a, b) between nodes, whose components are those of all links. prints: node bigint, fp binary; equal fingerprints once. Wide form: prints has `short`, the set of a document that may be similar to a short one, or null, and `long`, whether it may be similar to one that isn't short; texts: node, text."""
+    spark: SparkSession = prints.sparkSession
+    small_batches(spark, 20_000)
+    if plan.similarity is None:
+        return _met(prints, plan, block, balls=True)
+    filed = prints.where("long").select("node", "fp")
+    # Clusters: first what agrees in a segment, then by these what agrees up to a bit.
+    first = written(connected_components(_met(filed, plan, block, balls=False)), "simhash-first")
+    second = filed.join(first, "node", "left").select(F.coalesce("root", "node").alias("node"), "fp")
+    second = written(connected_components(_met(second, plan, block, balls=True)), "simhash-second").select(F.col("node").alias("root"), F.col("root").alias("key"))
+    # Nodes that the second round alone has joined stand in it under their own names.
+    alone = second.join(first.select(F.col("node").alias("root")), "root", "left_anti").select(F.col("root").alias("node"), "key")
+    clusters = written(first.join(second, "root", "left").select("node", F.coalesce("key", "root").alias("key")).unionAll(alone.select("node", "key")), "simhash-clusters")
+    # The sets are worked out for the documents of clusters alone.
     small_batches(spark)
+    nodes = clusters.select("node")
     few = F.broadcast(nodes) if nodes.count() <= BROADCAST_NODES else nodes
     sets = written(texts.join(few, "node", "left_semi").select("node", "text").mapInArrow(_sets(plan), "node bigint, hashes binary"), "simhash-sets")
-    whole = near.join(sets, "node").select("key", "node", "fp", "hashes")
-    return by_key(whole).mapInArrow(_verified(plan), "a bigint, b bigint")
+    known = written(sets.join(filed, "node").withColumn("bytes", F.length("hashes").cast("bigint")), "simhash-known")
+    forget(sets)
+    out = _grouped(clusters, known, ["hashes", "fp"], sets_bytes).mapInArrow(_verified(plan, True), "a bigint, b bigint")
+    short = prints.where("short is not null").select("node", F.col("short").alias("hashes"), F.length("short").cast("bigint").alias("bytes"))
+    shared = written(_by_shingle(short.select("node", "hashes"), plan), "simhash-short")
+    return out.unionAll(_grouped(shared, short, ["hashes"], sets_bytes).mapInArrow(_verified(plan, False), "a bigint, b bigint"))
 
 
 def near_duplicates(docs: DataFrame, plan: Plan = EXACT, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
@@ -486,25 +437,27 @@ def near_duplicates(docs: DataFrame, plan: Plan = EXACT, id_col: str = "doc_id",
     small_batches(docs.sparkSession)
     names = carry or []
     wide = plan.similarity is not None
-    added = ["fp", "short"] if wide else ["fp"]
+    added = ["fp", "short", "long"] if wide else ["fp"]
     kept = ["doc_id", *(["text"] if wide and text_col not in names else []), *(["row"] if names else [])]
+    most = int(SHORT / plan.similarity) if wide else 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp, short = [], []
+            fp, short, long = [], [], []
             for t in bytes_of(b, "text"):
                 hashes = _hashes(t, plan)
                 fp.append(_fingerprint(hashes, plan))
-                short.append(_prefix(hashes, plan))
-            new = [pa.array(x, pa.binary()) for x in ((fp, short) if wide else (fp,))]
+                short.append(hashes.tobytes() if 0 < len(hashes) <= most else None)
+                long.append(len(hashes) > SHORT)
+            new = [pa.array(fp, pa.binary()), *([pa.array(short, pa.binary()), pa.array(long, pa.bool_())] if wide else [])]
             yield pa.record_batch([*(c for c, f in zip(b.columns, b.schema.names, strict=True) if f in kept), *new], [*kept, *added])
 
     own = docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text"), *([F.struct(*[col(c) for c in names]).alias("row")] if names else []))
-    made = own.mapInArrow(run, T.StructType([*(f for f in own.schema if f.name in kept), *(T.StructField(x, T.BinaryType()) for x in added)]))
+    made = own.mapInArrow(run, T.StructType([*(f for f in own.schema if f.name in kept), *(T.StructField(x, T.BooleanType() if x == "long" else T.BinaryType()) for x in added)]))
     rows = written(made.withColumn("rid", F.monotonically_increasing_id()), "simhash")
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("rid").alias("rid"))
     # Each fingerprint once; its node is the row id of its first row.
-    prints = written(rows.groupBy("fp").agg(F.min(order).alias("first"), F.min("rid").alias("node"), *([F.min_by("short", "rid").alias("short")] if wide else [])), "simhash-prints")
+    prints = written(rows.groupBy("fp").agg(F.min(order).alias("first"), F.min("rid").alias("node"), *([F.min_by(x, "rid").alias(x) for x in ("short", "long")] if wide else [])), "simhash-prints")
     texts = rows.select(F.col("rid").alias("node"), (F.col("text") if "text" in kept else F.col("row").getField(text_col)).alias("text")) if wide else None
     roots = written(connected_components(links(prints, plan, texts=texts)), "simhash-roots")
     linked = prints.join(roots, "node", "left").select("fp", "first", F.coalesce("root", "node").alias("root"))
@@ -514,6 +467,10 @@ def near_duplicates(docs: DataFrame, plan: Plan = EXACT, id_col: str = "doc_id",
 
 
 def drop_near_duplicates(docs: DataFrame, similarity: float = 0.8, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` without near-duplicates: of each group of documents that link by a similarity of word shingles the one with the smallest id stays."""
+    """`docs` without near-duplicates: of each group of documents that link by a similarity of word shingles the one with the smallest id stays.
+
+    Null texts, empty ones and those without words are one group. Of rows that tie in id one stays; null ids are
+    larger than all others. All columns pass through. Texts of any length are read; an empty table gives no rows.
+    """
     g = near_duplicates(docs, for_similarity(similarity, words), id_col, text_col, carry=docs.columns)
     return g.where("first").select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

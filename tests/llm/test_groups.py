@@ -199,12 +199,78 @@ def test_whole_groups_keep_rows_beyond_2_gb():
     assert sum(x.num_rows for x in simhash._whole_groups(iter(batches))) == 36
 
 
-def test_sets_of_a_large_meeting_wait_in_a_file():
-    r = np.random.default_rng(1)
+def jaccard_components(sets):
+    parent = list(range(len(sets)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(sets)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) * 5 >= 4 * len(sets[i] | sets[j]):
+                a, b = find(i), find(j)
+                parent[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(sets))]
+
+
+def drifting(r, n, words=200):
+    """Texts of which each is another with a few words changed, so that they hang together by chains."""
+    texts = [[f"w{r.randrange(3000)}" for _ in range(words)]]
+    while len(texts) < n:
+        t = list(r.choice(texts[-20:]))
+        for _ in range(r.randint(1, 5)):
+            t[r.randrange(words)] = f"w{r.randrange(3000)}"
+        texts.append(t)
+    return [" ".join(t) for t in texts]
+
+
+def prints_of(spark, texts, plan):
+    hashes = [np.unique(simhash.shingle_hashes(t.encode(), 5)) for t in texts]
+    rows = [(i, bytearray(simhash.fingerprint(t.encode(), plan)), bytearray(h.tobytes()) if len(h) <= 80 else None, len(h) > 64) for i, (t, h) in enumerate(zip(texts, hashes, strict=True))]
+    return spark.createDataFrame(rows, "node bigint, fp binary, short binary, long boolean")
+
+
+def test_large_groups_are_cut_into_blocks_and_equal_brute_force(spark):
+    r = random.Random(12)
+    plan = simhash.for_similarity(0.8)
+    texts = drifting(r, 150) + drifting(r, 60, 40) + [" ".join(f"w{r.randrange(3000)}" for _ in range(r.choice((30, 66, 78, 150)))) for _ in range(60)]
+    texts += [" ".join([*t.split(), "x", "y"]) for t in texts[-60::2]]
+    want = jaccard_components([set(simhash.shingle_hashes(t.encode(), 5).tolist()) for t in texts])
+    prints, docs = prints_of(spark, texts, plan), spark.createDataFrame(list(enumerate(texts)), "node bigint, text string")
+    for sets_bytes, block in ((1 << 25, 20_000), (20_000, 30)):
+        edges = simhash.links(prints, plan, block, docs, sets_bytes).collect()
+        root = {x.node: x.root for x in components.connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+        got = [root.get(i, i) for i in range(len(texts))]
+        assert sum(a != b for a, b in zip(got, want, strict=True)) <= 2
+        assert all(want[i] == want[j] for i, j in enumerate(got))
+
+
+def test_a_group_of_near_copies_costs_few_rows_a_document(spark):
     plan = simhash.for_similarity(0.8)
-    base = np.unique(r.integers(1 << 62, size=500).astype(np.uint64))
-    sets = [np.sort(np.concatenate([base[: 500 - 10 * (k % 4)], r.integers(1 << 62, size=1).astype(np.uint64)])) for k in range(20)]
-    sets += [np.unique(r.integers(1 << 62, size=500).astype(np.uint64)) for _ in range(5)]
-    rows = pa.record_batch([np.full(25, 7), np.arange(25), pa.array([bytes(plan.bits // 8)] * 25, pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary())], ["key", "node", "fp", "hashes"])
-    links = [[tuple(x.values()) for b in simhash._verified(plan, most)(iter([rows.slice(0, 9), rows.slice(9)])) for x in b.to_pylist()] for most in (1 << 30, 1000)]
-    assert links[0] == links[1] and {x for p in links[0] for x in p} == set(range(20)) and len(links[0]) == 19
+    texts = drifting(random.Random(13), 400)
+    met = simhash._met(prints_of(spark, texts, plan).select("node", "fp"), plan, 20_000, balls=False).count()
+    assert 399 <= met <= 4 * 400  # a task reports a document once at most; there are 4
+    edges = simhash.links(prints_of(spark, texts, plan), plan, texts=spark.createDataFrame(list(enumerate(texts)), "node bigint, text string")).count()
+    assert edges <= 4 * 400
+
+
+def test_recall_at_the_threshold(spark):
+    """Pairs of a similarity between 0.80 and 0.82, the hardest that must link, each of its own words."""
+    r = random.Random(14)
+    texts, pairs = [], []
+    while len(pairs) < 400:
+        n = r.choice((70, 90, 120, 300, 800))
+        a = [f"w{len(pairs)}x{r.randrange(10**6)}" for _ in range(n)]
+        b = list(a)
+        shared = lambda b=b, a=a: (lambda x, y: len(x & y) / len(x | y))(*(set(simhash.shingle_hashes(" ".join(t).encode(), 5).tolist()) for t in (a, b)))
+        while shared() > 0.82:
+            b[r.randrange(n)] = f"v{r.randrange(10**6)}"
+        if shared() >= 0.8:
+            pairs.append(n)
+            texts += [" ".join(a), " ".join(b)]
+    got = {x.doc_id: x.component_id for x in simhash.near_duplicates(cases.frame(spark, [(i, t, "en", "s") for i, t in enumerate(texts)]), simhash.for_similarity(0.8)).collect()}
+    found = [got[2 * k] == got[2 * k + 1] for k in range(len(pairs))]
+    assert sum(found) / len(found) >= 0.97
+    assert {got[2 * k] for k in range(len(pairs))} == set(range(0, 2 * len(pairs), 2))
