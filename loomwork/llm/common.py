@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +23,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset (local runs)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or, in a local run, one of our own where that is unset. A cluster must name one."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if at:
         return at.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not _OWN_DIR:
         _OWN_DIR.append(tempfile.mkdtemp(prefix="loomwork-"))
         atexit.register(shutil.rmtree, _OWN_DIR[0], ignore_errors=True)
@@ -89,9 +92,11 @@ def crc_of_id(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
 
 
-def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Bound what one Arrow batch of whole texts takes, for executors with little memory."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in slices, so that what a function makes of whole texts stays small; Spark bounds the bytes of a batch itself."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
 
 
 def texts_of(batch: pa.RecordBatch, name: str) -> list[str]:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import col, crc_of_id, small_batches, texts_of, written
+from .common import col, crc_of_id, slices, texts_of, written
 
 FEATURES = 1 << 15
 ORDERS = (1, 2, 3)
@@ -132,8 +132,6 @@ def _temperature(scores: np.ndarray, y: np.ndarray) -> float:
 
 def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", features: int = FEATURES, max_train: int = MAX_TRAIN) -> Model:
     """The model of the documents where `learn` holds and the language is not null. No such documents: a model without languages."""
-    spark = docs.sparkSession
-    small_batches(spark)
     own = docs.where(learn & col(lang_col).isNotNull()).select(F.xxhash64(F.lit("langid"), col(id_col)).alias("h"), col(text_col).alias("text"), col(lang_col).alias("lang"))
     of = {r["lang"]: r["count"] for r in own.groupBy("lang").count().collect()}  # a row for each language
     number = sum(of.values())
@@ -142,7 +140,7 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(features, np.int64)
-        for b in batches:
+        for b in slices(batches):
             rows = []
             for h, text, lang in zip(b.column("h").to_pylist(), texts_of(b, "text"), b.column("lang").to_pylist(), strict=True):
                 at, n = counts(text, features)
@@ -180,13 +178,12 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """lang_pred and score for each row, after its id (doc_id) or, with `keep`, a struct `row` of those columns. Null texts and texts without a letter: `und`, 0."""
     spark = docs.sparkSession
-    small_batches(spark)
     shared = spark.sparkContext.broadcast(model)  # its size depends on the number of features and languages alone
     first = col(id_col).alias("doc_id") if keep is None else F.struct(*[col(c) for c in keep]).alias("row")
     own = docs.select(first, col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             got = [shared.value.predict(t) for t in texts_of(b, "text")]
             yield pa.record_batch([b.column(0), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], [b.schema.names[0], "lang_pred", "score"])
 

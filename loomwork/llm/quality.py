@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import gbdt
-from .common import bytes_of, col, crc_of_id, small_batches, written
+from .common import bytes_of, col, crc_of_id, slices, written
 
 #: At most so many labelled rows (chosen by a hash) train the trees.
 MAX_TRAIN = 40_000
@@ -60,11 +60,10 @@ def statistics(text: bytes) -> list[float]:
 
 def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and its statistics (array<float>) for each row; null and empty texts have zeros."""
-    small_batches(docs.sparkSession)
     own = docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             yield pa.record_batch([b.column(0), pa.array([statistics(t) for t in bytes_of(b, "text")], pa.list_(pa.float32()))], ["doc_id", "x"])
 
     return own.mapInArrow(run, f"doc_id {own.schema['doc_id'].dataType.simpleString()}, x array<float>")
@@ -88,7 +87,6 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     spark = docs.sparkSession
     stats = written(document_statistics(docs, id_col, text_col), "quality")
     forest = spark.sparkContext.broadcast(train(stats, labels, max_train))  # of a fixed size
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10_000)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

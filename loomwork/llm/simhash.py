@@ -27,11 +27,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bytes_of, col, forget, runs, small_batches, written
+from .common import bytes_of, col, forget, runs, slices, written
 from .components import connected_components
 
 HASH_SEED = 42
@@ -130,10 +130,9 @@ def _fingerprint(hashes: np.ndarray, plan: Plan) -> bytes:
 
 def fingerprints(docs: DataFrame, plan: Plan = EXACT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fp (binary) for each row; null and empty texts have a fingerprint of zeros."""
-    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             yield pa.record_batch([b.column(0), pa.array([fingerprint(t, plan) for t in bytes_of(b, "text")], pa.binary())], ["doc_id", "fp"])
 
     own = docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text"))
@@ -307,7 +306,7 @@ def _sets(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
     """node and its distinct shingles' hashes, from node and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             hashes = [np.unique(shingle_hashes(t, plan.words)).tobytes() for t in bytes_of(b, "text")]
             yield pa.record_batch([b.column(0), pa.array(hashes, pa.binary())], ["node", "hashes"])
 
@@ -402,8 +401,6 @@ def _met(prints: DataFrame, plan: Plan, block: int, balls: bool, table: bool = T
 
 def links(prints: DataFrame, plan: Plan = EXACT, block: int = BLOCK, texts: DataFrame | None = None, sets_bytes: int = SETS_BYTES) -> DataFrame:
     """Edges (a, b) between nodes, whose components are those of all links. prints: node bigint, fp binary; equal fingerprints once. Wide form: prints has `short`, the set of a document that may be similar to a short one, or null, and `long`, whether it may be similar to one that isn't short; texts: node, text."""
-    spark: SparkSession = prints.sparkSession
-    small_batches(spark, 20_000)
     if plan.similarity is None:
         return _met(prints, plan, block, balls=True)
     filed = prints.where("long").select("node", "fp")
@@ -415,7 +412,6 @@ def links(prints: DataFrame, plan: Plan = EXACT, block: int = BLOCK, texts: Data
     alone = second.join(first.select(F.col("node").alias("root")), "root", "left_anti").select(F.col("root").alias("node"), "key")
     clusters = written(first.join(second, "root", "left").select("node", F.coalesce("key", "root").alias("key")).unionAll(alone.select("node", "key")), "simhash-clusters")
     # The sets are worked out for the documents of clusters alone.
-    small_batches(spark)
     nodes = clusters.select("node")
     few = F.broadcast(nodes) if nodes.count() <= BROADCAST_NODES else nodes
     sets = written(texts.join(few, "node", "left_semi").select("node", "text").mapInArrow(_sets(plan), "node bigint, hashes binary"), "simhash-sets")
@@ -434,7 +430,6 @@ def near_duplicates(docs: DataFrame, plan: Plan = EXACT, id_col: str = "doc_id",
     row itself included. Equal fingerprints always link; null and empty texts have the fingerprint zero. Of
     rows that tie in id the first written counts; null ids are larger than all others. Empty table: no rows.
     """
-    small_batches(docs.sparkSession)
     names = carry or []
     wide = plan.similarity is not None
     added = ["fp", "short", "long"] if wide else ["fp"]
@@ -442,7 +437,7 @@ def near_duplicates(docs: DataFrame, plan: Plan = EXACT, id_col: str = "doc_id",
     most = int(SHORT / plan.similarity) if wide else 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             fp, short, long = [], [], []
             for t in bytes_of(b, "text"):
                 hashes = _hashes(t, plan)
