@@ -13,17 +13,18 @@ from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, small_batches, texts_of
+from .common import col, slices, texts_of
 
 MIN, NORMAL, MAX = 12, 32, 128
 HARD, EASY = np.uint32((1 << 7) - 1 << 24), np.uint32((1 << 3) - 1 << 24)
 WINDOW = 32
+#: A row's range is sought among every STEP-th bound first.
+STEP = 64
 _GEAR = np.random.default_rng(20_240_501).integers(0, 1 << 32, 256, dtype=np.uint32)
 
 Chunks = list[tuple[int, int]]
@@ -94,27 +95,28 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for each row; ids are integers.
 
     The next document is the next row by id (rows that tie in id go by their text), after the last the first;
-    a null id comes first, a null text is empty. Rows go to ranges of ids; the first row of each range also
+    a null id comes first, a null text is empty, texts of any length are read whole. Rows go to ranges of ids; the first row of each range also
     goes to the range before, so that every row meets its next one. One shuffle of the texts.
     """
     spark = docs.sparkSession
-    small_batches(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     own = docs.select(col(id_col).cast("bigint").alias("doc_id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
     ids = own.select("doc_id")
     cuts = ids.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)] or [0.5], 10_000)).first()[0] or []  # n - 1 numbers
-    bounds = np.array(sorted(set(cuts)), dtype=np.int64)
-    low = np.iinfo(np.int64).min
+    bounds = sorted(set(cuts))
+    low = -(2**63)
 
-    @F.pandas_udf("int")
-    def range_of(s: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(bounds, s.fillna(low).to_numpy(dtype=np.int64), side="right").astype(np.int32))
+    def range_of(i: Column) -> Column:
+        """How many bounds are not above an id: by every STEP-th bound, then by the bounds between two of those."""
+        lits = lambda xs: F.array(*[F.lit(int(x)).cast("bigint") for x in xs]) if xs else F.array().cast("array<bigint>")
+        coarse = F.size(F.filter(lits(bounds[STEP - 1 :: STEP]), lambda x: x <= i)) * STEP
+        return F.transform(F.array(coarse), lambda c: c + F.size(F.filter(F.slice(lits(bounds), c + 1, STEP), lambda x: x <= i)))[0]
 
-    ids = ids.select(F.coalesce("doc_id", F.lit(int(low))).alias("id"))
-    firsts = sorted((r["part"], r["id"]) for r in ids.withColumn("part", range_of("id")).groupBy("part").agg(F.min("id").alias("id")).collect())  # a row for each range
+    ids = ids.select(F.coalesce("doc_id", F.lit(low)).alias("id"))
+    firsts = sorted((r["part"], r["id"]) for r in ids.withColumn("part", range_of(F.col("id"))).groupBy("part").agg(F.min("id").alias("id")).collect())  # a row for each range
     parts = [p for p, _ in firsts]
     to = spark.createDataFrame([(i, parts[k - 1]) for k, (_, i) in enumerate(firsts)], "id bigint, before int")
-    sent = own.withColumn("id", F.coalesce("doc_id", F.lit(int(low)))).withColumn("part", range_of("id")).join(F.broadcast(to), "id", "left")  # as many rows as ranges
+    sent = own.withColumn("id", F.coalesce("doc_id", F.lit(low))).withColumn("part", range_of(F.col("id"))).join(F.broadcast(to), "id", "left")  # as many rows as ranges
     here = F.array(F.struct(F.col("part").alias("part"), F.lit(False).alias("guest")))
     sent = sent.select("doc_id", "id", "text", F.explode(F.when(F.col("before").isNull(), here).otherwise(F.concat(here, F.array(F.struct(F.col("before").alias("part"), F.lit(True).alias("guest")))))).alias("to"))
     dealt = sent.select(F.col("to.part").alias("part"), F.col("to.guest").alias("guest"), "id", "text", "doc_id").repartition(n, "part").sortWithinPartitions("part", "guest", "id", "text")
@@ -122,7 +124,7 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple | None = None  # the row that waits for its next one
         done = False  # the range's guest has been met
-        for b in batches:
+        for b in slices(batches):
             rows: list[tuple] = []
             for part, guest, text, doc_id in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), texts_of(b, "text"), b.column(4).to_pylist(), strict=True):
                 if held and held[0] != part:

@@ -46,11 +46,20 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     spark = docs.sparkSession
     size = F.coalesce(F.regexp_count(col(text_col), F.lit(WORD)), F.lit(0)).cast("bigint")
     key = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(col(id_col).cast("string"), F.lit("")))).alias("key")
-    rows = written(docs.select(col(id_col).alias("doc_id"), col(source_col).alias("source"), size.alias("size"), key, *([F.struct(*[col(c) for c in carry]).alias("row")] if carry else [])), "mix")
+    rows = written(docs.select(col(id_col).alias("doc_id"), col(source_col).alias("source"), size.alias("size"), key, F.monotonically_increasing_id().alias("rid"), *([F.struct(*[col(c) for c in carry]).alias("row")] if carry else [])), "mix")
     n = rows.count()
     digits = max(1, math.ceil(math.log(max(1, n / range_rows), 16)))
     ranged = F.substring("key", 1, digits)
-    cuts = written(rows.groupBy("source", ranged.alias("range")).agg(F.sum("size").alias("words")), "mix-ranges")
+    full = written(rows.groupBy("source", ranged.alias("range")).agg(F.count("*").alias("n")).where(F.col("n") > 4 * range_rows).drop("n"), "mix-full")
+    cell = ranged
+    if not full.isEmpty():  # fewer than one in 4 * range_rows rows, as are the keys below
+        inside = rows.withColumn("range", ranged).alias("r").join(F.broadcast(full.alias("f")), F.col("r.source").eqNullSafe(F.col("f.source")) & (F.col("r.range") == F.col("f.range")), "left_semi")
+        hot = written(inside.groupBy("source", "key").agg(F.count("*").alias("n")).where(F.col("n") > range_rows).select(F.col("source").alias("hot_source"), F.col("key").alias("hot_key"), F.ceil(F.col("n") / range_rows).cast("int").alias("cells")), "mix-hot")
+        rows = rows.join(F.broadcast(hot), rows["source"].eqNullSafe(F.col("hot_source")) & (F.col("key") == F.col("hot_key")), "left")
+        further = F.concat("hot_key", F.lpad(F.col("size").cast("string"), 20, "0"), F.lpad(F.pmod(F.xxhash64("rid"), "cells").cast("string"), 10, "0"))
+        cell = F.concat(ranged, F.coalesce(further, F.lit("")))
+    rows = rows.withColumn("range", cell)
+    cuts = written(rows.groupBy("source", "range").agg(F.sum("size").alias("words")), "mix-ranges")
     sources = written(_ranked(cuts.groupBy("source").agg(F.sum("words").alias("source_size")), int(spark.conf.get("spark.sql.shuffle.partitions"))).select("source", "source_size", F.element_at(F.array(*[F.lit(int(w)) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int")).cast("bigint").alias("w")), "mix-weights")
     # Two numbers a round come to the driver: what is left to share, and the weights that share it.
     total = sources.agg(F.sum("source_size")).first()[0] or 0
@@ -69,8 +78,8 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     cuts = cuts.select("source", "range", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("offset"))
     same = lambda a, b: a["source"].eqNullSafe(b["source"])
     plan = cuts.alias("c").join(sources.alias("s"), F.col("c.source").eqNullSafe(F.col("s.source"))).select("c.source", "range", "offset", "source_size", "target", "budget")
-    within = Window.partitionBy("source", ranged).orderBy("key", F.col("doc_id").asc_nulls_first(), "size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = rows.withColumn("own", F.coalesce(F.sum("size").over(within), F.lit(0))).withColumn("range", ranged)
+    within = Window.partitionBy("source", "range").orderBy("key", F.col("doc_id").asc_nulls_first(), "size").rowsBetween(Window.unboundedPreceding, -1)
+    placed = rows.withColumn("own", F.coalesce(F.sum("size").over(within), F.lit(0)))
     out = placed.join(plan, same(placed, plan) & (placed["range"] == plan["range"]))
     epochs = F.when(F.col("source_size") > 0, F.expr("budget div source_size")).otherwise(F.lit(0))
     rest = F.col("budget") - epochs * F.col("source_size") - F.col("offset") - F.col("own")

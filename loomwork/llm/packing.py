@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from .common import bytes_of, col, small_batches, written
+from .common import bytes_of, col, slices, written
 
 CAPACITY = 4096
 EOT = 1
@@ -101,14 +101,13 @@ class WordIds:
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = EOT, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 (and `row`): each document's ids, then `end_id`, cut only above `capacity`. Null and empty texts are the end id alone."""
-    small_batches(docs.sparkSession)
     names = carry or []
     own = docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text"), *([F.struct(*[col(c) for c in names]).alias("row")] if names else []))
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordIds(tokenizer_path)
-        for b in batches:
+        for b in slices(batches):
             at, piece, start, length, crc = [], [], [], [], []
             for i, ids in enumerate(words.batch(bytes_of(b, "text"))):
                 ids += end
@@ -257,19 +256,20 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROU
 def pack(cut: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS, range_rows: int = RANGE_ROWS) -> DataFrame:
     """`cut` (of `pieces`, written) with sequence_id and offset: sequences of at most `capacity`, filled from 0 without gaps.
 
-    Rows that tie in id and piece are interchangeable. Empty table: empty result.
+    Where `cut` has `rid`, a number of the row, it deals the rows over ranges, so that an id (or none) that many
+    rows have makes no hot task; it is dropped. Rows that tie in id and piece are interchangeable. Empty table: empty result.
     """
     spark = cut.sparkSession
+    names = [c for c in cut.columns if c != "rid"]
     counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most `capacity` rows
     runs = sorted(plan(counts, capacity, groups))
     table = spark.sparkContext.broadcast(np.array(runs, dtype=np.int64).reshape(-1, 6))  # its size depends on the capacity alone
     ranges = max(1, -(-sum(counts.values()) // range_rows))
-    ranged = cut.withColumn("range", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(ranges)).cast("int"))
+    ranged = cut.withColumn("range", F.pmod(F.xxhash64(*(["rid"] if "rid" in cut.columns else ["doc_id", "piece"])), F.lit(ranges)).cast("int"))
     before = Window.partitionBy("length").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = ranged.groupBy("length", "range").agg(F.count("*").alias("n")).select("length", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     within = F.row_number().over(Window.partitionBy("length", "range").orderBy("doc_id", "piece", "ids_crc32"))
-    ranked = ranged.withColumn("within", within).join(offsets, ["length", "range"]).select(*cut.columns, (F.col("before") + F.col("within") - 1).alias("rank"))
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10_000 if "row" not in cut.columns else 256)
+    ranked = ranged.withColumn("within", within).join(offsets, ["length", "range"]).select(*names, (F.col("before") + F.col("within") - 1).alias("rank"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         length, first, _, each, sequence, offset = table.value.T
@@ -280,10 +280,10 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS, range_r
             slot = rank - first[at]
             yield pa.record_batch([*b.columns[:-1], pa.array(sequence[at] + slot // each[at]), pa.array(offset[at] + slot % each[at] * n)], [*b.schema.names[:-1], "sequence_id", "offset"])
 
-    schema = T.StructType([*cut.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    schema = T.StructType([*(cut.schema[c] for c in names), T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
     return ranked.mapInArrow(run, schema)
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = EOT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset for each piece of each row; see `pieces` and `pack`."""
-    return pack(written(pieces(docs, tokenizer_path, capacity, end_id, id_col, text_col), "pieces"), capacity)
+    return pack(written(pieces(docs, tokenizer_path, capacity, end_id, id_col, text_col).withColumn("rid", F.monotonically_increasing_id()), "pieces"), capacity)

@@ -5,16 +5,33 @@ still share everything before, and splits their groups by them. A group ends whe
 or when its texts have ended; equality is decided by the bytes, no digest takes part. The runs grow
 (32 bytes, then up to offset 128, 512, ...), so a text of n bytes needs about log4(n / 32) levels and every
 byte moves once at most. A level is an aggregate (combined on the map side, so thousands of copies send one
-row a task) and a join whose hot keys adaptive execution splits.
+row a task) and a join. A run of bytes that more than one in HOT of all rows share is hot; there are fewer than HOT
+such at a level, so every task knows them, and their rows are dealt over SPREAD keys each.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import col, forget, written
 
+#: A key that more than one in so many rows share is hot: at most so many keys are.
+HOT = 256
+#: So many tasks take a hot key's rows.
+SPREAD = 64
+#: Longer runs of bytes aren't sent to all tasks (HOT of them are 16 MB at most); adaptive execution splits their joins.
+LONGEST = 1 << 16
+
+
+def _joined(rows: DataFrame, counts: DataFrame, keys: list[str], row_number: Column, total: int, how: str) -> DataFrame:
+    """`rows` joined to `counts` (keys, n, ...; each key once) by `keys`; the rows of a hot key meet in SPREAD places."""
+    hot = counts.where((F.col("n") > total // HOT) & (F.length("digit") <= LONGEST)).select(*keys, F.lit(True).alias("hot"))
+    dealt = rows.join(F.broadcast(hot), keys, "left").withColumn("place", F.when(F.col("hot"), F.pmod(F.xxhash64(row_number), F.lit(SPREAD))).otherwise(0).cast("int")).drop("hot")
+    spread = (F.col("n") > total // HOT) & (F.length("digit") <= LONGEST)
+    copied = counts.withColumn("place", F.explode(F.when(spread, F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(F.array(F.lit(0)))))
+    return dealt.join(copied.hint("merge"), [*keys, "place"], how).drop("place")
+
 
 def radix_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, first: int = 32, factor: int = 4) -> DataFrame:
     """One row for each row of `docs`: row struct<carried columns>, id, keep_id, group_size, kept.
@@ -31,10 +48,12 @@ def radix_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     own = [] if carried else ["body"]
     base = docs.select(F.struct(*[col(c) for c in names]).alias("row"), col(id_col).alias("id"), *([] if carried else [col(text_col).cast("binary").alias("body")]))
     digit = F.substring(body, 1, first)
-    # Written first, the counts are joined by exchanges of their own, of which hot digits can be split.
-    shared = written(base.groupBy(digit.alias("digit")).agg(F.count("*").alias("n")).where("n > 1").select("digit", F.lit(0).cast("bigint").alias("gid")), "radix-counts")
-    at = written(base.withColumn("digit", digit).join(shared.hint("merge"), "digit", "left").select("row", "id", F.monotonically_increasing_id().alias("rid"), *[F.when(F.col("gid").isNotNull(), F.col(c)).alias(c) for c in own], "gid"), "radix")
-    forget(shared)
+    # Written first, the counts are joined by exchanges of their own.
+    counts = written(base.groupBy(digit.alias("digit")).agg(F.count("*").alias("n")), "radix-counts")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    shared = counts.where("n > 1").withColumn("gid", F.lit(0).cast("bigint"))
+    at = written(_joined(base.withColumn("digit", digit), shared, ["digit"], F.monotonically_increasing_id(), total, "left").select("row", "id", F.monotonically_increasing_id().alias("rid"), *[F.when(F.col("gid").isNotNull(), F.col(c)).alias(c) for c in own], "gid"), "radix")
+    forget(counts)
     one = F.lit(1).cast("bigint")
     done = [at.where("gid is null").select("row", "id", F.col("id").alias("keep_id"), one.alias("group_size"), F.lit(True).alias("kept"))]
     live, offset, end = at.where("gid is not null"), 0, first * factor  # one group as yet: the first bytes are read again
@@ -43,7 +62,7 @@ def radix_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         split = written(keyed.groupBy("gid", "digit", "more").agg(F.count("*").alias("n"), F.min("rid").alias("next"), F.max(F.struct("id", "rid")).alias("best")), "radix-counts")
         open_ = (F.col("n") > 1) & F.col("more")
         at = written(
-            keyed.join(split.hint("merge"), ["gid", "digit", "more"]).select("row", "id", "rid", *[F.when(open_, F.col(c)).alias(c) for c in own], F.when(open_, F.col("next")).alias("gid"), F.when(~open_, F.col("n")).alias("n"), F.when(~open_, F.col("best")).alias("best")),
+            _joined(keyed, split, ["gid", "digit", "more"], F.col("rid"), total, "inner").select("row", "id", "rid", *[F.when(open_, F.col(c)).alias(c) for c in own], F.when(open_, F.col("next")).alias("gid"), F.when(~open_, F.col("n")).alias("n"), F.when(~open_, F.col("best")).alias("best")),
             "radix",
         )
         forget(split)
@@ -63,6 +82,6 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` that stay, with all their columns."""
+    """The rows of `docs` that stay, with all their columns: of equal texts (a null one is empty) the row with the largest id, of rows that tie in id one; null ids are less than others. Texts of any length are read; an empty table gives no rows."""
     g = radix_groups(docs, id_col, text_col)
     return g.where("kept").select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -5,10 +5,11 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import xxhash
 
-from loomwork.llm import components, mixing, radix, simhash
+from loomwork.llm import components, mixing, packing, radix, simhash
 
 from . import cases
 
@@ -274,3 +275,28 @@ def test_recall_at_the_threshold(spark):
     found = [got[2 * k] == got[2 * k + 1] for k in range(len(pairs))]
     assert sum(found) / len(found) >= 0.97
     assert {got[2 * k] for k in range(len(pairs))} == set(range(0, 2 * len(pairs), 2))
+
+
+def test_an_id_that_many_rows_have_is_cut_into_ranges(spark):
+    r = random.Random(15)
+    data = [(None if i % 3 else i, cases.prose(r, "en", 5 + i % 4), "en", "hot" if i % 2 else "other") for i in range(900)]
+    mixed = [mixing.mix_sources(cases.frame(spark, data), range_rows=n) for n in (20, 20, 10_000)]
+    rows = [Counter((x.doc_id, x.size, x.source_size, x.target, x.taken) for x in m.collect()) for m in mixed]
+    assert rows[0] == rows[1]
+    total = lambda c: sum(k[4] * n for k, n in c.items())
+    assert total(rows[0]) == total(rows[2]) and sum(rows[0].values()) == 900
+    cut = packing.pack_documents(cases.frame(spark, data), public_tokenizers.path("word_bpe_49k.json")).collect()
+    ends = defaultdict(list)
+    for x in cut:
+        ends[x.sequence_id].append((x.offset, x.length))
+    assert len(cut) == 900 and all(sum(n for _, n in v) <= 4096 and sorted(v)[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(sorted(v), sorted(v)[1:], strict=False)) for v in ends.values())
+
+
+def test_radix_spreads_hot_keys(spark, monkeypatch):
+    monkeypatch.setattr(radix, "HOT", 4)
+    data = [(i, "same text " * 30 if i % 3 else f"same text {'x' * (i % 50)}", "en", "s") for i in range(400)]
+    got = radix.exact_duplicates(cases.frame(spark, data)).collect()
+    groups = defaultdict(list)
+    for i, t, *_ in data:
+        groups[t].append(i)
+    assert {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in got} == {(i, max(v), len(v), i == max(v)) for v in groups.values() for i in v}
