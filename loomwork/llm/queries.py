@@ -33,7 +33,7 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.find_personal_data(read_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("redacted_text")
+    return pii.find_personal_data(read_table(spark, sf_dir, "documents").select("doc_id", "text"), redacted=False)
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

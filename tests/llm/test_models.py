@@ -112,3 +112,39 @@ def test_added_spans_and_redaction(spark):
     assert one.base_sha256 == hashlib.sha256(one.spans.encode()).hexdigest()
     assert got[170].spans == "" and got[170].base_sha256 == hashlib.sha256(b"").hexdigest()
     assert pii.find_personal_data(cases.empty(spark), judge=judge).count() == 0
+
+
+def test_added_spans_on_planted_data():
+    """Spans of other formats, planted in prose and beside figures that are none; written apart from the examples that the trees learn from."""
+    r = random.Random(21)
+    judge = pii.train()
+    num = lambda n: "".join(r.choice("0123456789") for _ in range(n))
+    card = lambda n: next(d for d in iter(lambda: r.choice("3456") + num(n - 1), None) if pii.luhn(d))
+    yes = (
+        lambda: ("email", f"anna.{num(2)} [at] mail{num(1)} [dot] org"), lambda: ("email", "jo(at)example(dot)net"), lambda: ("ip", ":".join(f"{r.randrange(4096, 65536):x}" for _ in range(8))), lambda: ("ip", "[.]".join(str(r.randint(1, 254)) for _ in range(4))),
+        lambda: ("card", card(15)), lambda: ("card", " ".join([(d := card(15))[:4], d[4:10], d[10:]])), lambda: ("phone", f"({num(3)}) {r.randint(2, 9)}{num(2)}-{num(4)}"), lambda: ("phone", f"{r.randint(2, 9)}{num(2)}-{num(3)}-{num(4)}"),
+        lambda: ("secret", f"{r.getrandbits(160):040x}"), lambda: ("secret", "AKIA" + "".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(16))),
+    )
+    lead = {"email": ("write to ", "mail: "), "ip": ("host ", "ping "), "card": ("card ", "visa: "), "phone": ("call ", "tel. "), "secret": ("token = ", "api_key: ")}
+    no = (lambda: f"on 20{num(2)}-0{r.randint(1, 9)}-1{num(1)}", lambda: f"order {num(8)}", lambda: f"at {r.randint(10, 23)}:{r.randint(10, 59)}:{r.randint(10, 59)}", lambda: f"version {num(1)}.{num(1)}.{num(2)}", lambda: f"isbn 978-{num(1)}-{num(2)}-{num(6)}-{num(1)}", lambda: "the secret of the password is simple", lambda: f"pages {num(3)}-{num(3)}", lambda: "we meet at noon", lambda: f"total {num(2)}.{num(3)},{num(2)}")
+    hit = wrong = planted = 0
+    for _ in range(600):
+        before, after = cases.prose(r, r.choice(("en", "fr", "de")), 20), cases.prose(r, "en", 20)
+        kind, s = r.choice(yes)()
+        head = f"{before} {r.choice(no)()} {cases.prose(r, 'en', 8)} {r.choice(lead[kind])}"
+        text = f"{head}{s} {after} {r.choice(no)()}"
+        got = judge.added(text, pii.base_spans(text))
+        planted += 1
+        good = [x for x in got if x[0] == kind and x[1] < len(head) + len(s) and x[2] > len(head)]
+        hit += bool(good)
+        wrong += len(got) - len(good)
+    assert hit / planted >= 0.9 and wrong / (hit + wrong) <= 0.1
+
+
+def test_added_spans_of_a_long_text_full_of_figures():
+    judge = pii.train(2000)
+    text = " ".join(f"call (555) {i % 900 + 100}-{i % 9000 + 1000}; visa 4111 1111 1111 1111." for i in range(4000))
+    base = pii.base_spans(text)
+    added = judge.added(text, base)
+    every = sorted((a, b) for _, a, b in base + added)
+    assert len(added) > 1000 and all(b <= c for (_, b), (c, _) in zip(every, every[1:], strict=False))
