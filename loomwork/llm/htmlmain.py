@@ -1,10 +1,12 @@
 """Main text of web pages as the maximum-scoring subsequence of their words and tags.
 
 A page is a sequence of tags and runs of words. Words score positive, less where they stand in elements that
-labelled pages show to hold other things; tags score negative, the more the more often they stand outside main
-text. One linear scan finds the contiguous region with the highest sum; of its words those whose own score is
-negative (an advert or a form amid the article) are left out. The weights are log odds counted on labelled
-pages: `labelled_pages` writes them from templates with known main text (fixed seed), and more can be given.
+labelled pages show to hold other things; tags outside an article score negative, the more the more often they
+stand outside main text. One linear scan finds the contiguous region with the highest sum; of its words those
+whose own score is negative (an advert or a form amid the article) are left out. Names that labelled pages show on
+both (a section 'legal' may be a footer or a chapter) don't decide: there the element's own text does, prose
+against short or linked words. The weights are log odds counted on labelled pages: `labelled_pages` writes them
+from templates with known main text (fixed seed), and more can be given.
 """
 
 from __future__ import annotations
@@ -14,18 +16,19 @@ import math
 import random
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import col, small_batches, texts_of
+from .common import col, slices, texts_of
 
 #: Fixed values of HTML: elements without content, elements whose content is no text of the page, elements within a line.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math object select".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+RAW = frozenset("script style noscript template textarea title iframe svg annotation annotation-xml".split())
+MATH = frozenset("math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom menclose msub msup msubsup munder mover munderover mmultiscripts semantics".split())
+INLINE = MATH | frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 #: An open paragraph ends where one of these begins.
 ENDS_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 
@@ -34,11 +37,16 @@ _ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^
 _NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 _PART = re.compile(r"[A-Za-z]+")
 _SPACE = re.compile(r"\s+")
+#: An unclosed element without text of the page ends where one of these begins.
+_BLOCK = re.compile(rf"</?(?:{'|'.join(sorted(ENDS_P))}|body|html|head)\b", re.I)
+
+#: An element whose name doesn't decide holds main text if it has so many words outside links, and of its words at most this share within.
+PROSE_WORDS, PROSE_LINKS = 25, 0.3
 
 #: The most that one stretch of unwanted words costs.
 BRIDGE = -4.0
 
-#: A token: "tag" and its name or "text" and the decoded text, and the names of the elements it stands in.
+#: A token: "tag" and its name or "text" and the decoded text, and the names of the elements it stands in; class and id names have the element's number.
 Token = tuple[str, str, tuple[str, ...]]
 
 
@@ -47,7 +55,7 @@ def tokens(page: str) -> Iterator[Token]:
     stack: list[tuple[str, tuple[str, ...]]] = []
     keys: tuple[str, ...] = ()  # each name once, so that deep nesting costs no more than wide
     open_: Counter[str] = Counter()
-    at = 0
+    at = number = 0
 
     def close(name: str) -> None:
         nonlocal keys
@@ -61,6 +69,7 @@ def tokens(page: str) -> Iterator[Token]:
         keys = stack[-1][1] if stack else ()
 
     n = len(page)
+    unclosed: set[str] = set()
     last_end = page.rfind(">") + 1  # no tag ends after it; a comment may still begin
     while at < n:
         m = _TOKEN.search(page, at, last_end) if at < last_end else None
@@ -81,10 +90,17 @@ def tokens(page: str) -> Iterator[Token]:
             continue
         attributes = m.group(3) or m.group(6) or ""
         if name in RAW and not attributes.rstrip().endswith("/"):
-            stop = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-            at = stop.end() if stop else n
+            stop = re.compile(rf"</{name}\s*>", re.I).search(page, at) if name not in unclosed else None
+            if stop:
+                at = stop.end()
+            else:  # nowhere from here on
+                unclosed.add(name)
+                block = _BLOCK.search(page, at)
+                at = block.start() if block else n
             yield "tag", name, keys
             continue
+        if name in ENDS_P and open_["select"]:
+            close("select")
         if name in ENDS_P and open_["p"]:
             close("p")
         elif name == "li" and any(x[0] == "li" for x in stack[-4:]) and not any(x[0] in ("ul", "ol") for x in stack[-1:]):
@@ -92,7 +108,7 @@ def tokens(page: str) -> Iterator[Token]:
         if name in VOID or attributes.rstrip().endswith("/"):
             yield "tag", name, keys
             continue
-        own = [] if name in INLINE else [name]
+        own = ["@link"] if name == "a" else [] if name in INLINE else [name]
         if attributes:
             for a, *v in _ATTRIBUTE.findall(attributes):
                 a, v = a.lower(), "".join(v)
@@ -101,8 +117,10 @@ def tokens(page: str) -> Iterator[Token]:
                 elif (a == "hidden" and v.strip().lower() != "until-found") or (a == "style" and _NO_DISPLAY.search(v)) or (a == "aria-hidden" and v.strip().lower() == "true"):
                     own.append("@hidden")
         inner = keys[max((keys.index(x) for x in ("article", "main") if x in keys), default=0) :]  # names above an article count anew in it
-        if new := [k for k in dict.fromkeys(own) if k not in inner]:
-            keys = (*keys, *new)
+        known = {k.partition("#")[0] for k in inner}
+        if new := [k for k in dict.fromkeys(own) if k not in known]:
+            number += 1
+            keys = (*keys, *(f"{k}#{number}" if k[0] == "." else k for k in new))
         stack.append((name, keys))
         open_[name] += 1
         yield "tag", name, keys
@@ -115,10 +133,22 @@ class Weights:
     element: dict[str, float]
     tag: dict[str, float]
 
-    def word(self, keys: tuple[str, ...], whole: bool) -> float:
-        """1 unless some element around speaks against it; `whole`: the page has an article, and this is not in it."""
-        worst = min((self.element.get(k, 1.0) for k in keys), default=1.0)
-        return max(-1.0, min(1.0, worst, self.element.get("@outside", -1.0) if whole else 1.0))
+    def word(self, keys: tuple[str, ...], whole: bool, prose: Mapping[str, bool]) -> float:
+        """1 unless some element around speaks against it; `whole`: the page has an article, and this is not in it; `prose`: of numbered elements, whether they hold prose."""
+        worst = 1.0
+        for k in keys:
+            w = self.element.get(k.partition("#")[0], 1.0)
+            worst = min(worst, w if w else 1.0 if prose.get(k) else -1.0)
+        return max(-1.0, min(worst, self.element.get("@outside", -1.0) if whole else 1.0))
+
+
+def _prose(seen: list[Token]) -> dict[str, bool]:
+    """Whether each numbered element holds prose."""
+    plain, linked = Counter(), Counter()
+    for kind, value, keys in seen:
+        if kind == "text" and (n := len(value.split())):
+            (linked if "@link" in keys else plain).update(dict.fromkeys((k for k in keys if "#" in k), n))
+    return {k: n >= PROSE_WORDS and linked[k] <= PROSE_LINKS * (n + linked[k]) for k, n in plain.items()}
 
 
 def learn(pages: Iterable[tuple[str, set[str]]]) -> Weights:
@@ -138,12 +168,12 @@ def learn(pages: Iterable[tuple[str, set[str]]]) -> Weights:
                 continue
             good = sum(w in main for w in words)
             near = good * 2 > len(words)
-            for k in {*keys, *(["@outside"] if has and has not in keys else [])}:
+            for k in {*(k.partition("#")[0] for k in keys if k != "@link"), *(["@outside"] if has and has not in keys else [])}:
                 inside[k] += good
                 outside[k] += len(words) - good
     # An element that holds no main text at all counts against its words even where it is rare.
     element = {k: math.log((inside[k] + 0.5) / (outside[k] + 0.5)) for k in {*inside, *outside}}
-    element = {k: (-1.0 if inside[k] * 8 < outside[k] else max(w, 0.25)) for k, w in element.items()}
+    element = {k: -1.0 if inside[k] * 20 < outside[k] else 0.0 if k[0] == "." and outside[k] * 20 > inside[k] else max(w, 0.25) for k, w in element.items()}  # 0: can't tell
     tag = {k: -0.05 - 0.6 * (1 - tag_in[k] / n) for k, n in tag_all.items()}
     return Weights(element, tag)
 
@@ -183,28 +213,24 @@ def main_text(page: str, weights: Weights) -> str:
     """The blocks of the main text, joined by one space; empty if there is none."""
     seen = list(tokens(page))
     scope = _scope(seen)
-    holders = _holders(seen, scope)
+    holders, prose = _holders(seen, scope), _prose(seen)
     scores = []
     good, price = [], 0.0
     for kind, value, keys in seen:
-        if holders and scope in keys:
+        inside = bool(scope) and scope in keys
+        if holders and inside:
             at = keys.index(scope)
             keys = (*(k for k in keys[:at] if k not in holders), *keys[at:])
-        w = weights.word(keys, bool(scope) and scope not in keys)
+        w = weights.word(keys, bool(scope) and not inside, prose)
         good.append(w > 0)
         if w > 0:
             price = 0.0
-            scores.append(len(value.split()) * w if kind == "text" else 0.0 if value in RAW else weights.tag.get(value, -0.3))
-        else:  # what is left out anyway may stand amid an article: as a whole it costs BRIDGE at most
-            cost = max(BRIDGE - price, (len(value.split()) if kind == "text" else 1) * w)
+            scores.append(len(value.split()) * w if kind == "text" else 0.0 if inside or value in RAW else weights.tag.get(value, -0.3))
+        else:  # what is left out anyway may stand amid main text: within an article it costs nothing, elsewhere as a whole BRIDGE at most
+            cost = 0.0 if inside else max(BRIDGE - price, (len(value.split()) if kind == "text" else 1) * w)
             price += cost
             scores.append(cost)
     a, b = region(scores)
-    if scope and a < b:  # an article of which a part is in the region belongs to it as a whole
-        while a and scope in seen[a][2] and scope in seen[a - 1][2]:
-            a -= 1
-        while b < len(seen) and scope in seen[b - 1][2] and scope in seen[b][2]:
-            b += 1
     blocks, now = [], []
     for i, (kind, value, _) in enumerate(seen):
         if kind == "text":
@@ -223,8 +249,10 @@ _PLACES = (
     ("nav", ""), ("header", ""), ("footer", ""), ("aside", ""), ("form", ""), ("button", ""), ("div", "nav"), ("div", "navbar"), ("div", "menu"), ("div", "header"), ("div", "footer"), ("div", "sidebar"), ("div", "ad"), ("div", "ads"), ("div", "advert"),
     ("div", "advertisement"), ("div", "banner"), ("div", "sponsored"), ("div", "sponsor"), ("div", "promo"), ("div", "promotion"), ("div", "cookie"), ("div", "cookies"), ("div", "consent"), ("div", "notice"), ("div", "alert"), ("div", "popup"), ("div", "modal"), ("div", "overlay"), ("div", "newsletter"), ("div", "subscribe"),
     ("div", "signup"), ("div", "login"), ("div", "share"), ("div", "social"), ("div", "related"), ("div", "recommended"), ("div", "breadcrumb"), ("div", "breadcrumbs"), ("div", "pagination"), ("section", "comments"), ("div", "comment"), ("div", "disqus"), ("div", "respond"), ("div", "reply"), ("ol", "commentlist"), ("div", "widget"),
-    ("div", "toolbar"), ("div", "copyright"), ("div", "legal"), ("div", "disclaimer"), ("div", "gdpr"), ("div", "@hidden"), ("p", "skip"), ("div", "toc"), ("div", "search"), ("dialog", ""),
+    ("div", "toolbar"), ("div", "copyright"), ("div", "legal"), ("div", "disclaimer"), ("div", "gdpr"), ("div", "@hidden"), ("p", "skip"), ("div", "toc"), ("div", "search"), ("dialog", ""), ("select", ""),
 )
+#: Names from above that sections of an article bear too.
+_ALSO = ("legal", "search", "notice", "alert", "disclaimer", "copyright", "header", "footer", "banner", "widget", "toolbar", "overlay", "login", "signup", "respond", "reply")
 
 
 def labelled_pages(number: int = 400, seed: int = 3) -> Iterator[tuple[str, set[str]]]:
@@ -244,6 +272,9 @@ def labelled_pages(number: int = 400, seed: int = 3) -> Iterator[tuple[str, set[
             kind = r.choice(("p", "p", "p", "p", "h2", "h3", "ul", "ol", "figcaption", "blockquote", "pre", "table", "section", "div", "figure"))
             text = some("w", 5, 60)
             block = f"<{kind}><li>{text}</li><li>{some('w', 3, 9)} <a href='x'>{word('w')}</a></li></{kind}>" if kind in ("ul", "ol") else f"<table><tr><td>{text}</td><th>{word('w')}</th></tr></table>" if kind == "table" else f"<{kind}><p>{text} <em>{word('w')}</em> <b>{word('w')}</b><br>{some('w', 2, 9)}</p></{kind}>" if kind in ("blockquote", "section", "div") else f"<{kind}>{text} <span>{word('w')}</span></{kind}>"
+            if r.random() < 0.2:
+                block = f"<{r.choice(('section', 'div'))} {r.choice(('class', 'id'))}='{r.choice(_ALSO)}'>{block}<p>{some('w', 25, 60)}</p>"
+                block += "</section>" if block.startswith("<section") else "</div>"
             main.append(block)
             if r.random() < 0.15:
                 main.append(other(*r.choice(_PLACES)))
@@ -261,12 +292,11 @@ def extract_main_text(pages: DataFrame, weights: Weights | None = None) -> DataF
     an empty table gives an empty result. Whole pages of any length are read.
     """
     spark = pages.sparkSession
-    small_batches(spark)
     shared = spark.sparkContext.broadcast(weights or learn(labelled_pages()))  # a few hundred names
     own = pages.select(col("page_id").alias("page_id"), col("url").alias("url"), col("html").alias("html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             got = [main_text(x, shared.value) for x in texts_of(b, "html")]
             yield pa.record_batch([b.column(0), b.column(1), pa.array(got, pa.string()), pa.array([len(x) for x in got], pa.int64())], ["page_id", "url", "text", "n_chars"])
 

@@ -196,3 +196,41 @@ def test_html_words_are_not_lost_to_what_is_around_them():
     for hidden in ("hidden", 'style="color:red; display: none"', "aria-hidden='true'", 'HIDDEN=""'):
         assert htmlmain.main_text(f"<body><article><p>{text}</p><div {hidden}><p>left out</p></div></article></body>", weights) == text
     assert htmlmain.main_text(f'<body><div class="has-sidebar"><article><p>{text}</p><div class="sidebar"><p>left out</p></div></article></div></body>', weights) == text
+
+
+def test_region_is_the_best_of_all_parts():
+    r = random.Random(31)
+    for _ in range(300):
+        scores = [r.choice((-3.0, -1.0, -0.5, 0.0, 0.5, 1.0, 2.0)) for _ in range(r.randint(0, 14))]
+        sums = {(a, b): sum(scores[a:b]) for a in range(len(scores)) for b in range(a + 1, len(scores) + 1)}
+        best = max([0.0, *sums.values()])
+        a, b = htmlmain.region(scores)
+        assert sum(scores[a:b]) == pytest.approx(best)
+        if best > 0:
+            assert (a, b) == min(((x, y) for (x, y), v in sums.items() if v == pytest.approx(best)), key=lambda s: (s[1], -s[0]))
+
+
+def test_text_of_an_article_stays_whatever_its_parts_are_called():
+    weights = htmlmain.learn(htmlmain.labelled_pages())
+    long = " ".join(f"word{i}" for i in range(40))
+    for page, want in (
+        ("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be given.</p></article>", "Let x=2 be given."),
+        ("<article><p>before all</p><object data='x'><p>text of the object</p></object><p>after it</p></article>", "before all text of the object after it"),
+        (f"<article><p>one two three</p><select><option>a<option>b<p>{long}</p></article>", f"one two three {long}"),
+        (f"<article><h1>Title</h1><section id='legal'><p>{long}</p></section><div class='search-results-study'><p>{long}</p></div></article>", f"Title {long} {long}"),
+        (f"<article><h1>Title</h1><div class='legal'><a href='/x'>Terms</a> <a href='/y'>Privacy</a></div><p>{long}</p></article>", f"Title {long}"),
+        (f"<body><article><p>{long}</p><div class='ad'>{long}</div><p>end of it</p></article><div class='comments'><p>{long}</p></div></body>", f"{long} end of it"),
+        (f"<div><p>{long}</p><p>{long}</p></div><div class='promo'><p>buy it now</p></div>", f"{long} {long}"),
+        (f"<article><p>{long}</p><iframe><p>{long}</p></article>", f"{long} {long}"),
+    ):
+        assert htmlmain.main_text(page, weights) == want, page
+
+
+def test_pages_that_repeat_and_clash(spark):
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()), T.StructField("html", T.StringType()), T.StructField("text", T.IntegerType()), T.StructField("n_chars", T.StringType())])
+    rows = [(1, "u", "<article><p>a b c d</p></article>", 3, "x"), (1, "u", "<article><p>a b c d</p></article>", 4, "y"), (None, None, None, None, None), (2, "v", "", 1, "z")]
+    got = htmlmain.extract_main_text(spark.createDataFrame(rows, schema)).collect()
+    assert sorted((x.page_id or 0, x.url or "", x.text, x.n_chars) for x in got) == [(0, "", "", 0), (1, "u", "a b c d", 7), (1, "u", "a b c d", 7), (2, "v", "", 0)]
+    assert htmlmain.extract_main_text(spark.createDataFrame([], schema)).count() == 0
