@@ -132,3 +132,19 @@ def mark_spans(spans: DataFrame, texts: DataFrame, keys: Sequence[str], text_key
     piece = F.concat(sub(F.col("__text"), F.col("before") + 1, F.greatest(F.col("s") - F.col("before"), F.lit(0))), F.lit(left), sub(F.col("__text"), from_ + 1, F.col("e") - from_), F.lit(right))
     marked = seen.groupBy(*keys, "__text").agg(ordered_text(piece, F.col("s"), F.col("e")).alias("head"), F.max("e").alias("last"))
     return marked.select(*keys, F.concat("head", sub(F.col("__text"), F.col("last") + 1, F.length("__text"))).alias("marked"))
+
+
+def running_before(df: DataFrame, key: str, value: str, name: str, ranges: int = 64) -> DataFrame:
+    """`df` with `name`: the sum of `value` over all rows with a smaller `key` (numeric, each once).
+
+    The keys are cut into ranges by quantiles (a number each comes to the driver), the ranges' sums give offsets, and a
+    running sum is worked out within each range, so no task takes more than a range.
+    """
+    cuts = df.agg(F.percentile_approx(key, [i / ranges for i in range(1, ranges)], 10_000).alias("c")).first()["c"] or []
+    part = F.size(F.filter(F.array(*[F.lit(c) for c in sorted(set(cuts))]), lambda c: c <= F.col(key))) if cuts else F.lit(0)
+    ranged = df.withColumn("__part", part)
+    sums = ranged.groupBy("__part").agg(F.sum(value).alias("__sum"))
+    before = F.coalesce(F.sum("__sum").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))  # a row for each range
+    offsets = sums.select("__part", before.alias("__before"))
+    within = F.coalesce(F.sum(value).over(Window.partitionBy("__part").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    return ranged.withColumn("__within", within).join(F.broadcast(offsets), "__part").withColumn(name, F.col("__before") + F.col("__within")).drop("__part", "__before", "__within")
