@@ -6,16 +6,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..sources import working
 from . import relational as R
 
 
 def copies(units: DataFrame) -> DataFrame:
     """unit_id, copy_of for each unit: the first unit (by document, then unit) with the same words, null for that one itself.
 
-    A minimum by hash and words, joined back: a wording that very many units share is a hot key of a join, which
-    is split, not of a window.
+    A minimum by the wording's digest (128 bits stand for it), joined back: a wording that very many units share is
+    a hot key of a join, which is split, not of a window.
     """
-    w = units.select("unit_id", "document_id", S.wording(F.col("text")).alias("w"))
+    w = units.select("unit_id", "document_id", F.md5(S.wording(F.col("text"))).alias("w"))
     first = w.groupBy("w").agg(F.min(F.struct("document_id", "unit_id")).alias("first"))
     return w.join(first, "w").select("unit_id", F.when(F.col("first.unit_id") != F.col("unit_id"), F.col("first.unit_id")).alias("copy_of"))
 
@@ -29,8 +30,9 @@ def template_scores(units: DataFrame, n: int = 6, least: int = 2) -> DataFrame:
     """For each unit (with its project): template_projects, other projects with the very words, and template_share, the share of its runs of n words that at least `least` other projects have, to two places.
 
     Runs are counted with their repeats in the unit, as distinct ones in the corpus; hashes of 64 bits stand for them.
+    The digests and hashes of a text are worked out once and written.
     """
-    u = units.select("unit_id", "project_id", S.wording(F.col("text")).alias("w"), S.positional_shingles(F.col("text"), n).alias("hs"))
+    u = working.written(units.select("unit_id", "project_id", F.md5(S.wording(F.col("text"))).alias("w"), S.positional_shingles(F.col("text"), n).alias("hs")), "templates")
     exact = u.select("w", "project_id").distinct().groupBy("w").agg((F.count("*") - 1).alias("template_projects"))
     flat = u.select("unit_id", "project_id", F.explode(F.array_distinct("hs")).alias("h"))
     known = flat.select("h", "project_id").distinct().groupBy("h").agg(F.count("*").alias("projects")).where(F.col("projects") > least)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..sources import working
 from . import relational as R
 
 NO_ASSET, NO_TYPE = "(no asset)", "(no type)"
@@ -209,20 +210,29 @@ def commitment_package_status(units: DataFrame, links: DataFrame, status: DataFr
 def wording_overlap(findings: DataFrame, paragraph_projects: DataFrame, s: Settings) -> DataFrame:
     """For each committed unit and project: its runs of words, and how many other projects hold a share of them.
 
-    Runs that only one project has are dropped before the self-join; the counts then run on what is left, and
-    a hot run (boilerplate) is met once a project, not once a unit: unit runs join (run, project) pairs.
+    A project that holds the share of a unit's runs holds at least one of its rarest ones, so many of them as the
+    share may lack and one more: these alone find the candidates, and boilerplate, which every project has, meets
+    nobody. For each candidate the runs are then counted by (run, project). A project counts for a run if a unit of
+    it other than this one has the run: two distinct units settle that.
     """
-    u = findings.where("was_sent and is_committed").select("unit_id", "paragraph_id", "text").join(paragraph_projects.select("paragraph_id", "project_id"), "paragraph_id").select("unit_id", "project_id", "text").distinct()
-    runs = u.select("unit_id", "project_id", S.shingles(F.col("text"), s.shingle_words).alias("hs"))
-    n = runs.select("unit_id", "project_id", F.size("hs").alias("runs"))
-    flat = runs.select("unit_id", "project_id", F.explode("hs").alias("h"))
-    # A project counts for a run of a unit if a unit of it other than this one has the run: two distinct units settle that.
-    held = flat.groupBy("h", F.col("project_id").alias("other")).agg(F.min("unit_id").alias("one"), F.max("unit_id").alias("two"))
-    shared_runs = Window.partitionBy("h")  # as many rows as projects that hold the run
-    held = held.withColumns({"__p": F.min("other").over(shared_runs), "__q": F.max("other").over(shared_runs)}).where("__p <> __q").drop("__p", "__q")
-    met = flat.join(held, "h").where("other <> project_id and (one <> unit_id or two <> unit_id)")
-    shared = met.groupBy("unit_id", "project_id", "other").agg(F.count("*").alias("runs_shared"))
-    near = shared.join(n, ["unit_id", "project_id"]).where(F.col("runs_shared") >= s.near_copy_share * F.col("runs")).groupBy("unit_id", "project_id").agg(F.count("*").alias("near_copy_projects"))
+    u = findings.where("was_sent and is_committed").select("unit_id", "paragraph_id", "text").join(paragraph_projects.select("paragraph_id", "project_id"), "paragraph_id")
+    # A unit's runs are worked out once, however many projects it belongs to.
+    spoken = working.written(u.select("unit_id", "text").distinct().select("unit_id", S.shingles(F.col("text"), s.shingle_words).alias("hs")), "runs")
+    n = u.select("unit_id", "project_id").distinct().join(spoken.select("unit_id", F.size("hs").alias("runs")), "unit_id").select("unit_id", "project_id", "runs")
+    of = u.select("unit_id", "project_id").distinct()
+    flat = of.join(spoken, "unit_id").select("unit_id", "project_id", F.explode("hs").alias("h"))
+    common = flat.groupBy("h").agg(F.count("*").alias("seen"), F.min("project_id").alias("p"), F.max("project_id").alias("q")).where("p <> q").select("h", "seen")
+    own = working.written(flat.join(common, "h"), "shared-runs")
+    held = own.groupBy("h", F.col("project_id").alias("other")).agg(F.min("unit_id").alias("one"), F.max("unit_id").alias("two"))
+    unit = Window.partitionBy("unit_id", "project_id")
+    need = F.ceil(F.col("runs") * s.near_copy_share)
+    ranked = own.join(n, ["unit_id", "project_id"]).withColumns({"place": F.row_number().over(unit.orderBy("seen", "h")), "shared": F.count("*").over(unit)})
+    rare = ranked.where(F.col("place") <= F.col("shared") - need + 1)  # the runs that none else has come first and find nobody
+    other_unit = "one <> unit_id or two <> unit_id"
+    candidates = rare.join(held, "h").where("other <> project_id").where(other_unit).select("unit_id", "project_id", "other").distinct()
+    met = own.join(candidates, ["unit_id", "project_id"]).join(held, ["h", "other"]).where(other_unit)
+    counted = met.groupBy("unit_id", "project_id", "other").agg(F.count("*").alias("runs_shared"))
+    near = counted.join(n, ["unit_id", "project_id"]).where(F.col("runs_shared") >= s.near_copy_share * F.col("runs")).groupBy("unit_id", "project_id").agg(F.count("*").alias("near_copy_projects"))
     return n.join(near, ["unit_id", "project_id"], "left").withColumn("near_copy_projects", F.coalesce("near_copy_projects", F.lit(0)))
 
 
