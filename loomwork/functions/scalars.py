@@ -13,17 +13,38 @@ from pyspark.sql import functions as F
 
 #: Statuses of a package that is still to come.
 UPCOMING = ("Pending", "Pending Implementation", "Under Review", "Planned")
-#: Characters that are folded to plain ones, and ligatures.
-FOLD_FROM = "‘’‚‛“”„‟′″‐‑‒–—―−   •‣▪●"
-FOLD_TO = "''''\"\"\"\"'\"-------   ----"
-LIGATURES = (("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬃ", "ffi"), ("ﬄ", "ffl"), ("…", "..."), ("ſt", "st"))
+#: Characters that are folded to plain ones, and those that are spelled out.
+FOLD_FROM = "\u00a0\u202f\u2009\u2007\u2018\u2019\u201a\u201b\u201c\u201d\u00ab\u00bb\u2013\u2212\u2010\u2011\u25cf\u27a2\u25aa\uf0b7\uf06c\uf0a7\uf0d8\uf076\uf05b\uf05d\uf020\uf02e"
+FOLD_TO = "    ''''\"\"\"\"----" + "\u2022" * 8 + "[] ."
+LIGATURES = (("\ufb00", "ff"), ("\ufb01", "fi"), ("\ufb02", "fl"), ("\ufb03", "ffi"), ("\ufb04", "ffl"))
 #: Marker words that tell a language.
 MARKERS = {
-    "en": ("the", "and", "of", "for", "with", "to", "in"),
-    "fr": ("le", "la", "les", "des", "du", "et", "pour", "une"),
-    "es": ("el", "los", "las", "del", "para", "y", "una"),
-    "pt": ("o", "os", "as", "do", "da", "para", "uma"),
+    "en": ("a", "and", "construction", "for", "installation", "of", "provision", "services", "study", "supply", "support", "the", "to", "with"),
+    "fr": ("acquisition", "au", "aux", "construction", "d", "dans", "de", "des", "du", "et", "fourniture", "l", "la", "le", "les", "pour", "prestation", "recrutement", "travaux"),
+    "es": ("adquisición", "con", "construcción", "consultoría", "de", "del", "el", "en", "la", "las", "los", "obras", "para", "servicios", "suministro", "y"),
+    "pt": ("a", "aquisição", "as", "com", "construção", "contratação", "da", "de", "do", "e", "em", "fornecimento", "o", "obras", "os", "para", "serviços"),
 }
+#: Descriptions that say nothing, and categories that are none.
+PLACEHOLDERS = ("-", "a definir", "aucun", "aucune", "n/a", "na", "nao", "nil", "none", "not applicable", "não", "por definir", "tba", "tbc", "tbd", "to be defined", "to be determined", "unknown", "à définir")
+CATEGORIES_ALONE = ("civil works", "consultancy", "consultant services", "consulting", "furniture", "general", "goods", "non consulting services", "services", "supply", "works")
+#: Fixed patterns: a borrower reference alone, and the words of a plan row's other cells.
+REFERENCE_ALONE = r"^[A-Z]{2}-[A-Z0-9]{1,12}-[0-9]{2,10}-[A-Z]{2}-[A-Z0-9]{2,6}$"
+CELL_WORDS = r"(?iuU)^(?:\s|post(?:erior)?|prior|open|limited|direct|national|international|individual|single|stage|one|two|envelope|internationa|[-/,.()])+$"
+#: Fixed patterns: wordings of what a project does, and of what should follow.
+ACTIVITY = (
+    r"\b(?:will|shall|to) (?:also |further |specifically |be )?(?:be )?"
+    r"(?:financ|fund|support|install|deploy|build|construct|establish|develop|procur|integrat|link|connect|upgrad|rehabilitat|conduct|carr(?:y|ied) out|undertak|prepar|"
+    r"design|implement|introduc|provid|acquir|equip|strengthen(?:ed|ing)? (?:the|its)|set up|put in place|creat|adopt|requir|includ|incorporat|expand|digiti[sz]|"
+    r"mainstream|assess|map|bur(?:y|ied)|elevat|reinforc|harden|relocat|backup|back up)\w*"
+    r"|\b(?:is|are) (?:being |to be )?(?:financed|supported|required|included|integrated|deployed|installed|built|procured|conducted|undertaken|planned|designed)\b"
+    r"|\b(?:activities|investments) (?:will )?includ\w*|\bthe following\b|\bincludes?\b|\bsupported by the (?:project|component)|\bunder (?:this |the )?(?:sub-?)?component\b"
+    r"|\bthe (?:project|component|program(?:me)?) (?:will )?(?:finances?|supports?)\b|^\(?[a-z0-9ivx]{1,4}[).]\s"
+)
+OUTCOME = (
+    r"\bwill (?:also |further |thus |therefore |thereby |in turn |greatly )?"
+    r"(?:enable|allow|help|contribut|improv|enhanc|increas|reduc|mitigat|facilitat|make it|lead|result|benefit|boost|promot|foster|minimi[sz]|lower|empower)\w*"
+    r"|\bby enabling\b|\b(?:is|are) expected to\b"
+)
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 
 
@@ -72,8 +93,8 @@ def match_key(text: Column) -> Column:
 
 
 def norm_ref(ref: Column) -> Column:
-    """A borrower reference in capitals and digits, anything else one hyphen, none at the ends."""
-    return F.regexp_replace(F.regexp_replace(F.upper(ref), "[^A-Z0-9]+", "-"), "^-+|-+$", "")
+    """A borrower reference in capitals and digits, anything else one hyphen, none at the ends; null is empty."""
+    return F.regexp_replace(F.regexp_replace(F.upper(collapse(F.coalesce(ref, F.lit("")))), "[^A-Z0-9]+", "-"), "^-+|-+$", "")
 
 
 def unaccent(text: Column) -> Column:
@@ -85,8 +106,8 @@ def unaccent(text: Column) -> Column:
 
 
 def enum_key(value: Column) -> Column:
-    """A vocabulary value for comparing: no accents, lower case, no marks at the ends."""
-    return F.regexp_replace(F.lower(unaccent(value)), r"^[ .:;]+|[ .:;]+$", "")
+    """A vocabulary value for comparing: collapsed, no accents, lower case, no marks at the ends."""
+    return F.regexp_replace(F.lower(unaccent(collapse(value))), r"^[ .:;]+|[ .:;]+$", "")
 
 
 def name_key(name: Column) -> Column:
@@ -111,30 +132,41 @@ def numeric_share(text: Column) -> Column:
     return F.try_divide(figures, token_count(text))
 
 
-def looks_tabular(text: Column, least: int = 12, share: float = 0.33) -> Column:
-    """At least `least` tokens of which `share` are figures."""
-    return (token_count(text) >= least) & F.coalesce(numeric_share(text) >= share, F.lit(False))
+def looks_tabular(text: Column) -> Column:
+    """A table read as running text: of six tokens or more many are figures, or many characters digits, and few are words of four letters or more. Null is none."""
+    tokens = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"(?U)([\w'’-]+)"), 1)
+    figure = lambda x: x.rlike(r"(?U)^[\d.,%()$-]+$")
+    n, digits = F.size(tokens), F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"(?U)\d"))
+    figures, words = F.size(F.filter(tokens, figure)), F.size(F.filter(tokens, lambda x: (F.length(x) > 3) & ~x.rlike(r"(?U)^\d+$")))
+    return (n >= 6) & ((figures / n >= 0.35) | (digits / F.greatest(F.length(text), F.lit(1)) >= 0.20)) & (words / n < 0.45)
 
 
 def iso_date(value: Column, order: str = "") -> Column:
-    """A date as YYYY-MM-DD from ISO, D-Mon-Y or figures; '' if none, ambiguous (order '' and both of 12 or less) or impossible.
+    """A date as YYYY-MM-DD from an ISO date (a time may follow), D-Mon-YYYY or figures; '' if none, ambiguous or impossible.
 
-    order: 'mdy' or 'dmy' for figures. Two-digit years are of this century.
+    Of two figures one above 12 is the day, whatever the order; where both may be the month, order ('mdy' or 'dmy')
+    decides, and without it the date is ambiguous. Years of two figures are of this century.
     """
-    v = F.trim(F.coalesce(value, F.lit("")))
-    part = lambda pattern, i: F.regexp_extract(v, pattern, i)
-    year = lambda y: F.when(F.length(y) == 2, F.concat(F.lit("20"), y)).otherwise(y)
-    iso, named, plain = r"^([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})(?:[T ].*)?$", r"(?i)^([0-9]{1,2})[- /]([A-Za-z]{3})[A-Za-z]*[- /,]+([0-9]{2}|[0-9]{4})$", r"^([0-9]{1,2})[/.-]([0-9]{1,2})[/.-]([0-9]{2}|[0-9]{4})$"
-    month = reduce(lambda c, i: c.when(F.lower(part(named, 2)) == MONTHS[i], F.lit(f"{i + 1}")), range(1, 12), F.when(F.lower(part(named, 2)) == MONTHS[0], F.lit("1")))
-    a, b = part(plain, 1).try_cast("int"), part(plain, 2).try_cast("int")
-    first_is_month = F.lit(order == "mdy") if order else (a <= 12) & (b > 12)
-    known = F.lit(True) if order else (a > 12) | (b > 12)
-    text = (
-        F.when(v.rlike(iso), F.concat_ws("-", part(iso, 1), part(iso, 2), part(iso, 3)))
-        .when(v.rlike(named), F.concat_ws("-", year(part(named, 3)), month, part(named, 1)))
-        .when(v.rlike(plain) & known, F.when(first_is_month, F.concat_ws("-", year(part(plain, 3)), part(plain, 1), part(plain, 2))).otherwise(F.concat_ws("-", year(part(plain, 3)), part(plain, 2), part(plain, 1))))
-    )
-    return F.coalesce(F.date_format(F.try_to_date(text, "y-M-d"), "yyyy-MM-dd"), F.lit(""))
+    named, plain, iso = r"^([0-9]{1,2})[- ]([A-Za-z]{3})[a-z]*[- ,]+([0-9]{4})$", r"^([0-9]{1,2})[-/.]([0-9]{1,2})[-/.]([0-9]{2,4})$", r"^([0-9]{4})-([0-9]{2})-([0-9]{2})"
+    by_order = F.lit(order == "mdy") if order else F.lit(None).cast("boolean")
+    day = lambda d: F.date_format(F.try_to_date(d, "yyyy-M-d"), "yyyy-MM-dd")
+
+    def of_figures(d: Column) -> Column:
+        a, b, year = d["a"], d["b"], F.lpad(F.when(d["y"] < 100, d["y"] + 2000).otherwise(d["y"]).cast("string"), 4, "0")
+        month_first = F.when((a > 12) & (b <= 12), False).when((b > 12) & (a <= 12), True).otherwise(by_order)
+        return _with(month_first, lambda m: F.when(m.isNotNull(), F.concat_ws("-", year, F.when(m, a).otherwise(b), F.when(m, b).otherwise(a))))
+
+    def read(v: Column) -> Column:
+        part = lambda text, pattern, i: F.regexp_extract(text, pattern, i)
+        month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(part(v, named, 2)))
+
+        def read_first(first: Column) -> Column:  # what stands before a time
+            figures = F.struct(*[part(first, plain, i + 1).try_cast("int").alias(c) for i, c in enumerate("aby")])
+            return F.when(first.rlike(iso), part(first, r"^([0-9]{4}-[0-9]{2}-[0-9]{2})", 1)).when(v.rlike(named), F.concat_ws("-", part(v, named, 3), month, part(v, named, 1))).when(first.rlike(plain), _with(figures, of_figures))
+
+        return _with(F.regexp_extract(v, r"(?U)^(\S+)", 1), read_first)
+
+    return F.coalesce(day(_with(F.trim(F.coalesce(value, F.lit(""))), read)), F.lit(""))
 
 
 def number(text: Column) -> Column:
@@ -149,36 +181,59 @@ def to_millions(text: Column, header: Column | None = None) -> Column:
     return F.when(~said & (n >= 10_000), n / 1e6).otherwise(n)
 
 
-MONEY = r"(?i)(?:US\$|USD|\$|EUR|€)\s*([0-9][0-9.,]*[0-9]|[0-9])\s*(million|billion|mn|bn|m\b|thousand|k\b)?"
+#: Fixed patterns: a figure with a currency mark before or after it, and the scale that may follow; the words of each scale.
+_SCALE = r"(?:millions?|mn|m|millones|milh[oõ]es|milliards?|billions?|bn|b)"
+MONEY = rf"(?iu)(?:US\$|USD|\$|EUR|€|GBP|£)\s?([0-9.,]+)(?:\s?({_SCALE})\b)?|([0-9.,]+)(?:\s?({_SCALE}))?\s?(?:US\$|USD|EUR|€|GBP|£)"
+MILLION = ("million", "millions", "mn", "m", "millones", "milhoes", "milhões")
+BILLION = ("billion", "billions", "bn", "b", "milliard", "milliards")
+
+
+def money_value(figure: Column, scale: Column) -> Column:
+    """A printed figure as a number: a comma before one or two last digits is a decimal one, others part thousands; times its scale. Null if it is none."""
+    raw = F.regexp_replace(F.trim(F.coalesce(figure, F.lit(""))), r"^[.,]+|[.,]+$", "")
+    plain = F.when(raw.rlike(r"^[0-9]{1,3}(\.[0-9]{3})*,[0-9]{1,2}$"), F.translate(raw, ",.", ".")).otherwise(F.replace(raw, F.lit(","), F.lit("")))
+    times = F.lower(F.coalesce(scale, F.lit("")))
+    return plain.try_cast("double") * F.when(times.isin(*MILLION), 1e6).when(times.isin(*BILLION), 1e9).otherwise(1.0)
 
 
 def money_in(text: Column) -> Column:
-    """The first amount with a currency in a text, to the cent; null if there is none. A single comma before two last digits is a decimal one."""
-    figure, scale = F.regexp_extract(text, MONEY, 1), F.lower(F.regexp_extract(text, MONEY, 2))
-    plain = F.when(figure.rlike(r"^[0-9]+,[0-9]{1,2}$"), F.replace(figure, F.lit(","), F.lit("."))).when(figure.rlike(r"^[0-9]{1,3}(\.[0-9]{3})+(,[0-9]+)?$"), F.replace(F.replace(figure, F.lit("."), F.lit("")), F.lit(","), F.lit("."))).otherwise(F.replace(figure, F.lit(","), F.lit("")))
-    times = F.when(scale.startswith("b"), 1e9).when(scale.startswith("m"), 1e6).when((scale == "thousand") | (scale == "k"), 1e3).otherwise(1.0)
-    return F.round(plain.try_cast("double") * times, 2)
+    """The first amount with a currency in a text, to the cent; null if there is none."""
+    part = lambda i: F.regexp_extract(text, MONEY, i)
+    before = part(1) != ""
+    return F.round(money_value(F.when(before, part(1)).otherwise(part(3)), F.when(before, part(2)).otherwise(part(4))), 2)
+
+
+#: Fixed pattern: a date amid a text.
+DATE_IN_TEXT = r"\b([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}[-/][0-9]{1,2}[-/][0-9]{2,4}|[0-9]{1,2}[- ][A-Za-z]{3}[- ][0-9]{4})\b"
+
+
+def date_in(text: Column) -> Column:
+    """The first date in a text as YYYY-MM-DD; '' if there is none that can be told."""
+    return iso_date(F.regexp_extract(F.coalesce(text, F.lit("")), DATE_IN_TEXT, 1))
 
 
 def detect_lang(text: Column, default: str = "en") -> Column:
-    """The language whose marker words are the most; a tie or none gives the default."""
-    words = F.regexp_extract_all(F.lower(text), F.lit(r"(?U)([\p{L}]+)"), 1)
+    """The language with the most marker words; where two share the lead, or there are none, the default."""
+    words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("([a-záàâãéêíóôõúüçñ]+)"), 1)
     among = lambda v: lambda w: w.isin(*v)
-    n = {k: F.coalesce(F.size(F.filter(words, among(v))), F.lit(0)) for k, v in MARKERS.items()}
-    return reduce(lambda c, k: c.when(reduce(lambda a, b: a & b, [n[k] > n[o] for o in n if o != k]), F.lit(k)), list(MARKERS)[1:], F.when(F.lit(False), F.lit(""))).otherwise(F.lit(default))
+
+    def leader(ws: Column) -> Column:
+        counted = F.array(*[F.struct(F.size(F.filter(ws, among(v))).alias("n"), F.lit(k).alias("lang")) for k, v in MARKERS.items()])
+        return _with(F.array_sort(counted), lambda c: F.when((F.element_at(c, -1)["n"] > 0) & (F.element_at(c, -1)["n"] > F.element_at(c, -2)["n"]), F.element_at(c, -1)["lang"]).otherwise(F.lit(default)))
+
+    return _with(words, leader)
 
 
 def is_placeholder(description: Column) -> Column:
-    """Descriptions that say nothing: empty, below two words, only a reference, a category or words of other cells."""
-    d = F.lower(F.trim(F.coalesce(description, F.lit(""))))
-    return (token_count(d) < 2) | d.rlike(r"^[a-z]{1,6}[-/ ]?[0-9][-/0-9a-z ]*$") | d.rlike(r"^(to be (determined|confirmed|defined)|not applicable|see (list|annex)|various( items)?|goods and services|consulting services|civil works|non[- ]consulting services)\W*$")
+    """Descriptions that say nothing: empty, a known stand-in, a category, a reference, words of other cells, or fewer than two words."""
+    s = collapse(F.coalesce(description, F.lit("")))
+    key = F.regexp_replace(F.lower(s), r"^[ .:;]+|[ .:;]+$", "")
+    return (s == "") | key.isin(*PLACEHOLDERS, *CATEGORIES_ALONE) | F.replace(F.upper(s), F.lit(" "), F.lit("")).rlike(REFERENCE_ALONE) | s.rlike(CELL_WORDS) | (F.regexp_count(s, F.lit("[A-Za-zÀ-ÿ]{2,}")) < 2)
 
 
 def firmness(text: Column) -> Column:
-    """'activity' where a text says that something is done or delivered, else 'outcome' where it speaks of effects, else 'none'."""
-    act = r"(?iuU)\b(will|shall|to)\s+(finance|fund|support|procure|install|build|construct|deliver|develop|provide|implement|establish|train)\b|\b(financ|procur|install|construct)(es|ed|ing)\b"
-    out = r"(?iuU)\b(improv|increas|enhanc|reduc|strengthen|contribut|expect)\w*\b"
-    return F.when(text.rlike(act), "activity").when(text.rlike(out), "outcome").otherwise("none")
+    """'activity' where a text says that something is done or delivered, else 'outcome' where it says what should follow, else 'none'."""
+    return F.when(text.rlike("(?iuU)" + ACTIVITY), "activity").when(text.rlike("(?iuU)" + OUTCOME), "outcome").otherwise("none")
 
 
 def component_mentions(text: Column) -> Column:
@@ -224,7 +279,7 @@ def permanent_uniform(seed: str, item: Column) -> Column:
 
 
 def cosine(a: Column, b: Column) -> Column:
-    """The dot product of two unit vectors, in double; for few rows (see similarity.py for many)."""
+    """The dot product of two unit vectors, in double; for few rows (operators/search.py has the way for many)."""
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, v: s + v)
 
 
@@ -238,16 +293,22 @@ def _with(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def _runs(words: Column, n: int, short: bool) -> Column:
+    """A 64-bit hash of each run of n of an array's words, from the words' hashes; of fewer words one run (`short`) or none."""
+    hashed = F.transform(words, lambda w: F.xxhash64(w))
+    run = lambda hs: lambda i: F.xxhash64(*[F.get(hs, i + k) for k in range(n)])
+    return _with(hashed, lambda hs: F.when(F.size(hs) >= (1 if short else n), F.transform(F.sequence(F.lit(0), F.greatest(F.size(hs) - n, F.lit(0))), run(hs))).otherwise(F.array().cast("array<bigint>")))
+
+
 def shingles(text: Column, n: int = 6) -> Column:
     """Distinct 64-bit hashes of runs of n words of ASCII letters and digits; a shorter text is one run."""
     words = F.split(F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " ")), " ")
-    return F.array_distinct(_with(words, lambda ws: F.transform(F.sequence(F.lit(1), F.greatest(F.size(ws) - n + 1, F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice(ws, i, n), " ")))))
+    return F.array_distinct(_runs(words, n, short=True))
 
 
 def positional_shingles(text: Column, n: int = 6) -> Column:
     """Hashes of runs of n words of two letters or more, repeats included; none for a shorter text."""
-    words = F.regexp_extract_all(F.lower(text), F.lit(r"(?U)(\p{L}{2,})"), 1)
-    return _with(words, lambda ws: F.when(F.size(ws) >= n, F.transform(F.sequence(F.lit(1), F.size(ws) - n + 1), lambda i: F.xxhash64(F.array_join(F.slice(ws, i, n), " ")))).otherwise(F.array().cast("array<bigint>")))
+    return _runs(F.regexp_extract_all(F.lower(text), F.lit(r"(?U)(\p{L}{2,})"), 1), n, short=False)
 
 
 def answer_score(probabilities: Column, grades: tuple[str, ...] = ("2", "3")) -> Column:

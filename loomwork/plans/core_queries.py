@@ -115,19 +115,19 @@ def paragraph_rollup(t):
     return SE.paragraph_rollup(found, units).withColumn("best_percentile", F.round("best_percentile", 9))
 
 
-_NEAR = f"{_VEC}, nn AS (SELECT s.unit_id AS seed_id, u.unit_id, round(1 - round(list_inner_product(u.e, s.e), 6), 6) AS distance FROM vec s, vec u WHERE s.vec_id < 3 AND s.unit_id <> u.unit_id), nr AS (SELECT *, row_number() OVER (PARTITION BY seed_id ORDER BY distance, unit_id) AS rank FROM nn)"
+_NEAR = f"{_VEC}, nn AS (SELECT s.unit_id AS seed_id, u.unit_id, round(1 - round(list_inner_product(u.e, s.e), 6), 6) AS distance FROM vec s, vec u WHERE s.vec_id % 100 = 0 AND s.unit_id <> u.unit_id), nr AS (SELECT *, row_number() OVER (PARTITION BY seed_id ORDER BY distance, unit_id) AS rank FROM nn)"
 
 
 @query(f"WITH {_NEAR} SELECT * FROM nr WHERE rank <= 20")
 def similar_units(t):
     units, _ = _vectors(t)
-    return SE.nearest_units(units, units.where("vec_id < 3"), 20)
+    return SE.nearest_units(units, units.where("vec_id % 100 = 0"), 20)
 
 
 @query(f"WITH {_NEAR}, p AS (SELECT nr.*, 'P' || CAST(vec_id % 23 AS VARCHAR) AS project_id FROM nr JOIN vec USING (unit_id) WHERE rank <= 60) SELECT project_id, round(1 - min(distance), 6) AS closeness, count(DISTINCT unit_id) AS close_units FROM p WHERE project_id <> 'P0' GROUP BY 1 ORDER BY closeness DESC, project_id LIMIT 6")
 def similar_projects(t):
     units, _ = _vectors(t)
-    return SE.similar_projects(SE.nearest_units(units, units.where("vec_id < 3"), 60), units.select("unit_id", "project_id"), "P0", 6)
+    return SE.similar_projects(SE.nearest_units(units, units.where("vec_id % 100 = 0"), 60), units.select("unit_id", "project_id"), "P0", 6)
 
 
 # Decisions
@@ -326,16 +326,24 @@ def vocabulary(t):
 # Scalars
 
 
-@query(r"SELECT doc_id, trim(regexp_replace(upper(regexp_replace(substring(text, 1, 40), '[^ -~]', '_', 'g')), '[^A-Z0-9]+', '-', 'g'), '-') AS ref, lower(regexp_replace(substring(text, 1, 60), '[\s0-9]', '', 'g')) AS line, len(regexp_extract_all(text, '\S+')) AS tokens, regexp_replace(lower(text), '\s+', ' ', 'g') = lower(text) AS squeezed FROM documents")
+@query(r"SELECT doc_id, trim(regexp_replace(upper(regexp_replace(text, '[^ -~]', '_', 'g')), '[^A-Z0-9]+', '-', 'g'), '-') AS ref, lower(regexp_replace(text, '[\s0-9]', '', 'g')) AS line, len(regexp_extract_all(text, '\S+')) AS tokens, regexp_replace(lower(text), '\s+', ' ', 'g') = lower(text) AS squeezed FROM documents")
 def scalar_text(t):
     x = F.col("text")
-    return t["documents"].select("doc_id", S.norm_ref(F.regexp_replace(F.substring(x, 1, 40), "[^ -~]", "_")).alias("ref"), S.line_fingerprint(F.substring(x, 1, 60)).alias("line"), S.token_count(x).cast("bigint").alias("tokens"), (S.wording(x) == F.lower(x)).alias("squeezed"))
+    return t["documents"].select("doc_id", S.norm_ref(F.regexp_replace(x, "[^ -~]", "_")).alias("ref"), S.line_fingerprint(x).alias("line"), S.token_count(x).cast("bigint").alias("tokens"), (S.wording(x) == F.lower(x)).alias("squeezed"))
 
 
-@query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS iso, strftime(o_orderdate, '%Y-%m-%d') AS named, CASE WHEN day(o_orderdate) > 12 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN day(o_orderdate) = month(o_orderdate) THEN '' ELSE '' END AS plain, strftime(o_orderdate, '%Y-%m-%d') AS dmy, '' AS bad, CAST(year(o_orderdate) + CASE WHEN month(o_orderdate) >= 7 THEN 1 ELSE 0 END AS INT) AS fiscal FROM orders")
+@query(
+    """WITH x AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders), y AS (SELECT *, strftime(d, '%Y-%m-%d') AS i, CASE WHEN day(d) <= 12 THEN strftime(make_date(year(d), day(d), month(d)), '%Y-%m-%d') END AS turned FROM x)
+SELECT o_orderkey, i AS iso, i AS with_time, i AS named, CASE WHEN turned IS NULL THEN i ELSE '' END AS plain, i AS dmy, coalesce(turned, i) AS dmy_as_mdy, coalesce(turned, i) AS mdy_as_dmy, i AS mdy, CASE WHEN turned IS NULL THEN '' ELSE i END AS impossible, '20' || substring(i, 3) AS short_year, '' AS bad, CAST(year(d) + CASE WHEN month(d) >= 7 THEN 1 ELSE 0 END AS INT) AS fiscal FROM y"""
+)
 def scalar_dates(t):
     d = F.col("o_orderdate")
-    return t["orders"].select("o_orderkey", S.iso_date(F.date_format(d, "yyyy-M-d")).alias("iso"), S.iso_date(F.date_format(d, "d-MMM-yyyy")).alias("named"), S.iso_date(F.date_format(d, "dd/MM/yyyy")).alias("plain"), S.iso_date(F.date_format(d, "dd/MM/yyyy"), "dmy").alias("dmy"), S.iso_date(F.lit("31-Feb-2020")).alias("bad"), S.fiscal_year(d).alias("fiscal"))
+    text = lambda form: F.date_format(d, form)
+    impossible = F.concat(text("dd"), F.lit("/"), F.when(F.dayofmonth(d) > 12, F.lit("30")).otherwise(text("MM")), F.lit("/"), text("yyyy"))
+    return t["orders"].select(
+        "o_orderkey", S.iso_date(text("yyyy-MM-dd")).alias("iso"), S.iso_date(text("yyyy-MM-dd HH:mm:ss")).alias("with_time"), S.iso_date(text("d-MMM-yyyy")).alias("named"), S.iso_date(text("dd/MM/yyyy")).alias("plain"), S.iso_date(text("d.M.yyyy"), "dmy").alias("dmy"), S.iso_date(text("dd/MM/yyyy"), "mdy").alias("dmy_as_mdy"), S.iso_date(text("MM-dd-yyyy"), "dmy").alias("mdy_as_dmy"),
+        S.iso_date(text("MM/dd/yyyy"), "mdy").alias("mdy"), S.iso_date(impossible, "dmy").alias("impossible"), S.iso_date(text("dd/MM/yy"), "dmy").alias("short_year"), S.iso_date(F.lit("31-Feb-2020")).alias("bad"), S.fiscal_year(d).alias("fiscal"),
+    )
 
 
 @query("SELECT o_orderkey, round(o_totalprice, 2) AS whole, round(floor(o_totalprice) / 10 * 1000000, 2) AS millions, CASE WHEN o_totalprice >= 10000 THEN floor(o_totalprice) / 1e6 ELSE floor(o_totalprice) END AS in_millions FROM orders")
@@ -345,13 +353,42 @@ def scalar_money(t):
     return t["orders"].select("o_orderkey", S.money_in(F.concat(F.lit("a sum of US$ "), F.format_number(v, 2))).alias("whole"), S.money_in(F.concat(F.lit("USD "), tenth, F.lit(" million"))).alias("millions"), S.to_millions(F.format_number(F.floor(v), 0)).alias("in_millions"))
 
 
-_WORDS = "['{}']"
+#: Texts with what is to be read from them, by hand.
+FIRMNESS = (
+    ("The project will upgrade roads", "activity"), ("Schools will be rehabilitated", "activity"), ("This will enable growth", "outcome"), ("Women are expected to benefit", "outcome"), ("A tower by the sea", "none"), ("(a) towers", "activity"),
+    ("Access is to be financed in year two", "activity"), ("It will thereby reduce losses", "outcome"), ("Works supported by the project", "activity"), ("by enabling trade", "outcome"), ("Prices fell in 2019", "none"), ("The component finances vans", "activity"), ("", "none"),
+)
+PLACEHOLDERS = (
+    ("Posterior Individual Open - National", True), ("To be determined.", True), ("N/A", True), ("Civil works", True), ("AB-UNIT-123456-GO-RFB", True), ("Pumps", True), ("Supply of pumps", False), ("", True), ("Recrutement d'un consultant", False), ("Single Stage - One Envelope", True), ("non consulting services", True), ("12 34 56", True),
+    ("1.5 2.5 3.5 4.5 5.5 6.5 total", True), ("Works in five towns", False),
+)
+TABULAR = (("1,200 3,400 5,600 7,800 9,000 12 13 14", True), ("The works cost 12 million in five towns and more", False), ("12 34 56", False), ("Year 2019 2020 2021 2022 2023 2024", True), ("Roads 10% 20% 30% bridges tunnels harbours airports stations", False), ("", False))
+LANGUAGES = (("Recrutement d un consultant", "fr"), ("Supply and installation of pumps", "en"), ("Construcción de obras para los servicios", "es"), ("Contratação da construção em obras", "pt"), ("pumps", "en"), ("", "en"), ("de", "en"), ("Travaux dans les villes", "fr"), ("el suministro con la bomba", "es"))
+
+
+def _by_hand(cases: tuple) -> str:
+    """The value of case number o_orderkey modulo their number."""
+    return f"CASE o_orderkey % {len(cases)} " + " ".join(f"WHEN {i} THEN " + (f"'{v}'" if isinstance(v, str) else str(v).lower()) for i, (_, v) in enumerate(cases)) + " END"
+
+
+def _case_text(cases: tuple):
+    return F.element_at(F.array(*[F.lit(x) for x, _ in cases]), (F.col("o_orderkey") % len(cases) + 1).cast("int"))
+
+
+@query(f"SELECT o_orderkey, {_by_hand(FIRMNESS)} AS firmness, {_by_hand(PLACEHOLDERS)} AS placeholder, {_by_hand(TABULAR)} AS tabular, {_by_hand(LANGUAGES)} AS lang FROM orders")
+def scalar_by_hand(t):
+    return t["orders"].select("o_orderkey", S.firmness(_case_text(FIRMNESS)).alias("firmness"), S.is_placeholder(_case_text(PLACEHOLDERS)).alias("placeholder"), S.looks_tabular(_case_text(TABULAR)).alias("tabular"), S.detect_lang(_case_text(LANGUAGES)).alias("lang"))
 
 
 @query(
-    r"WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '\p{L}+') AS ws FROM documents), n AS (SELECT doc_id, "
-    + ", ".join(f"len(list_filter(ws, lambda x: x IN ({', '.join(repr(m) for m in v)}))) AS {k}" for k, v in S.MARKERS.items())
-    + " FROM w) SELECT doc_id, CASE WHEN fr > en AND fr > es AND fr > pt THEN 'fr' WHEN es > en AND es > fr AND es > pt THEN 'es' WHEN pt > en AND pt > fr AND pt > es THEN 'pt' ELSE 'en' END AS lang FROM n"
+    """WITH w(lang, word) AS (VALUES
+  ('en', 'a and construction for installation of provision services study supply support the to with'),
+  ('fr', 'acquisition au aux construction d dans de des du et fourniture l la le les pour prestation recrutement travaux'),
+  ('es', 'adquisición con construcción consultoría de del el en la las los obras para servicios suministro y'),
+  ('pt', 'a aquisição as com construção contratação da de do e em fornecimento o obras os para serviços')),
+m AS (SELECT lang, unnest(string_split(word, ' ')) AS word FROM w), k AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-záàâãéêíóôõúüçñ]+')) AS word FROM documents),
+n AS (SELECT doc_id, lang, count(*) AS n FROM k JOIN m USING (word) GROUP BY 1, 2), top AS (SELECT doc_id, max(n) AS n FROM n GROUP BY 1), led AS (SELECT doc_id, min(lang) AS lang FROM n JOIN top USING (doc_id, n) GROUP BY 1 HAVING count(*) = 1)
+SELECT doc_id, coalesce(led.lang, 'en') AS lang FROM documents LEFT JOIN led USING (doc_id)"""
 )
 def scalar_lang(t):
     return t["documents"].select("doc_id", S.detect_lang(F.col("text")).alias("lang"))
