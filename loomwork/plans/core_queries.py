@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..operators import cleaning as CL
 from ..operators import decisions as DC
 from ..operators import evaluation as E
 from ..operators import linking as L
@@ -405,5 +406,73 @@ def scalar_lenient(t):
     return t["events"].select("event_id", S.lenient(k, "integer").alias("k"), (F.col("value").cast("string") == "").alias("blank"))
 
 
+# Procurement cleaning: cells with what is to be read from them, by hand
+
+STATUS_CELLS = (("Pendiente", "Pending"), ("Under Implement ation", "Under Implementation"), ("En cours d'exécut ion", "Under Implementation"), ("En attente d'", "Pending Implementation"), ("Pending", "Pending"), ("Pending Impleme", "Pending Implementation"), ("Cancel", "Canceled"), ("Assinado.", "Signed"), ("", "unknown"), ("Achevé", "Completed"), ("Termin", "Terminated"), ("Rescindido", "Terminated"), ("n/a", "unknown"))
+CATEGORY_CELLS = (("Goods", "goods"), ("CW", "works"), ("Consulting Firms", "consultant_services"), ("AB-UNIT-1234-GO-RFB", "goods"), ("non-consulting services.", "non_consulting_services"), ("", "unknown"), ("x-nc-y", "non_consulting_services"), ("vans", "unknown"))
+REFERENCES = (("AB-UNIT-123-CS-QCBS", "QCBS"), ("AB-UNIT-123-GO-RFQ2", "RFQ"), ("AB-UNIT-1- CS-CQS", "CQS"), ("AB-1-CS-IC", "INDV"), ("AB-1-CS-ICT", ""), ("AB-1-GO-RF", ""), ("AB-1-CW-RFBREBID", "RFB"), ("AB-1-CS-SFQC", "QCBS"), ("no reference", ""), ("", ""))
+METHOD_CELLS = (("Request for Bids", "RFB"), ("Demande de prix", "RFQ"), ("Sélection au moindre coût", "LCS"), ("Direct Selection", "CDS"), ("Consultant Qualification  Selection", "CQS"), ("Quality And Cost-Based Selection", "QCBS"), ("AB-UNIT-123-CS-FBS", "FBS"), ("Request for Ideas", "unknown"), ("", "unknown"))
+OTHER_CELLS = (("Post Request for Propo sals Open", "RFP"), ("Prior Consultant Qualifi cation", "CQS"), ("IDA / 1234 Direct Selection Open", "CDS"), ("Appel d'offres ouvert", "RFB"), ("Open - National", "unknown"), ("Entente directe, Demande de prix", "CDS"), ("", "unknown"))
+CHAINS = (("BJ-UCP / PADA-43641-GO-RFQ", "PADA-43641-GO-RFQ"), ("PADA-43641-GO-RFQ", "PADA-43641-GO-RFQ"), ("BJ / UCP / X1 / Y2", "BJ / UCP / X1 / Y2"), ("A1 / 2023 / B2", "A1"), ("A1-B / C2-D / E3-F / G4", "E3-F"), ("a1 / B2", "a1 / B2"), ("", ""))
+APPROACHES = (("Open-National", "Open - National"), ("Open - Internationa l", "Open - International"), (" Limited /  National ", "Limited - National"), ("", ""))
+
+
+@query(
+    f"SELECT o_orderkey, {_by_hand(STATUS_CELLS)} AS status, {_by_hand(CATEGORY_CELLS)} AS category, {_by_hand(REFERENCES)} AS by_reference, {_by_hand(METHOD_CELLS)} AS method, {_by_hand(OTHER_CELLS)} AS in_cells, {_by_hand(CHAINS)} AS chain, {_by_hand(APPROACHES)} AS approach FROM orders".replace("WHEN 3 THEN 'CDS'", "WHEN 3 THEN CASE WHEN o_orderkey % 2 = 0 THEN 'CDS' ELSE 'DIR' END").replace("WHEN 2 THEN 'CDS'", "WHEN 2 THEN CASE WHEN o_orderkey % 2 = 0 THEN 'CDS' ELSE 'DIR' END").replace("WHEN 5 THEN 'CDS'", "WHEN 5 THEN CASE WHEN o_orderkey % 2 = 0 THEN 'CDS' ELSE 'DIR' END")
+)
+def procurement_values(t):
+    category = F.when(F.col("o_orderkey") % 2 == 0, "consultant_services").otherwise("goods")
+    return t["orders"].select(
+        "o_orderkey", CL.norm_status(_case_text(STATUS_CELLS)).alias("status"), CL.norm_category(_case_text(CATEGORY_CELLS)).alias("category"), CL.reference_method(_case_text(REFERENCES)).alias("by_reference"), CL.norm_method(_case_text(METHOD_CELLS), category).alias("method"), CL.method_in_cells(_case_text(OTHER_CELLS), category).alias("in_cells"),
+        CL.chain_ref(_case_text(CHAINS)).alias("chain"), CL.norm_approach(_case_text(APPROACHES)).alias("approach"),
+    )
+
+
+#: Descriptions with what stays of them, their marks, the component and its source, by hand.
+DESCRIPTIONS = (
+    ("AB-UNIT-123-GO-RFB - Supply of pumps", "Supply of pumps", "", "", ""),
+    ("Lot 2 - Supply of five pumps", "Supply of five pumps", "Lot 2", "", ""),
+    ("Phase 1 and Phase 2 works on roads", "Phase 1 and Phase 2 works on roads", "Phase 1; Phase 2", "", ""),
+    ("Rural IDA / 12345 roads in five towns", "Rural roads in five towns", "", "", ""),
+    ("Works on roads IDA / 12345 Component 2.1: Bridges", "Works on roads", "", "2.1", "number_only"),
+    ("Supply of vans Post Request for Bids Open - National", "Supply of vans", "", "", ""),
+    ("Open - National Supply of chairs", "Supply of chairs", "", "", ""),
+    ("Design of water towers Component 1: Rural water supply systems", "Design of water towers", "", "1", "name_match"),
+    ("Supply of desks (RE-BID)", "Supply of desks", "", "", ""),
+    ("Audit of the accounts for US$ 1.5 million AB-UNIT-77-CS-LCS next", "Audit of the accounts for US$ 1.5 million", "", "", ""),
+    ("", "", "", "", ""),
+)
+
+
+def _hand(i: int) -> str:
+    return _by_hand(tuple((None, x[i]) for x in DESCRIPTIONS))
+
+
+@query(f"SELECT o_orderkey, {_hand(1)} AS description_clean, {_hand(2)} AS lot_or_phase, {_hand(3)} AS component_number, {_hand(4)} AS component_source, CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderkey AS VARCHAR) WHEN o_orderkey % 11 = 9 THEN '1500000.00' END AS estimated_amount, CASE WHEN o_orderkey % 2 = 0 THEN 'plan' WHEN o_orderkey % 11 = 9 THEN 'description' ELSE '' END AS amount_source, 'Signed' AS status FROM orders")
+def clean_packages(t):
+    spark = t["orders"].sparkSession
+    key = F.col("o_orderkey")
+    plan = t["orders"].select("o_orderkey", F.lit("P1").alias("project_id"), F.lit("AB-OWN-1-GO-RFB").alias("borrower_ref"), _case_text(tuple((x[0], 0) for x in DESCRIPTIONS)).alias("description"), F.lit("Goods").alias("category_raw"), F.lit(None).cast("string").alias("method_raw"), F.lit(None).cast("string").alias("cells_raw"), F.lit("").alias("market_approach"), F.lit("Firmado").alias("status_raw"), F.lit(None).cast("string").alias("planned_date"), F.when(key % 2 == 0, key.cast("string")).alias("estimated_amount"))
+    known = spark.createDataFrame([(["P1"], "1", "Component 1: Rural water supply systems", "D1", "2019-01-01"), (["P1"], "9", "Rural water supply systems", "D0", "2018-01-01")], "project_ids array<string>, number string, name string, document_id string, disclosure_date string")
+    return CL.clean_packages(plan, CL.component_index(known)).select("o_orderkey", "description_clean", "lot_or_phase", "component_number", "component_source", "estimated_amount", "amount_source", "status")
+
+
+_AUDITED = "SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 'Supply  of pumps' WHEN 1 THEN 'Tlssfrtq' WHEN 2 THEN 'Lot 2 - vans' WHEN 3 THEN 'Works on AB-CD-1234-GO-RFB site' ELSE NULL END AS d, o_orderstatus, o_totalprice, o_orderdate FROM orders"
+
+
+@query(
+    f"""WITH x AS ({_AUDITED}), n AS (SELECT count(*) AS scope, count(*) FILTER (WHERE o_orderkey % 5 = 3) AS c0, 0 AS c1, count(*) FILTER (WHERE o_orderkey % 5 = 0) AS c2, count(*) FILTER (WHERE o_orderkey % 5 = 1) AS c3, count(*) FILTER (WHERE o_orderkey % 7 = 0) AS c4, count(*) FILTER (WHERE o_orderkey % 7 <> 0 AND o_orderkey % 3 = 0) AS c5, count(*) FILTER (WHERE o_orderkey % 2 = 0) AS c6,
+  count(*) FILTER (WHERE o_orderkey % 4 = 0) AS c7, count(*) FILTER (WHERE o_orderkey % 4 = 0 AND o_orderkey % 3 = 0) AS c8, count(*) FILTER (WHERE o_orderkey % 5 IN (1, 2, 4)) AS c9, count(*) FILTER (WHERE o_orderkey % 6 = 0) AS c10, count(*) FILTER (WHERE o_orderkey % 4 = 1 AND o_orderkey % 3 <> 1) AS c11, count(*) FILTER (WHERE o_orderkey % 5 = 2) AS c12 FROM x)
+SELECT r.k AS "check", r.h AS hits, scope FROM (SELECT scope, unnest([{{'k': 'description carries a second borrower reference', 'h': c0}}, {{'k': 'table header text leaked into a description', 'h': c1}}, {{'k': 'whitespace not collapsed', 'h': c2}}, {{'k': 'description ends mid-word', 'h': c3}}, {{'k': 'borrower reference absent', 'h': c4}}, {{'k': 'borrower reference not normalised', 'h': c5}}, {{'k': 'placeholder description', 'h': c6}},
+  {{'k': 'status unmapped', 'h': c7}}, {{'k': 'status raw present but unmapped', 'h': c8}}, {{'k': 'description too short to match on', 'h': c9}}, {{'k': 'planned date after revised date', 'h': c10}}, {{'k': 'signed package with no amount', 'h': c11}}, {{'k': 'lot or phase marker left at the edge of the description', 'h': c12}}, {{'k': 'another cell of the plan row left in the description', 'h': 0}}]) AS r FROM n)"""
+)
+def audit_procurement(t):
+    k = F.col("o_orderkey")
+    d = F.element_at(F.array(*[F.lit(x) for x in ("Supply  of pumps", "Tlssfrtq", "Lot 2 - vans", "Works on AB-CD-1234-GO-RFB site", None)]), (k % 5 + 1).cast("int"))
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    rows = t["orders"].select(d.alias("description"), d.alias("description_clean"), F.when(k % 7 != 0, F.lit("ab 1")).alias("borrower_ref"), F.when(k % 3 == 0, "AB1").otherwise("AB-1").alias("borrower_ref_norm"), (k % 2 == 0).alias("is_placeholder"), F.when(k % 4 == 0, "unknown").when(k % 4 == 1, "Signed").otherwise("Pending").alias("status"), F.when(k % 3 == 0, "odd").alias("status_raw"), F.when(k % 6 == 0, F.lit("9999-01-01")).otherwise(day).alias("planned_date"), day.alias("revised_date"), F.when(k % 3 == 1, "12").otherwise("0").alias("estimated_amount"))
+    return CL.audit_procurement(rows).select("check", "hits", "scope")
+
+
 QUERIES = view_queries.QUERIES
 ORACLE_SQL = view_queries.ORACLE_SQL

@@ -217,7 +217,7 @@ def test_word_repair(spark):
     assert X.dehyphenate("the infra-", "structure", vocab) == "the infrastructure" and X.dehyphenate("a self-", "made", vocab) == "a self-made"
     assert X.strip_marks("roads12 and m3", {"12"}) == "roads and m3"
     assert X.split_markers("Lot 1 - Supply of pumps (re-bid)") == {"description": "Supply of pumps", "ref_in_text": "", "lot_or_phase": "Lot 1", "is_rebid": True}
-    assert X.cut_stitched("Supply of pumps MW-MOE-1235-CS Audit", "MW-MOE-1234-GO") == "Supply of pumps"
+    assert X.cut_stitched("Supply of pumps MW-MOE-1235-CS-QCBS Audit", "MW-MOE-1234-GO-RFB") == "Supply of pumps" and X.cut_stitched("Pumps MW-MOE-1235-CS-QCBS", "") == "Pumps MW-MOE-1235-CS-QCBS"
     packages = spark.createDataFrame([("supplyof water pum ps - Lot 2", "A-1"), (None, None)], "description string, borrower_ref string")
     words = spark.createDataFrame(list(vocab.items()), "word string, n bigint")
     got = sorted((r.description_clean, r.lot_or_phase) for r in X.clean_descriptions(packages, words).collect())
