@@ -318,9 +318,19 @@ def answer_score(probabilities: Column, grades: tuple[str, ...] = ("2", "3")) ->
     return counted / F.when(total == 0, 1.0).otherwise(total)
 
 
+#: The stages of procurement in a page's order, and the package statuses of each.
+STAGES = {
+    "Completed": ("Contract completed",),
+    "Under way": ("Under implementation", "Contract signed"),
+    "Coming up": ("Overdue", "Planned", "Tendered"),
+    "Package dropped": ("Not in latest plan", "Cancelled"),
+}
+NO_STAGE = "No package linked"
+
+
 def stage_of(status: Column) -> Column:
-    """The stage a package status stands for on the board."""
-    return F.when(status.isin("Contract signed", "Contract completed", "Under implementation"), "Contracted").when(status == "Tendered", "Tendered").when(status.isin("Planned", "Overdue"), "Planned").otherwise("No package")
+    """The stage of procurement that a package status stands for."""
+    return F.coalesce(*[F.when(status.isin(*v), F.lit(k)) for k, v in STAGES.items()], F.lit(NO_STAGE))
 
 
 def lenient(value: Column, kind: str) -> Column:

@@ -340,6 +340,9 @@ def tally(df: DataFrame, by: list[str], base: DataFrame, unit: str = "rows") ->
 
 
 def board(df: DataFrame) -> DataFrame:
-    """Stage by project: commitments and their types."""
-    types = F.array_sort(F.collect_set(F.when(F.col("type_id") != NO_TYPE, F.col("type_id"))))
-    return df.withColumn("stage", S.stage_of(F.col("status"))).groupBy("stage", "project_id").agg(F.count("*").alias("commitments"), F.array_join(types, ", ").alias("types"))
+    """Where each project stands: a row for each stage and project, stages in their order, then most commitments, with their types."""
+    types = F.array_sort(F.collect_set(F.when(F.col("type_name") != NO_TYPE, F.col("type_name"))))
+    staged = df.withColumn("stage", S.stage_of(F.col("status"))) if "stage" not in df.columns else df
+    out = staged.groupBy("stage", "project_id", "project_name").agg(F.count("*").alias("commitments"), F.array_join(types, ", ").alias("types"))
+    order = F.array_position(F.array(*[F.lit(s) for s in (*S.STAGES, S.NO_STAGE)]), F.col("stage"))
+    return out.orderBy(order, F.col("commitments").desc(), "project_name")
