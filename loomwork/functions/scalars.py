@@ -256,10 +256,11 @@ def fiscal_year(approval: Column) -> Column:
     return (F.year(approval) + (F.month(approval) >= 7).cast("int")).cast("int")
 
 
-def practices(info: Column) -> Column:
-    """Names in a practice string with tags: '<name>..</name>' or plain, distinct in their order."""
-    tagged = F.regexp_extract_all(info, F.lit(r"<name>\s*([^<]+?)\s*</name>"), 1)
-    return F.array_distinct(F.when(F.size(tagged) > 0, tagged).otherwise(F.filter(F.transform(F.split(F.regexp_replace(info, "<[^>]*>", ""), r"[;|]"), F.trim), lambda x: x != "")))
+def practices(info: Column, codes: bool = False) -> Column:
+    """The names (or codes) in a practice string with tags, distinct, in their order."""
+    tag = "<GP_PRACTICE_CODE>([^<]*)</GP_PRACTICE_CODE>" if codes else r"(?s)<GP_PRACTICE_NAME><!\[CDATA\[(.*?)\]\]"
+    each = F.transform(F.regexp_extract_all(F.coalesce(info, F.lit("")), F.lit(tag), 1), lambda x: F.trim(x))
+    return F.array_distinct(F.filter(each, lambda x: x != ""))
 
 
 def document_kind(doc_type: Column, title: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..sources import working
+from . import extraction as X
 from . import relational as R
 
 
@@ -57,12 +58,64 @@ def repeated_lines(lines: DataFrame, share: float = 0.3, least: int = 3) -> Data
     return f.join(often, ["document_id", "band", "fp"], "left_anti").select(*lines.columns)
 
 
+#: Fixed patterns: what tells a citation and its source, verbs, what a commitment says, and a title's number; words that a title leaves small.
+CITATION = r"(?iU)\b(?:19|20)\d\d[a-z]?\b|\[link\]|\bhttps?:|www\."
+SOURCE = r"\b(?:Report|Paper|Profile|Database|Portal|Note|Study|Brief|Review|Survey|Outlook|Index|Series|Washington|Retrieved|Available|accessed|et al|Journal|Working|ITU|GSMA|OECD|World Bank|Bank)\b"
+VERB = r"(?i)\b(?:will|shall|would|should|must|is|are|was|were|be|been|being|has|have|had|can|could|may|might|do|does|did)\b"
+FIRM = r"(?i)\b(?:will|shall)\b"
+NUMBERED = r"^(?:\d+(?:\.\d+)*\.?|\(?[ivxlc]+\)|\(?[a-z]\)|[A-Z]\.)\s"
+MINOR = ("and", "or", "of", "the", "for", "to", "in", "on", "a", "an", "with", "by", "at", "from")
+ROW_VERB = r"(?i)\b(?:will|shall|would|should|must|is|are|was|were|be|been|has|have|include[sd]?|support[sd]?|finance[sd]?|provide[sd]?|ensure[sd]?)\b"
+BOILERPLATE_SECTION = r"(?i)grievance"
+RESULTS_SECTION = r"(?i)results? (?:framework|matrix|indicators?)\b|\bindicators?\b|monitoring (?:and|&) evaluation"
+_WORDS = r"(?U)([^\W\d_]{2,})"
+
+
 def left_out(text: Column, kind: Column, has_lead_in: Column) -> Column:
-    """Why a unit is not searched: 'reference' (mostly figures and links), 'fragment' (fewer than three words without a lead-in), else ''."""
-    words = F.size(F.regexp_extract_all(text, F.lit(r"(?U)(\p{L}{2,})"), 1))
-    tokens = S.token_count(text)
-    cites = text.rlike(r"(?iU)\bhttps?://|\bwww\.|\bibid\b|\bop\. ?cit") & (words < 15)
-    return F.when((kind == "footnote") & cites, "reference").when((tokens > 0) & (words < tokens * 0.3), "reference").when((words < 3) & ~has_lead_in, "fragment").otherwise("")
+    """Why a unit is not searched: 'reference' (a note that cites), 'fragment' (a scrap or a title), else ''. What says will or shall is searched, and so is a list item with a lead-in."""
+    words = F.regexp_extract_all(text, F.lit(_WORDS), 1)
+    n = F.size(words)
+    cites = ((n < 12) & ~text.rlike(VERB)) | ((n < 40) & text.rlike(CITATION) & text.rlike(SOURCE))
+    note = F.when(n < 4, "reference").when(text.rlike(FIRM), "").when(cites, "reference").otherwise("")
+    content = F.filter(words, lambda w: ~F.lower(w).isin(*MINOR))
+    capitals = F.size(F.filter(content, lambda w: w.rlike(r"^\p{Lu}")))
+    bare = F.trim(text)
+    title = (n <= 10) & (F.size(content) > 0) & (bare.rlike(NUMBERED) | ~bare.rlike(r"[.;:]$")) & (capitals >= 0.8 * F.size(content))
+    return F.when(kind == "footnote", note).when(has_lead_in | text.rlike(FIRM), "").when((n < 4) | title, "fragment").otherwise("")
+
+
+def prose_row(text: Column) -> Column:
+    """Whether a table row (caption — cells) reads as prose: fifteen words, a verb, and fewer than a fifth of the tokens figures."""
+    cells = F.regexp_replace(text, "^(?s).*? — ", "")
+    tokens = F.split(F.trim(F.regexp_replace(cells, r"(?U)\s+", " ")), " ")
+    figures = F.size(F.filter(tokens, lambda x: x.rlike(r"^[\d.,%$()\-–]+$")))
+    return (F.regexp_count(cells, F.lit(_WORDS)) >= 15) & cells.rlike(ROW_VERB) & (figures < 0.2 * F.size(tokens))
+
+
+def search_units(paragraphs: DataFrame, sentences: DataFrame, component_keys: DataFrame) -> DataFrame:
+    """Every unit that may be searched, with its place, lead-in, why it is left out, and the earlier unit that it copies.
+
+    paragraphs: paragraph_id, document_id, block, section_title, for_model, component_number, component_name, text;
+    sentences (of extraction.sentences): sentence_id, paragraph_id, ordinal, char_start, char_end, text, list_item;
+    component_keys: document_id, number, name_key. Sentences of the paragraphs that go to the model, its footnotes
+    whole, and rows of tables that read as prose (outside standard sections), long ones by sentence.
+    """
+    own = paragraphs.join(component_keys.select("document_id", F.col("number").alias("component_number"), F.col("name_key").alias("__key")), ["document_id", "component_number"], "left")
+    key = F.when(F.coalesce("component_number", F.lit("")) != "", F.coalesce("__key", S.name_key(F.coalesce("component_name", F.lit("")))))
+    p = own.select("paragraph_id", "document_id", "block", F.coalesce("section_title", F.lit("")).alias("section_title"), "component_number", key.alias("component_key"), F.coalesce("for_model", F.lit(False)).alias("for_model"), F.col("text").alias("whole"))
+    place = ["paragraph_id", "document_id", "block", "component_number", "component_key"]
+    led = lead_ins(sentences).join(p.where("for_model").select("whole", *place), "paragraph_id")
+    lead = sentences.select(F.col("sentence_id").alias("lead_in"), F.col("text").alias("lead_text"))
+    s = led.join(lead, "lead_in", "left").select(F.col("sentence_id").alias("unit_id"), F.lit("sentence").alias("kind"), *place, F.col("char_start").cast("int").alias("char_start"), F.col("char_end").cast("int").alias("char_end"), "text", "lead_text", F.lit(False).alias("target"))
+    n = p.where("for_model and block = 'footnote'").select(F.col("paragraph_id").alias("unit_id"), F.lit("footnote").alias("kind"), *place, F.lit(0).alias("char_start"), F.length("whole").alias("char_end"), F.col("whole").alias("text"), F.lit(None).cast("string").alias("lead_text"), F.lit(False).alias("target"))
+    rows = p.where((F.col("block") == "table") & ~F.col("section_title").rlike(BOILERPLATE_SECTION) & prose_row(F.col("whole")))
+    cut = X.table_units(rows.select("paragraph_id", F.col("whole").alias("text"))).join(rows.select(*place, "section_title"), "paragraph_id")
+    r = cut.select("unit_id", F.lit("table").alias("kind"), *place, "char_start", "char_end", "text", "lead_text", F.col("section_title").rlike(RESULTS_SECTION).alias("target"))
+    u = s.unionByName(n).unionByName(r).withColumn("left_out", F.when(F.col("target"), "indicator").otherwise(left_out(F.col("text"), F.col("kind"), F.col("lead_text").isNotNull() & (F.col("kind") != "table"))))
+    words = F.array_join(F.regexp_extract_all(F.lower(F.concat_ws("\n", "lead_text", "text")), F.lit(_WORDS), 1), " ")
+    keyed = u.withColumn("__w", F.when(F.col("left_out") == "", F.md5(words)))
+    first = keyed.where("__w is not null").groupBy("__w").agg(F.min(F.struct("document_id", "unit_id")).alias("__first"))
+    return keyed.join(first, "__w", "left").withColumn("copy_of", F.when(F.col("__first.unit_id") != F.col("unit_id"), F.col("__first.unit_id"))).drop("__w", "__first", "target")
 
 
 def split_short(units: DataFrame, least: int = 5) -> tuple[DataFrame, DataFrame]:

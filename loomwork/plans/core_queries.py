@@ -369,7 +369,7 @@ LANGUAGES = (("Recrutement d un consultant", "fr"), ("Supply and installation of
 
 def _by_hand(cases: tuple) -> str:
     """The value of case number o_orderkey modulo their number."""
-    return f"CASE o_orderkey % {len(cases)} " + " ".join(f"WHEN {i} THEN " + (f"'{v}'" if isinstance(v, str) else str(v).lower()) for i, (_, v) in enumerate(cases)) + " END"
+    return f"CASE o_orderkey % {len(cases)} " + " ".join(f"WHEN {i} THEN " + ("'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v).lower()) for i, (_, v) in enumerate(cases)) + " END"
 
 
 def _case_text(cases: tuple):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import core_queries
+from . import more_queries
 
-QUERIES = {**core_queries.QUERIES}
-ORACLE_SQL = {**core_queries.ORACLE_SQL}
+QUERIES = {**more_queries.QUERIES}
+ORACLE_SQL = {**more_queries.ORACLE_SQL}

@@ -32,7 +32,7 @@ def one(spark, value, f, kind="string"):
     (S.money_in, "about US$ 1.5 million in all", 1_500_000.0), (S.money_in, "EUR 12,50", 12.5), (S.money_in, "none", None), (S.to_millions, "12,500,000", 12.5), (S.to_millions, "3.2", 3.2),
     (S.detect_lang, "les eaux et la ville pour une vie", "fr"), (S.detect_lang, "qqq", "en"), (S.is_placeholder, "To be determined", True), (S.is_placeholder, "Supply of pumps", False), (S.is_placeholder, None, True),
     (S.firmness, "The project will finance towers", "activity"), (S.firmness, "improved access", "none"), (S.firmness, "This will improve access", "outcome"), (S.firmness, "a tower", "none"), (S.component_mentions, "Components 10 and 2, Sub-component 2.1", ["2", "2.1", "10"]),
-    (S.clean_component_name, "Component 1: Roads (US$ 5 million)", "Roads"), (S.practices, "<gp><name>Water</name></gp><gp><name>Water</name><name>Energy</name></gp>", ["Water", "Energy"]), (S.stage_of, "Overdue", "Coming up"), (S.stage_of, None, "No package linked"), (S.wording, "A  b\nC", "a b c"),
+    (S.clean_component_name, "Component 1: Roads (US$ 5 million)", "Roads"), (S.practices, "<GP_PRACTICE_NAME><![CDATA[ Water ]]></GP_PRACTICE_NAME><GP_PRACTICE_NAME><![CDATA[Energy]]><GP_PRACTICE_NAME><![CDATA[Water]]>", ["Water", "Energy"]), (S.stage_of, "Overdue", "Coming up"), (S.stage_of, None, "No package linked"), (S.wording, "A  b\nC", "a b c"),
 ])
 def test_scalars(spark, f, value, want):
     assert one(spark, value, f) == want
