@@ -286,6 +286,49 @@ def commitment_evidence(units: DataFrame, search_units: DataFrame, paragraphs: D
     return out.withColumn("paragraph_marked", F.coalesce("marked", "text")).drop("marked", "text")
 
 
+# Links and roll-ups in their context
+
+
+def package_assets_in_context(package_assets: DataFrame, packages: DataFrame, projects: DataFrame, labels: DataFrame) -> DataFrame:
+    """Each package and asset that was asked (package_id, asset_id, probability), with the asset's name, the package and its project."""
+    names = labels.where("label_set = 'assets'").select(F.col("label_id").alias("asset_id"), F.col("label_name").alias("asset_name"))
+    p = packages.select("package_id", "project_id", "description_clean", "category", "method_code", "status", "planned_date", "estimated_amount_usd", "in_latest_plan", "component_number", "component_name")
+    out = package_assets.join(p, "package_id").join(projects.select("project_id", "cohort_set", "project_name", "country_name", "region"), "project_id", "left").join(names, "asset_id", "left")
+    return out.withColumn("is_upcoming", S.is_upcoming(F.col("status")))
+
+
+def commitment_packages_in_context(links: DataFrame, context: DataFrame, packages: DataFrame) -> DataFrame:
+    """Each asked pair of a finding (of findings_in_context) and a package, with both."""
+    keys = ["label_set", "label_id", "unit_id", "project_id"]
+    f = context.select(*keys, "measure_name", "cohort_set", "project_name", "country_name", "is_committed", F.col("probability").alias("commitment_probability"), F.col("text").alias("commitment_text"), F.col("component_number").alias("commitment_component_number"))
+    p = packages.select("package_id", F.col("description_clean").alias("package_description"), "category", "method_code", "status", "planned_date", "estimated_amount_usd", "in_latest_plan", F.col("component_number").alias("package_component_number"), F.col("component_name").alias("package_component_name"))
+    return links.join(f, keys).join(p, "package_id").withColumn("is_upcoming", S.is_upcoming(F.col("status")))
+
+
+def grades_with_text(scores: DataFrame, units: DataFrame, labels: DataFrame, paragraphs: DataFrame) -> DataFrame:
+    """Each unit's answer for each asset (unit_id, paragraph_id, asset_id, p) with the asset's name, the sentence and its paragraph."""
+    names = labels.where("label_set = 'assets'").select(F.col("label_id").alias("asset_id"), F.col("label_name").alias("asset_name"))
+    out = scores.join(names, "asset_id", "left").join(units.select("unit_id", F.col("text").alias("sentence_text")), "unit_id", "left")
+    return out.join(paragraphs.select("paragraph_id", "component_number", "component_name", "section_title", "block", F.col("text").alias("paragraph_text")), "paragraph_id", "left")
+
+
+def search_paragraphs_with_text(rollup: DataFrame, paragraphs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The search's roll-up (of search.paragraph_rollup) with the label's name and the paragraph."""
+    named = R.first_per_key(labels, ["label_id"], [F.col("label_set").asc()]).select("label_id", "label_name")
+    return rollup.join(named, "label_id", "left").join(paragraphs.select("paragraph_id", "component_number", "component_name", "section_title", "text"), "paragraph_id", "left")
+
+
+def data_as_of(loads: DataFrame) -> DataFrame:
+    """One row: when the data was loaded last, and from which release. loads: release_id, loaded_at."""
+    return loads.agg(F.max(F.struct("loaded_at", "release_id")).alias("l")).select("l.release_id", "l.loaded_at")
+
+
+def upcoming_by_component(upcoming: DataFrame, asset_sentences: DataFrame) -> DataFrame:
+    """Packages still to come with the sentences of the asset map under their component in their project. asset_sentences: project_id, component_number, asset_id, probability, paragraph_id."""
+    a = asset_sentences.select("project_id", "component_number", "asset_id", "probability", "paragraph_id")
+    return upcoming.join(a, ["project_id", "component_number"], "left")
+
+
 # Measures
 
 

@@ -14,16 +14,19 @@ from ..operators import components as CO
 from ..operators import decisions as DC
 from ..operators import evaluation as E
 from ..operators import extraction as X
+from ..operators import grading as G
 from ..operators import linking as L
 from ..operators import plan_text as P
 from ..operators import relational as R
+from ..operators import reports as RP
 from ..operators import search as SE
+from ..operators import states as ST
 from ..operators import text as T
 from ..operators import views as V
 from ..sources import readers, writers
 from . import core_queries
 from .core_queries import _by_hand, _case_text, _vectors
-from .view_queries import query
+from .view_queries import TODAY, query
 
 def _id() -> Column:
     return F.col("o_orderkey")
@@ -415,5 +418,276 @@ def collapsed_packages(t):
     return P.collapsed_packages(t["orders"].select(_id().cast("string").alias("plan_version"), F.lit(_PLAN).alias("text"))).select("plan_version", "borrower_ref", "description", "cells", "estimated_amount", "actual_amount", "status_raw")
 
 
+# Links, roll-ups and questions
+
+_PA = "pa AS (SELECT package_id, 'a' || CAST(estimated_amount_usd % 6 AS VARCHAR) AS asset_id, CAST(estimated_amount_usd % 100 AS DOUBLE) / 100 AS probability FROM packages WHERE estimated_amount_usd % 2 = 0)"
+
+
+def _package_assets(t: dict[str, DataFrame]) -> DataFrame:
+    amount = F.col("estimated_amount_usd")
+    return t["packages"].where(amount % 2 == 0).select("package_id", F.concat(F.lit("a"), (amount % 6).cast("string")).alias("asset_id"), ((amount % 100).cast("double") / 100).alias("probability"))
+
+
+_SOON = "p.status IN ('Pending', 'Pending Implementation', 'Under Review', 'Planned')"
+
+
+@query(f", {_PA} SELECT pa.package_id, p.project_id, j.cohort_set, j.project_name, j.country_name, j.region, pa.asset_id, l.label_name AS asset_name, pa.probability, p.description_clean, p.category, p.method_code, p.status, p.planned_date, p.estimated_amount_usd, p.in_latest_plan, p.component_number, p.component_name, {_SOON} AS is_upcoming FROM pa JOIN packages p USING (package_id) LEFT JOIN projects j ON j.project_id = p.project_id LEFT JOIN label_sets l ON l.label_set = 'assets' AND l.label_id = pa.asset_id", "packages", "projects", "label_sets")
+def package_assets_in_context(t):
+    return V.package_assets_in_context(_package_assets(t), t["packages"], t["projects"], t["label_sets"])
+
+
+@query(f"SELECT c.label_set, c.label_id, c.unit_id, c.project_id, c.package_id, c.probability, l.label_name AS measure_name, j.cohort_set, j.project_name, j.country_name, f.is_committed, f.probability AS commitment_probability, md5(f.text) AS commitment_text, f.component_number AS commitment_component_number, p.description_clean AS package_description, p.category, p.method_code, p.status, p.planned_date, p.estimated_amount_usd, p.in_latest_plan, p.component_number AS package_component_number, p.component_name AS package_component_name, {_SOON} AS is_upcoming FROM commitment_packages c JOIN findings f ON f.label_set = c.label_set AND f.label_id = c.label_id AND f.unit_id = c.unit_id AND f.was_sent JOIN packages p ON p.package_id = c.package_id LEFT JOIN label_sets l ON l.label_set = c.label_set AND l.label_id = c.label_id LEFT JOIN projects j ON j.project_id = c.project_id", "commitment_packages", "findings", "packages", "label_sets", "projects")
+def commitment_packages_in_context(t):
+    context = V.findings_in_context(t["findings"], t["label_sets"], t["paragraphs"], t["docs"], t["paragraph_projects"], t["projects"])
+    return V.commitment_packages_in_context(t["commitment_packages"], context, t["packages"]).withColumn("commitment_text", F.md5("commitment_text"))
+
+
+@query("SELECT s.unit_id, s.paragraph_id, s.ordinal, s.asset_id, s.p, l.label_name AS asset_name, md5(u.text) AS sentence_text, g.component_number, g.component_name, g.section_title, g.block, md5(g.text) AS paragraph_text FROM asset_scores s JOIN units u USING (unit_id) LEFT JOIN label_sets l ON l.label_set = 'assets' AND l.label_id = s.asset_id LEFT JOIN paragraphs g ON g.paragraph_id = s.paragraph_id", "asset_scores", "units", "label_sets", "paragraphs")
+def grades_with_text(t):
+    return V.grades_with_text(t["asset_scores"], t["units"], t["label_sets"], t["paragraphs"]).withColumns({c: F.md5(c) for c in ("sentence_text", "paragraph_text")})
+
+
+@query("WITH x AS (SELECT max(ts) AS m FROM events) SELECT CAST(max(event_id) AS VARCHAR) AS release_id, m AS loaded_at FROM events, x WHERE ts = m GROUP BY m")
+def data_as_of(t):
+    return V.data_as_of(t["events"].select(F.col("event_id").alias("release_id"), F.col("ts").alias("loaded_at"))).withColumn("release_id", F.col("release_id").cast("string"))
+
+
+@query(", a AS (SELECT x.project_id, g.component_number, s.asset_id, s.probability, s.paragraph_id FROM unit_assets s JOIN paragraphs g USING (paragraph_id) JOIN paragraph_projects x USING (paragraph_id) WHERE s.asset_level = 'unit') SELECT p.package_id, p.project_id, p.component_number, p.planned_date, a.asset_id, a.probability, a.paragraph_id FROM packages p LEFT JOIN a ON a.project_id = p.project_id AND a.component_number = p.component_number WHERE " + _SOON, "packages", "unit_assets", "paragraphs", "paragraph_projects")
+def upcoming_by_component(t):
+    up = t["packages"].where(S.is_upcoming(F.col("status"))).select("package_id", "project_id", "component_number", "planned_date")
+    a = t["unit_assets"].where("asset_level = 'unit'").join(t["paragraphs"].select("paragraph_id", "component_number"), "paragraph_id").join(t["paragraph_projects"].select("paragraph_id", "project_id"), "paragraph_id")
+    return V.upcoming_by_component(up, a)
+
+
+# Selections
+
+
+def _dated(t: dict[str, DataFrame]) -> DataFrame:
+    return t["document_projects"].join(t["docs"], "document_id").select("project_id", "document_id", "document_kind", "disclosure_date")
+
+
+@query(
+    f""", d AS (SELECT project_id, count(*) AS documents, max(disclosure_date) AS latest_document_date FROM document_projects JOIN docs USING (document_id) GROUP BY 1), dk AS (SELECT project_id, string_agg(document_kind || ' ' || CAST(n AS VARCHAR), '; ' ORDER BY document_kind) AS documents_by_kind FROM (SELECT project_id, document_kind, count(*) AS n FROM document_projects JOIN docs USING (document_id) GROUP BY 1, 2) GROUP BY 1),
+p AS (SELECT project_id, count(*) AS packages, count(*) FILTER (WHERE {_SOON}) AS upcoming_packages, count(*) FILTER (WHERE {_SOON} AND NOT in_latest_plan) AS upcoming_not_in_latest_plan, sum(CASE WHEN {_SOON} THEN coalesce(estimated_amount_usd, 0) ELSE 0 END) AS v, count(*) FILTER (WHERE {_SOON} AND planned_date < DATE '1998-06-01') AS late, min(planned_date) FILTER (WHERE {_SOON} AND planned_date >= DATE '1998-06-01') AS next_planned_date FROM packages p GROUP BY 1),
+ps AS (SELECT project_id, string_agg(s || ' ' || CAST(n AS VARCHAR), '; ' ORDER BY n DESC, s) AS packages_by_status FROM (SELECT project_id, coalesce(status, '') AS s, count(*) AS n FROM packages GROUP BY 1, 2) GROUP BY 1),
+n AS (SELECT project_id, count(*) AS notices, count(*) FILTER (WHERE deadline_date >= DATE '1998-06-01') AS open_notices FROM notices GROUP BY 1), a AS (SELECT project_id, count(*) AS contracts_signed, sum(total_amount_usd) AS w, max(signed_date) AS latest_contract_date FROM awards GROUP BY 1)
+SELECT j.project_id, coalesce(documents, 0) AS documents, latest_document_date, documents_by_kind, coalesce(packages, 0) AS packages, coalesce(upcoming_packages, 0) AS upcoming_packages, coalesce(upcoming_not_in_latest_plan, 0) AS upcoming_not_in_latest_plan, CAST(coalesce(v, 0) AS DOUBLE) AS upcoming_estimated_usd, coalesce(late, 0) AS upcoming_planned_date_passed, next_planned_date, packages_by_status, coalesce(notices, 0) AS notices, coalesce(open_notices, 0) AS open_notices, coalesce(contracts_signed, 0) AS contracts_signed, CAST(coalesce(w, 0) AS DOUBLE) AS contracts_value_usd, latest_contract_date
+FROM projects j LEFT JOIN d USING (project_id) LEFT JOIN dk USING (project_id) LEFT JOIN p USING (project_id) LEFT JOIN ps USING (project_id) LEFT JOIN n USING (project_id) LEFT JOIN a USING (project_id)""",
+    "projects", "document_projects", "docs", "packages", "notices", "awards",
+)
+def project_summary(t):
+    c = t["components"].select("project_id", F.col("component_level").alias("level"), F.col("component_number").alias("number"), F.col("component_name").alias("name"), F.col("read_from").alias("source"), "disclosure_date", "cost")
+    out = RP.summary(t["projects"].select("project_id"), _dated(t), c, t["packages"].withColumn("plan_disclosure_date", F.col("planned_date")), t["notices"], t["awards"], TODAY)
+    return out.drop("latest_plan_date", "latest_notice_date", "components", "components_cost_usd_m")
+
+
+@query(
+    """, tops AS (SELECT *, max(disclosure_date) OVER (PARTITION BY project_id) AS newest FROM components WHERE component_level = 'component' AND component_number IS NOT NULL), l AS (SELECT *, bool_or(read_from IN ('datasheet', 'restructuring')) OVER (PARTITION BY project_id) AS tabled FROM tops WHERE disclosure_date = newest),
+one AS (SELECT project_id, component_number, min(component_name) AS name, arg_min(cost, component_name) FILTER (WHERE true) AS cost0 FROM l WHERE NOT tabled OR read_from IN ('datasheet', 'restructuring') GROUP BY 1, 2) SELECT project_id, string_agg(component_number || '. ' || name, '; ' ORDER BY CAST(component_number AS INT)) AS components FROM one GROUP BY 1""",
+    "components",
+)
+def latest_component_lists(t):
+    c = t["components"].select("project_id", F.col("component_level").alias("level"), F.col("component_number").alias("number"), F.col("component_name").alias("name"), F.col("read_from").alias("source"), "disclosure_date", F.lit(None).cast("double").alias("cost"))
+    return RP.latest_components(c).drop("components_cost_usd_m")
+
+
+@query(f"SELECT p.package_id, p.project_id, p.planned_date, count(n.notice_id) AS notices, arg_max(n.publication_date, (coalesce(n.publication_date, DATE '0001-01-01'), n.notice_id)) AS latest_notice_date FROM packages p LEFT JOIN notices n ON n.package_id = p.package_id WHERE {_SOON} GROUP BY 1, 2, 3", "packages", "notices")
+def upcoming_with_notices(t):
+    return RP.upcoming(t["packages"].select("package_id", "project_id", "planned_date", "status"), t["notices"]).drop("status", "latest_notice_deadline")
+
+
+@query("SELECT n.notice_id, n.project_id, n.package_id, n.deadline_date, p.status AS package_status, p.estimated_amount_usd AS package_estimated_amount FROM notices n LEFT JOIN packages p ON p.package_id = n.package_id WHERE n.deadline_date >= DATE '1998-06-01'", "notices", "packages")
+def open_notices(t):
+    return RP.open_notices(t["notices"].select("notice_id", "project_id", "package_id", "deadline_date"), t["packages"], TODAY)
+
+
+@query("SELECT 'packages' AS name, count(*) AS n FROM packages SEMI JOIN (SELECT project_id FROM projects WHERE cohort_set = 'contributor') s USING (project_id) UNION ALL SELECT 'documents', count(*) FROM docs WHERE project_1 IN (SELECT project_id FROM projects WHERE cohort_set = 'contributor') OR project_2 IN (SELECT project_id FROM projects WHERE cohort_set = 'contributor') UNION ALL SELECT 'paragraphs', count(DISTINCT paragraph_id) FROM paragraph_projects SEMI JOIN (SELECT project_id FROM projects WHERE cohort_set = 'contributor') s USING (project_id) UNION ALL SELECT 'sentences', count(*) FROM units SEMI JOIN (SELECT DISTINCT paragraph_id FROM paragraph_projects SEMI JOIN (SELECT project_id FROM projects WHERE cohort_set = 'contributor') s USING (project_id)) g USING (paragraph_id)", "packages", "docs", "projects", "paragraph_projects", "units")
+def selected_tables(t):
+    chosen = t["projects"].where("cohort_set = 'contributor'")
+    docs = t["docs"].withColumn("project_ids", F.array_compact(F.array("project_1", "project_2")))
+    paragraphs = t["paragraph_projects"].groupBy("paragraph_id").agg(F.array_sort(F.collect_set("project_id")).alias("project_ids"))
+    got = RP.selected_tables(chosen, {"packages": t["packages"], "documents": docs, "paragraphs": paragraphs, "sentences": t["units"].select("unit_id", "paragraph_id")})
+    out = None
+    for name, df in got.items():
+        one = df.agg(F.lit(name).alias("name"), F.count("*").alias("n"))
+        out = one if out is None else out.unionAll(one)
+    return out
+
+
+@query("SELECT document_id FROM docs ORDER BY document_kind <> 'kind 1', sha256(document_id), document_id LIMIT 40", "docs")
+def sampled_documents(t):
+    return RP.sample_documents(t["docs"], 40, ("kind 1",)).select("document_id")
+
+
+@query("SELECT unit_id FROM units ORDER BY CAST(('0x' || substring(sha256('s1' || chr(9) || unit_id), 1, 15)) AS BIGINT), unit_id LIMIT 400", "units")
+def seeded_sample(t):
+    return RP.seeded_sample(t["units"].select("unit_id"), "unit_id", 400, "s1").select("unit_id")
+
+
+SLUGS = (("Digital ID & Payments!", "digital_id_payments"), ("assets", None), ("  ", None), ("A" * 50, "a" * 40))
+
+
+@query(f"SELECT o_orderkey, {_by_hand(tuple((a, b or '') for a, b in SLUGS))} AS slug, CAST(floor((o_orderkey % 100) * 1.3) AS BIGINT) AS by_words, CAST(o_orderkey // 4 AS BIGINT) AS by_characters FROM orders")
+def names_and_tokens(t):
+    r = RP.token_range(_id() % 100, _id())
+    return t["orders"].select("o_orderkey", F.coalesce(RP.slug(_case_text(SLUGS)), F.lit("")).alias("slug"), r["by_words"].alias("by_words"), r["by_characters"].alias("by_characters"))
+
+
+@query("SELECT count(*) * 6 AS paragraphs, count(*) * 6 AS tagged_default, count(*) * 6 AS tagged_run_on, 0 AS differ FROM orders")
+def component_closing(t):
+    return RP.component_closing(_lines(t).withColumn("for_model", F.lit(True)))
+
+
+@query(f"WITH n AS (SELECT o_orderkey % {len(PARAGRAPHS)} AS i, count(*) AS n FROM orders GROUP BY 1), s(i, three) AS (VALUES {', '.join(f'({i}, {len(x)})' for i, (_, x) in enumerate(PARAGRAPHS))}) SELECT 3 AS least, CAST(sum(n * three) AS BIGINT) AS sentences, 0 AS changed FROM n JOIN s USING (i)")
+def sentence_rules(t):
+    return RP.sentence_rules(t["orders"].select(_case_text(PARAGRAPHS).alias("text"))).where("least = 3")
+
+
+@query("SELECT count(*) FILTER (WHERE n % 5 <> 0) AS paragraphs, round(CAST(sum(CASE WHEN n % 5 = 0 THEN len(regexp_extract_all(text, '\\S+')) ELSE 0 END) AS DOUBLE) / sum(len(regexp_extract_all(text, '\\S+'))), 9) AS share_changed FROM units", "units")
+def paragraph_changes(t):
+    own = lambda df: df.select(F.col("unit_id").alias("document_id"), "text")
+    return RP.paragraph_changes(own(t["units"]), own(t["units"].where("n % 5 <> 0"))).withColumn("share_changed", F.round("share_changed", 9))
+
+
+# Grading
+
+_BAND = "CASE WHEN p < 0.3 THEN 'p<0.3' WHEN p < 0.5 THEN 'p0.3-0.5' WHEN p < 0.7 THEN 'p0.5-0.7' ELSE 'p0.7+' END"
+_STRATA = f"ls AS (SELECT unit_id AS item, 'measure:' || label_set AS line, 'measure:' || label_set || ':' || CASE WHEN abs(probability - 0.8) <= 0.2 THEN 'train:near' ELSE 'train:far' END AS stratum FROM findings UNION ALL SELECT unit_id, 'pair:' || set_a, 'pairs:' || {_BAND} FROM (SELECT unit_id, set_a, least(p_keep_a, p_keep_b) AS p FROM pair_checks))"
+
+
+def _strata(t: dict[str, DataFrame]) -> DataFrame:
+    m = G.measure_strata(t["findings"].select("label_set", "unit_id", F.col("probability").alias("posterior"), F.lit(0.8).alias("floor")))
+    return m.unionByName(G.band_strata(t["pair_checks"].withColumn("p", F.least("p_keep_a", "p_keep_b")), "pairs", "unit_id", F.concat(F.lit("pair:"), "set_a")))
+
+
+@query(f", {_STRATA} SELECT * FROM ls", "findings", "pair_checks")
+def grading_strata(t):
+    return _strata(t)
+
+
+@query(f", {_STRATA}, z AS (SELECT stratum, count(DISTINCT (item, line)) AS size FROM ls GROUP BY 1) SELECT item, line, max(least(1.0, if(stratum = 'measure:m1:train:near', 30, 10) / size)) AS chance FROM ls JOIN z USING (stratum) GROUP BY 1, 2", "findings", "pair_checks")
+def grading_chances(t):
+    return G.line_chances(_strata(t), {"measure:m1:train:near": 30}, 10)
+
+
+_TASKS = "ts AS (SELECT o_orderkey AS k, 't' || CAST(o_orderkey AS VARCHAR) AS task_id, 'b' || CAST(o_orderkey // 4 AS VARCHAR) AS block, CASE WHEN o_orderkey % 4 < 2 THEN 'measure' WHEN o_orderkey % 4 = 2 THEN 'type' ELSE 'other' END AS kind, CASE WHEN o_orderkey % 4 = 1 THEN 'm2' ELSE 'm1' END AS label_set, 'l' || CAST(o_orderkey % 4 AS VARCHAR) AS label_id, sha256(CAST(o_orderkey AS VARCHAR)) AS item_sha, CAST(1 + o_orderkey % 3 AS DOUBLE) AS weight, CASE o_orderkey % 4 WHEN 2 THEN CASE WHEN o_orderkey % 8 = 2 THEN 'yes' ELSE 'no' END WHEN 3 THEN CASE WHEN o_orderkey % 16 = 3 THEN 'none' ELSE 'a1|a2' END ELSE CASE o_orderkey % 5 WHEN 0 THEN 'unsure' WHEN 1 THEN '0' WHEN 2 THEN '2' WHEN 3 THEN '3' ELSE '1' END END AS grade FROM orders)"
+
+
+def _tasks(t: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    k, four = _id(), _id() % 4
+    kind = F.when(four < 2, "measure").when(four == 2, "type").otherwise("other")
+    allowed = F.when(four < 2, F.array(*[F.lit(x) for x in ("0", "1", "2", "3", "unsure")])).when(four == 2, F.array(F.lit("yes"), F.lit("no"), F.lit("unsure"))).otherwise(F.array(F.lit("a1"), F.lit("a2")))
+    tasks = t["orders"].select(F.concat(F.lit("t"), k.cast("string")).alias("task_id"), F.concat(F.lit("b"), F.floor(k / 4).cast("string")).alias("block"), kind.alias("kind"), F.when(four == 1, "m2").otherwise("m1").alias("label_set"), F.concat(F.lit("l"), four.cast("string")).alias("label_id"), F.sha2(k.cast("string"), 256).alias("item_sha"), (1 + k % 3).cast("double").alias("weight"), allowed.alias("allowed"))
+    five = F.element_at(F.array(*[F.lit(x) for x in ("unsure", "0", "2", "3", "1")]), (k % 5 + 1).cast("int"))
+    grade = F.when(four == 2, F.when(k % 8 == 2, "yes").otherwise("no")).when(four == 3, F.when(k % 16 == 3, "none").otherwise("a1|a2")).otherwise(five)
+    return tasks, t["orders"].select(F.concat(F.lit("t"), k.cast("string")).alias("task_id"), F.upper(grade).alias("grade"))
+
+
+@query(
+    f"""WITH {_TASKS}, me AS (SELECT *, grade IN ('2', '3') AS yes FROM ts WHERE kind = 'measure' AND grade <> 'unsure')
+SELECT kind, label_set, label_id, item_sha, grade, weight FROM me UNION ALL SELECT t.kind, t.label_set, t.label_id, t.item_sha, t.grade, t.weight FROM ts t WHERE t.kind = 'type' AND EXISTS (SELECT 1 FROM me WHERE me.block = t.block AND me.label_set = t.label_set AND me.yes)
+UNION ALL SELECT 'pair', 'm1|m2', s.side, if(s.side = 'keep_a', a.item_sha, b.item_sha), if(if(s.side = 'keep_a', a.yes, b.yes), 'yes', 'no'), greatest(a.weight, b.weight) FROM me a JOIN me b ON a.block = b.block AND a.label_set = 'm1' AND b.label_set = 'm2', (VALUES ('keep_a'), ('keep_b')) s(side)
+UNION ALL SELECT 'other', x.i, '', item_sha, 'yes', weight FROM ts, (VALUES ('a1'), ('a2')) x(i) WHERE kind = 'other' AND grade <> 'none'"""
+)
+def grades_from_tasks(t):
+    return G.grades_from(*_tasks(t))
+
+
+@query(f"WITH {_TASKS} SELECT task_id, if(k % 7 = 0, 'not answered', 'not allowed') AS problem FROM ts WHERE k % 7 = 0 OR (k % 7 <> 0 AND k % 11 = 0) UNION ALL SELECT 'x' || task_id, 'not a task' FROM ts WHERE k % 13 = 0")
+def fill_problems(t):
+    tasks, fills = _tasks(t)
+    n = F.substring("task_id", 2, 20).cast("bigint")
+    some = fills.where(n % 7 != 0).withColumn("grade", F.when(n % 11 == 0, "maybe").otherwise(F.col("grade")))
+    return G.fill_problems(tasks, some.unionByName(fills.where(n % 13 == 0).withColumn("task_id", F.concat(F.lit("x"), "task_id"))))
+
+
+@query("SELECT f.label_set, f.label_id, f.unit_id, f.probability AS p, CAST(f.label_set <> 'm3' AS INT) AS y, 2.0 AS w FROM findings f JOIN (SELECT DISTINCT text FROM units WHERE n % 10 = 0) g USING (text)", "findings", "units")
+def graded_units(t):
+    g = t["units"].where("n % 10 = 0").select(F.sha2("text", 256).alias("item_sha")).distinct().crossJoin(F.broadcast(t["label_sets"].where("label_set <> 'assets'").select("label_set", "label_id")))  # a row for each measure
+    grades = g.select(F.lit("measure").alias("kind"), "label_set", "label_id", "item_sha", F.when(F.col("label_set") == "m3", "1").otherwise("2").alias("grade"), F.lit(2.0).alias("weight"))
+    return G.graded_units(grades, t["units"], t["findings"].select("label_set", "unit_id", F.col("probability").alias("p")))
+
+
+@query("SELECT label_id, unit_id, w * n / s AS w FROM (SELECT label_id, unit_id, CAST(1 + length(unit_id) AS DOUBLE) AS w, count(*) OVER (PARTITION BY label_id) AS n, sum(CAST(1 + length(unit_id) AS DOUBLE)) OVER (PARTITION BY label_id) AS s FROM findings)", "findings")
+def rescaled_weights(t):
+    return G.rescaled(t["findings"].select("label_id", "unit_id", (1 + F.length("unit_id")).cast("double").alias("w")))
+
+
+@query("SELECT user_id, event_type, arg_max(event_id, (ts, event_id)) AS event_id FROM events GROUP BY 1, 2")
+def latest_grades(t):
+    e = t["events"].select("user_id", "event_type", F.struct("ts", "event_id").alias("graded_at"), "event_id")
+    return G.latest_grades(e, ["user_id", "event_type"]).drop("graded_at")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'One. »Two is here.« Three.' WHEN o_orderkey % 3 = 1 THEN 'One. Two is here. Three.' ELSE 'One. Two is here. »Three.«' END AS marked FROM orders")
+def marked_sentences(t):
+    s = F.element_at(F.array(F.lit("lead\nTwo is here."), F.lit("Four."), F.lit("Three.")), (_id() % 3 + 1).cast("int"))
+    return t["orders"].select("o_orderkey", G.marked_sentence(F.lit("One. Two is here. Three."), s).alias("marked"))
+
+
+# What a model is shown, and what its answers are published as
+
+
+def _corpus(t: dict[str, DataFrame]) -> DataFrame:
+    c = t["components"].select("document_id", F.col("component_number").alias("number"), F.col("component_name").alias("name"), F.col("read_from").alias("source"))
+    return ST.corpus(t["units"].withColumn("lead_text", F.when(F.col("n") % 4 == 0, "lead:")), t["paragraphs"], c)
+
+
+_CORPUS = "nm AS (SELECT document_id, component_number, arg_min(component_name, (read_from = 'heading', component_name)) AS own FROM components WHERE component_number IS NOT NULL GROUP BY 1, 2), co AS (SELECT u.unit_id, u.n, if(u.n % 4 = 0, 'lead:' || chr(10), '') || u.text AS text, g.section_title AS section, g.component_number AS cn, coalesce(nullif(g.subcomponent_number, ''), g.component_number) AS num, if(nullif(g.subcomponent_number, '') IS NOT NULL, g.subcomponent_name, g.component_name) AS nme, u.document_id FROM units u JOIN paragraphs g USING (paragraph_id)), cp AS (SELECT co.*, if(num IS NULL, NULL, trim(num || ' ' || coalesce(nm.own, nme, ''))) AS component FROM co LEFT JOIN nm ON nm.document_id = co.document_id AND nm.component_number = co.num)"
+
+
+@query(f", {_CORPUS} SELECT unit_id, section, component, md5(coalesce(text, if(n % 4 = 0, 'lead:', ''))) AS text FROM cp", "components", "units", "paragraphs")
+def corpus(t):
+    return _corpus(t).select("unit_id", "section", "component", F.md5("text").alias("text"))
+
+
+@query(f", {_CORPUS} SELECT unit_id, section, component, true AS whole FROM cp", "components", "units", "paragraphs")
+def sentence_states(t):
+    s = ST.sentence_states(_corpus(t))
+    j = lambda x: F.get_json_object("state", f"$.{x}")
+    return s.select("unit_id", j("section").alias("section"), j("component").alias("component"), (F.col("state_sha") == F.sha2("state", 256)).alias("whole"))
+
+
+@query("SELECT paragraph_id AS unit_id, 'Section: ' || section_title || '.' || coalesce(' Component: ' || component_name || '.', '') AS prefix FROM paragraphs", "paragraphs")
+def context_prefix(t):
+    return ST.context_prefix(t["paragraphs"].select(F.col("paragraph_id").alias("unit_id"), F.col("section_title").alias("section"), "component_name"))
+
+
+@query("SELECT package_id, project_id, description_clean AS text, sha256(description_clean) AS sha, trim(coalesce(component_number, '') || ' ' || component_name) AS component FROM packages WHERE length(package_id) <> 3", "packages")
+def package_texts(t):
+    return ST.package_texts(t["packages"].withColumn("is_placeholder", F.length("package_id") == 3))
+
+
+@query("SELECT unit_id, count(*) AS pairs, bool_and(true) AS named FROM (SELECT DISTINCT unit_id, package_id FROM commitment_packages WHERE label_set = 'm2') GROUP BY 1", "commitment_packages")
+def pair_states(t):
+    pairs = t["commitment_packages"].where("label_set = 'm2'").select("unit_id", "package_id").distinct()
+    s = ST.pair_states(pairs, _corpus(t), ST.package_texts(t["packages"].withColumn("is_placeholder", F.lit(False))))
+    return s.groupBy("unit_id").agg(F.count("*").alias("pairs"), F.bool_and(F.get_json_object("state", "$.package").isNotNull()).alias("named"))
+
+
+@query(
+    """, own AS (SELECT unit_id, arg_min(asset_id, (-p, asset_id)) AS b, max(p) AS bp FROM asset_scores GROUP BY 1), w AS (SELECT unit_id, asset_id, p, row_number() OVER (PARTITION BY unit_id ORDER BY p DESC, asset_id) AS k FROM asset_scores WHERE p >= 0.8)
+SELECT s.unit_id, if(w.k IS NULL, 'none', 'unit') AS asset_level, CAST(coalesce(w.k, 0) AS INT) AS asset_rank, w.asset_id, round(w.p, 4) AS probability, own.b AS own_best_asset_id, round(own.bp, 4) AS own_best_probability FROM (SELECT DISTINCT unit_id FROM asset_scores) s LEFT JOIN w USING (unit_id) JOIN own USING (unit_id)""",
+    "asset_scores",
+)
+def published_assets(t):
+    return ST.asset_rows(DC.sentence_assets(t["asset_scores"], 0.8, 0.0, 0.6, multiple=True), t["asset_scores"])
+
+
+@query(
+    """, own AS (SELECT unit_id, arg_min(asset_id, (-p, asset_id)) AS b, max(p) AS bp FROM asset_scores GROUP BY 1), w AS (SELECT unit_id, string_agg(asset_id, '|' ORDER BY p DESC, asset_id) AS links, arg_min(asset_id, (-p, asset_id)) AS f, max(p) AS fp FROM asset_scores WHERE p >= 0.8 GROUP BY 1), ty AS (SELECT unit_id, string_agg(x, '|' ORDER BY x) AS t FROM (SELECT DISTINCT unit_id, unnest(list_filter([type_1, type_2], lambda z: z IS NOT NULL)) AS x FROM findings) GROUP BY 1)
+SELECT f.label_set, f.label_id, f.unit_id, round(f.probability, 6) AS score, own.b AS asset_unit, round(own.bp, 4) AS asset_p_unit, coalesce(w.links, '') AS assets_yes, w.f AS asset_link, if(w.f IS NULL, 'none', 'unit') AS asset_link_level, round(w.fp, 4) AS asset_link_p, coalesce(w.links, '') AS asset_links, f.is_committed AS committed, if(f.is_committed, coalesce(ty.t, ''), '') AS types_yes
+FROM findings f JOIN own USING (unit_id) LEFT JOIN w USING (unit_id) LEFT JOIN ty USING (unit_id)""",
+    "findings", "asset_scores",
+)
+def published_measures(t):
+    f = t["findings"]
+    answers = f.select("label_set", "label_id", "unit_id", F.lit("embedding").alias("route"), F.lit(0).alias("round"), F.col("probability").alias("cosine"), F.col("probability").alias("posterior"), F.col("is_committed").alias("committed"))
+    types = f.select("unit_id", F.explode(F.array_compact(F.array("type_1", "type_2"))).alias("x")).groupBy("unit_id").agg(F.array_sort(F.collect_set("x")).alias("types"))
+    none = f.sparkSession.createDataFrame([], "label_id string, unit_id string, pattern_id string")
+    rows = ST.measure_rows(t["units"], answers, DC.sentence_assets(t["asset_scores"], 0.8, 0.0, 0.6, multiple=True), t["asset_scores"], f.select("label_set", "unit_id").distinct().join(types, "unit_id"), none)
+    return rows.select("label_set", "label_id", "unit_id", "score", "asset_unit", "asset_p_unit", "assets_yes", "asset_link", "asset_link_level", "asset_link_p", "asset_links", "committed", "types_yes")
+
+
 QUERIES = core_queries.QUERIES
 ORACLE_SQL = core_queries.ORACLE_SQL
