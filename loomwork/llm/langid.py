@@ -54,7 +54,8 @@ def counts(text: str, features: int = FEATURES) -> tuple[np.ndarray, np.ndarray]
     space = codes == 32
     if space.all():
         return np.zeros(0, np.int32), np.zeros(0, np.int32)
-    codes = np.concatenate([np.array([32], np.uint32), codes[~(space & np.concatenate([[True], space[:-1]]))], np.array([32], np.uint32)])
+    codes = codes[~(space & np.concatenate([[True], space[:-1]]))]  # runs of spaces as one, none in front
+    codes = np.concatenate([np.array([32], np.uint32), codes[: len(codes) - int(codes[-1] == 32)], np.array([32], np.uint32)])
     shift = np.uint32(32 - int(features).bit_length() + 1)
     hashes, h = [], np.zeros(len(codes), np.uint32)
     for n in range(1, max(ORDERS) + 1):

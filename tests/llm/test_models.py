@@ -148,3 +148,78 @@ def test_added_spans_of_a_long_text_full_of_figures():
     added = judge.added(text, base)
     every = sorted((a, b) for _, a, b in base + added)
     assert len(added) > 1000 and all(b <= c for (_, b), (c, _) in zip(every, every[1:], strict=False))
+
+
+def test_scores_equal_a_slow_walk_of_each_tree():
+    r = np.random.default_rng(8)
+    x = r.normal(size=(800, 6))
+    f = gbdt.fit(x, (x[:, 0] * x[:, 1] > 0).astype(float), trees=20)
+
+    def walk(row):
+        total = f.base
+        for feature, threshold, value in zip(f.feature, f.threshold, f.value, strict=True):
+            node = 0
+            while node < len(feature):
+                node = 2 * node + (2 if row[feature[node]] > threshold[node] else 1)
+            total += value[node - len(feature)]
+        return 1 / (1 + np.exp(-(f.a * total + f.b)))
+
+    assert np.allclose(f.score(x[:100]), [walk(row) for row in x[:100]])
+
+
+def test_trees_choose_the_best_cut():
+    """The first tree's first cut is the one of the highest gain among all bins, by a plain search."""
+    r = np.random.default_rng(9)
+    x = r.integers(0, 12, size=(300, 3)).astype(float)
+    y = (x[:, 1] + r.normal(size=300) > 6).astype(float)
+    f = gbdt.fit(x, y, trees=1, depth=1, calibrate=False)
+    p = 1 / (1 + np.exp(-f.base))
+    g, h = p - y, np.full(300, p * (1 - p))
+
+    def gain(j, c):
+        left = x[:, j] <= c
+        part = lambda m: g[m].sum() ** 2 / (h[m].sum() + 1.0)
+        return part(left) + part(~left) - part(np.ones(300, bool)) if min(h[left].sum(), h[~left].sum()) >= 1 else 0.0
+
+    best = max((gain(j, c), j, c) for j in range(3) for c in np.unique(x[:, j]))
+    assert f.feature[0, 0] == best[1] and gain(best[1], f.threshold[0, 0]) == best[0]
+
+
+def plain_counts(text, features):
+    """Features of the 1- to 3-grams of letters, runs of anything else being one space, counted one by one."""
+    letters = [c.lower() if len(c.lower()) == 1 else c if c.isalpha() else " " for c in text]
+    letters = [c if c.isalpha() else " " for c in letters]
+    squeezed = " " + " ".join("".join(letters).split()) + " "
+    found = {}
+    if not squeezed.strip():
+        return found
+    for n in (1, 2, 3):
+        for i in range(len(squeezed) - n + 1):
+            h = 0
+            for k, c in enumerate(squeezed[i : i + n]):
+                h = (h * 0x9E3779B1 + ord(c) + k + 1) % 2**32
+            x = h * 0x85EBCA77 % 2**32
+            at = ((x ^ (x >> 15)) * 0xC2B2AE3D % 2**32) >> (32 - features.bit_length() + 1)
+            found[at] = found.get(at, 0) + 1
+    return found
+
+
+def test_language_scores_equal_a_plain_model():
+    r = random.Random(12)
+    w = np.random.default_rng(3)
+    m = langid.Model(("de", "en", "fr"), w.random(1 << 12) + 1, w.normal(size=((1 << 12) + 1, 3)), 1.7)
+    texts = [cases.prose(r, lang, n) for lang in ("en", "fr", "de") for n in (1, 5, 60)] + ["Ünïcode  ÉTÉ, 12 -- x", "a", " z ", "42", ""]
+    for t in texts:
+        at, n = langid.counts(t, 1 << 12)
+        plain = plain_counts(t, 1 << 12)
+        assert dict(zip(at.tolist(), n.tolist(), strict=True)) == plain
+        if not plain:
+            assert m.predict(t) == ("und", 0.0)
+            continue
+        x = {k: (1 + np.log(v)) * m.idf[k] for k, v in plain.items()}
+        norm = np.sqrt(sum(v * v for v in x.values()))
+        z = [(sum(v / norm * m.weights[k, c] for k, v in x.items()) + m.weights[-1, c]) / 1.7 for c in range(3)]
+        p = np.exp(np.array(z) - max(z))
+        p /= p.sum()
+        lang, score = m.predict(t)
+        assert lang == m.languages[int(p.argmax())] and abs(score - p.max()) < 1e-4
