@@ -99,6 +99,17 @@ class WordIds:
                 yield b"".join(map(get, w))
 
 
+#: A worker keeps the words of its last tokenizer from task to task.
+_kept: dict[str, WordIds] = {}
+
+
+def _word_ids(path: str) -> WordIds:
+    if path not in _kept:
+        _kept.clear()
+        _kept[path] = WordIds(path)
+    return _kept[path]
+
+
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = EOT, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 (and `row`): each document's ids, then `end_id`, cut only above `capacity`. Null and empty texts are the end id alone."""
     names = carry or []
@@ -106,7 +117,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(tokenizer_path)
+        words = _word_ids(tokenizer_path)
         for b in slices(batches):
             at, piece, start, length, crc = [], [], [], [], []
             for i, ids in enumerate(words.batch(bytes_of(b, "text"))):
