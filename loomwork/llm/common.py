@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN_DIR: list[str] = []
-_MADE: list[str] = []
+_made = threading.local()
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,20 +46,27 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark, schema = df.sparkSession, df.schema
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _MADE.append(path)
+    _tables().append(path)
     out = spark.read.schema(schema).parquet(path)
     out._own_path = path
     return out
 
 
+def _tables() -> list[str]:
+    """The working tables that this thread has written."""
+    if not hasattr(_made, "tables"):
+        _made.tables = []
+    return _made.tables
+
+
 def made() -> int:
-    """How many working tables were written so far."""
-    return len(_MADE)
+    """How many working tables this thread has written so far."""
+    return len(_tables())
 
 
 def made_since(number: int) -> list[str]:
-    """The working tables written after the first `number`."""
-    return _MADE[number:]
+    """The working tables that this thread has written after the first `number`."""
+    return _tables()[number:]
 
 
 def forget(*tables: DataFrame) -> None:

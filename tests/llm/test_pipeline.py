@@ -80,6 +80,14 @@ def test_stages_equal_brute_force(spark, tmp_path):
             assert 0 <= words - target[s] <= max(size.values())
 
 
+def test_a_run_leaves_the_result_of_another(spark, tmp_path):
+    for k in range(2):
+        cases.frame(spark, cases.rows(20 + k, 60)).write.parquet(f"{tmp_path}/d{k}/documents.parquet")
+    one = corpus_pipeline.run(spark, f"{tmp_path}/d0")
+    two = corpus_pipeline.run(spark, f"{tmp_path}/d1")
+    assert one.count() > 30 and two.count() > 30
+
+
 def test_empty(spark, tmp_path):
     docs = cases.empty(spark)
     for _, stage in corpus_pipeline.STAGES:
