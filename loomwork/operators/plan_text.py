@@ -84,11 +84,18 @@ def catalogue(section: str) -> tuple[tuple[str, str], ...]:
 def label_places(heading: Sequence[str], label: str) -> tuple[tuple[int, int], ...]:
     """Where as much of a label as is printed anywhere begins in the heading's lines, and how many letters that is; LABEL_LETTERS at least."""
     for n in range(len(label), LABEL_LETTERS - 1, -1):
-        if places := {m.start() for line in heading for m in re.finditer(f"(?={re.escape(label[:n])})", line)}:
+        if places := {x for line in heading for x in _places(line, label[:n])}:
             return tuple((x, n) for x in sorted(places))
     return ()
 
 
+def _places(line: str, part: str) -> Iterator[int]:
+    at = line.find(part)
+    while at >= 0:
+        yield at
+        at = line.find(part, at + 1)
+
+
 def solve_columns(heading: Sequence[str], section: str) -> list[tuple[str, int]]:
     """The columns that a heading prints and where, from left to right: as many as can stand in print order, of such choices the one with the most letters found."""
     columns = catalogue(section)
@@ -111,12 +118,15 @@ def solve_columns(heading: Sequence[str], section: str) -> list[tuple[str, int]]
 
 def present_columns(table: Table) -> list[str]:
     """The columns (not milestones) that a table prints. Without columns to go by, the labels' presence decides."""
-    if is_collapsed(table):
-        whole = ["\n".join(table.heading)]
-        found = [name for name, label in catalogue(table.section) if label_places(whole, label)]
-    else:
-        found = [name for name, _ in solve_columns(table.heading, table.section)]
-    return [x for x in found if not x.startswith("_")]
+    return list(_present(tuple(table.heading), table.section, is_collapsed(table)))
+
+
+@lru_cache(maxsize=10_000)
+def _present(heading: tuple[str, ...], section: str, collapsed: bool) -> tuple[str, ...]:
+    """present_columns of a heading; plans print the same ones again and again."""
+    whole = ["\n".join(heading)]
+    found = [name for name, label in catalogue(section) if label_places(whole, label)] if collapsed else [name for name, _ in solve_columns(heading, section)]
+    return tuple(x for x in found if not x.startswith("_"))
 
 
 def _tokens(lines: Sequence[str]) -> Iterator[tuple[str, str]]:

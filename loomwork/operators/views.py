@@ -69,8 +69,9 @@ def records_with_package(records: DataFrame, packages: DataFrame, projects: Data
 def package_status(packages: DataFrame, notices: DataFrame, awards: DataFrame, as_of: datetime.date) -> DataFrame:
     """Where each package stands: the plan's final word, else a signed contract, else a notice, else its plan and dates."""
     today = F.lit(as_of)
-    n = R.first_per_key(notices.where("package_id is not null"), ["package_id"], [F.col("publication_date").desc_nulls_last(), F.col("notice_id").desc()]).select("package_id", F.col("publication_date").alias("notice_date"), F.col("deadline_date").alias("notice_deadline"), F.lit(True).alias("has_notice"))
-    a = R.first_per_key(awards.where("package_id is not null and signed_date is not null"), ["package_id"], [F.col("signed_date").desc(), F.col("award_id").desc()]).select("package_id", "signed_date", F.col("supplier_name").alias("supplier"), F.col("total_amount_usd").alias("contract_amount_usd"))
+    # The latest of each package as a maximum, which combines before the shuffle; null dates are the least.
+    n = notices.where("package_id is not null").groupBy("package_id").agg(F.max(F.struct("publication_date", "notice_id", "deadline_date")).alias("n")).select("package_id", F.col("n.publication_date").alias("notice_date"), F.col("n.deadline_date").alias("notice_deadline"), F.lit(True).alias("has_notice"))
+    a = awards.where("package_id is not null and signed_date is not null").groupBy("package_id").agg(F.max(F.struct("signed_date", "award_id", "supplier_name", "total_amount_usd")).alias("a")).select("package_id", "a.signed_date", F.col("a.supplier_name").alias("supplier"), F.col("a.total_amount_usd").alias("contract_amount_usd"))
     p = packages.join(n, "package_id", "left").join(a, "package_id", "left")
     due = S.due_date(F.col("planned_date"), F.col("revised_date"))
     final = F.create_map(*[F.lit(x) for kv in {"Completed": "Contract completed", "Signed": "Contract signed", "Under Implementation": "Under implementation", "Canceled": "Cancelled", "Terminated": "Cancelled"}.items() for x in kv])
