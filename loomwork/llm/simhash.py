@@ -5,8 +5,9 @@ bit, so each fingerprint is filed under its value of every segment (the table) a
 one bit away (the small Hamming ball). Of two values one bit apart exactly one has that bit set, so only the
 set bits are flipped: half the ball finds every pair once. What meets under a value is verified by the complete
 distance and gives a spanning forest of its links, of which a task reports only those that join what it has not
-seen joined: a large group costs a row a document, not a pair. A value that very many fingerprints share is cut
-into blocks of the table that each meet all lookups.
+seen joined: a large group costs a row a document, not a pair. A value that very many fingerprints share is met by
+pieces of the other segment (64-bit form), and what is still hot is cut into blocks of the table that each meet all
+lookups.
 
 The 64-bit form (two segments of 32 bits) is exact for distances up to 3. The wide form is for a similarity of
 shingle sets, of which 64 bits say too little. It has 256 bits in 16 segments of 16 bits and two rounds: documents
@@ -294,6 +295,8 @@ def _meet(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
                     yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
             prints = np.stack(words, axis=1)
             for s, e, n in zip(starts[some & ~small].tolist(), ends[some & ~small].tolist(), table[some & ~small].tolist(), strict=True):
+                if (node[s:e] == node[s]).all():  # joined before
+                    continue
                 i, j = _forest(prints[s:e], n, plan.distance)
                 a, b = new(node[s:e][i], node[s:e][j])
                 for at in range(0, len(a), 20_000):
@@ -389,13 +392,19 @@ def _met(prints: DataFrame, plan: Plan, block: int, balls: bool, table: bool = T
     n = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = _filed(prints, plan, balls, table)
     hot = written(_filed(prints, plan, balls=False).groupBy("key").count().where(F.col("count") > block), "simhash-hot")
+    if not hot.isEmpty() and plan == EXACT:
+        # What differs in three bits at most agrees in one of four pieces of the other segment: a hot value meets by these, which are exact too.
+        other = F.when(F.shiftright("key", 32) == 0, F.shiftrightunsigned("w0", 32)).otherwise(F.col("w0").bitwiseAND(0xFFFFFFFF))
+        pieces = F.array(*[F.xxhash64("key", F.lit(j), F.shiftright(other, 8 * j).bitwiseAND(255)) for j in range(4)])
+        rows = rows.join(F.broadcast(hot), "key", "left").withColumn("key", F.explode(F.when(F.col("count").isNull(), F.array("key")).otherwise(pieces))).drop("count")
+        hot = written(rows.where("node >= 0").groupBy("key").count().where(F.col("count") > block), "simhash-hot")
     if not hot.isEmpty():
-        # A table row stays in one block and is looked up in the others; a lookup goes to all blocks.
+        # A table row stays in one block and is looked up in the others; a lookup goes to all blocks. Fewer than one in `block` rows is a hot key.
         parts = F.ceil(F.col("count") / block).cast("int")
         node = F.when(F.col("node") < 0, -1 - F.col("node")).otherwise(F.col("node"))
-        spread = rows.join(hot, "key", "left").withColumn("own", F.pmod(F.xxhash64(node), parts).cast("int")).withColumn("part", F.explode(F.when(F.col("count").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), parts - 1))))
-        away = (F.col("node") >= 0) & (F.col("own") != F.col("part"))
-        rows = spread.select((F.col("key") + F.shiftleft(F.col("part").cast("bigint"), 40)).alias("key"), F.when(away, -1 - F.col("node")).otherwise(F.col("node")).alias("node"), *rows.columns[2:])
+        spread = rows.join(F.broadcast(hot), "key", "left").withColumn("own", F.pmod(F.xxhash64(node), parts).cast("int")).withColumn("part", F.explode(F.when(F.col("count").isNull(), F.array(F.lit(None).cast("int"))).otherwise(F.sequence(F.lit(0), parts - 1))))
+        away = F.coalesce((F.col("node") >= 0) & (F.col("own") != F.col("part")), F.lit(False))
+        rows = spread.select(F.when(F.col("part").isNull(), F.col("key")).otherwise(F.xxhash64("key", "part")).alias("key"), F.when(away, -1 - F.col("node")).otherwise(F.col("node")).alias("node"), *rows.columns[2:])
     return rows.repartition(n, "key").sortWithinPartitions("key", F.col("node").desc()).mapInArrow(_meet(plan), "a bigint, b bigint")
 
 

@@ -300,3 +300,26 @@ def test_radix_spreads_hot_keys(spark, monkeypatch):
     for i, t, *_ in data:
         groups[t].append(i)
     assert {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in got} == {(i, max(v), len(v), i == max(v)) for v in groups.values() for i in v}
+
+
+def test_each_side_of_a_bound_gives_the_same_groups(spark, monkeypatch):
+    """Sets fetched by a broadcast or a shuffle, meetings searched by pairs or by rows: plans differ, groups don't."""
+    plan = simhash.for_similarity(0.8)
+    texts = drifting(random.Random(17), 90, 120)
+    frame = cases.frame(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])
+    groups = lambda: {x.doc_id: x.component_id for x in simhash.near_duplicates(frame, plan).collect()}
+    one = groups()
+    monkeypatch.setattr(simhash, "BROADCAST_NODES", 0)
+    monkeypatch.setattr(simhash, "SMALL", 2)
+    assert groups() == one and len(set(one.values())) < 90
+
+
+def test_hot_values_meet_by_pieces(spark):
+    """Fingerprints that share a segment and differ elsewhere, far more than a block holds, among strangers."""
+    r = np.random.default_rng(23)
+    half = int(r.integers(1 << 31))
+    prints = sorted({half | int(x) << 32 for x in r.integers(1 << 31, size=300)} | {(half | int(x) << 32) ^ (1 << int(b)) ^ (1 << int(c)) for x, b, c in zip(r.integers(1 << 31, size=300), r.integers(0, 63, 300), r.integers(32, 63, 300), strict=True)})
+    prints = sorted({*prints, *(p ^ (1 << int(b)) for p, b in zip(prints, r.integers(0, 63, len(prints)), strict=True))})
+    df = spark.createDataFrame([(i, bytearray(p.to_bytes(8, "little"))) for i, p in enumerate(prints)], "node bigint, fp binary")
+    got = {x.node: x.root for x in components.connected_components(simhash.links(df, block=100)).collect()}
+    assert [got.get(i, i) for i in range(len(prints))] == reference_components(prints)
