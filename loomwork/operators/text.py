@@ -129,6 +129,24 @@ def vocabulary(texts: DataFrame, key: str = "text") -> DataFrame:
     return texts.select(key).distinct().select(F.explode(F.regexp_extract_all(F.lower(key), F.lit(r"(?U)(\p{L}+)"), 1)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
 
 
+def corpus_vocabulary(descriptions: DataFrame, prose: DataFrame) -> DataFrame:
+    """word, n, prose, names: how often each word stands in the distinct descriptions and in the prose, in the prose alone, and there as a name with capitals inside. Both: text. The prose is counted whole, a description once however often it is printed."""
+    pattern = r"(?U)([^\W\d_]+)"
+    words = lambda df: df.select(F.explode(F.regexp_extract_all("text", F.lit(pattern), 1)).alias("w"))
+    d = words(descriptions.select("text").distinct()).select("w", F.lit(0).alias("p"))
+    both = d.unionByName(words(prose).select("w", F.lit(1).alias("p")))
+    named = F.col("w").rlike(r"\p{Ll}\p{Lu}") & (F.col("p") == 1)
+    return both.groupBy(F.lower("w").alias("word")).agg(F.count("*").alias("n"), F.sum("p").alias("prose"), F.count_if(named).alias("names"))
+
+
+def row_text(cells: Column, header: Column, caption: Column) -> Column:
+    """A table row as text: 'caption — header: value · header: value', or its cells by bars where the header does not fit; empty cells are left out, an empty row is empty."""
+    filled = lambda x: F.coalesce(x, F.lit("")) != ""
+    named = F.filter(F.zip_with(header, cells, lambda h, v: F.when(filled(v), F.when(filled(h), F.concat(h, F.lit(": "), v)).otherwise(v))), lambda x: x.isNotNull())
+    body = F.when(F.size(header) == F.size(cells), F.array_join(named, " · ")).otherwise(F.array_join(F.filter(cells, filled), " | "))
+    return F.when(filled(caption) & (body != ""), F.concat(caption, F.lit(" — "), body)).otherwise(body)
+
+
 #: Audit checks over a text: name, severity, predicate. The patterns.
 CHECKS: tuple[tuple[str, str, str], ...] = (
     ("unicode replacement character", "defect", "\\x{FFFD}"),

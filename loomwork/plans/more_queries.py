@@ -689,5 +689,28 @@ def published_measures(t):
     return rows.select("label_set", "label_id", "unit_id", "score", "asset_unit", "asset_p_unit", "assets_yes", "asset_link", "asset_link_level", "asset_link_p", "asset_links", "committed", "types_yes")
 
 
+# Vocabularies, table rows, settings
+
+
+@query(r"WITH d AS (SELECT DISTINCT o_orderpriority || ' govNet' AS x FROM orders), w AS (SELECT unnest(regexp_extract_all(x, '[A-Za-z]+')) AS w, 0 AS p FROM d UNION ALL SELECT unnest(regexp_extract_all(o_orderpriority || ' GovNet', '[A-Za-z]+')), 1 FROM orders) SELECT lower(w) AS word, count(*) AS n, CAST(sum(p) AS BIGINT) AS prose, count(*) FILTER (WHERE p = 1 AND regexp_matches(w, '[a-z][A-Z]')) AS names FROM w GROUP BY 1")
+def corpus_vocabulary(t):
+    texts = lambda end: t["orders"].select(F.concat("o_orderpriority", F.lit(end)).alias("text"))
+    return T.corpus_vocabulary(texts(" govNet"), texts(" GovNet"))
+
+
+@query("SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'Costs — Name: ' || o_orderpriority || ' · 12' WHEN 1 THEN o_orderpriority || ' | 12' ELSE '' END AS text FROM orders")
+def table_rows(t):
+    three = _id() % 3
+    cells = F.when(three == 2, F.array(F.lit(""), F.lit(""), F.lit(None).cast("string"))).otherwise(F.array(F.col("o_orderpriority"), F.lit(""), F.lit("12")))
+    header = F.when(three == 1, F.array(F.lit("Name"))).otherwise(F.array(F.lit("Name"), F.lit("Unit"), F.lit("")))
+    return t["orders"].select("o_orderkey", T.row_text(cells, header, F.when(three == 0, "Costs")).alias("text"))
+
+
+@query("SELECT 0.7 AS package_link_min_probability, 0.58 AS pair_check_floor, true AS ipf_only, 0.5 AS near_copy_share, 6 AS shingle_words")
+def dashboard_settings(t):
+    row = V.settings_row(t["orders"].sparkSession, V.Settings())
+    return row.select(*[F.col(c) for c in ("package_link_min_probability", "pair_check_floor", "ipf_only", "near_copy_share", "shingle_words")])
+
+
 QUERIES = core_queries.QUERIES
 ORACLE_SQL = core_queries.ORACLE_SQL

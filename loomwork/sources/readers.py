@@ -87,6 +87,58 @@ def is_active(df: DataFrame) -> DataFrame:
     return df.where(F.lower("active") == "true") if "active" in df.columns else df
 
 
+def load_set(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """Every label of a set, active or not: label_id, label_name, definition (white space squeezed), is_active, family, label_set. A file without rows, or without an id, a name and a definition, is an error."""
+    raw = spark.read.csv(f"{folder}/{name}.csv", header=True, multiLine=True, escape='"')
+    own = {end: next((c for c in raw.columns if c.endswith(end)), None) for end in ("_id", "_name")}
+    if None in own.values() or "definition" not in raw.columns or raw.isEmpty():
+        raise ValueError(f"{name}: needs rows with an id, a name and a definition")
+    text = lambda c: F.trim(F.regexp_replace(F.coalesce(F.col(f"`{c}`"), F.lit("")), r"(?U)\s+", " "))
+    active = F.lower(F.trim("active")) == "true" if "active" in raw.columns else F.lit(True)
+    family = text("family") if "family" in raw.columns else F.lit("")
+    return raw.select(F.trim(own["_id"]).alias("label_id"), F.trim(own["_name"]).alias("label_name"), text("definition").alias("definition"), F.coalesce(active, F.lit(False)).alias("is_active"), family.alias("family"), F.lit(name).alias("label_set"))
+
+
+def load_patterns(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """The active word patterns of a set: label_id, pattern_id, pattern, case_sensitive. An absent file is an empty table; an unknown flag, or a pattern that does not compile, is an error."""
+    raw = is_active(_optional(spark, f"{folder}/{name}_patterns.csv", ["label_id", "pattern_id", "pattern", "flags", "active"]))
+    flag = F.upper(F.trim(F.coalesce(F.nullif("flags", F.lit("")), F.lit("IGNORECASE"))))
+    out = raw.select(F.trim("label_id").alias("label_id"), F.trim("pattern_id").alias("pattern_id"), "pattern", flag.alias("flag"))
+    for r in out.collect():  # a set's patterns: a few dozen
+        if r["flag"] not in ("IGNORECASE", "CASE_SENSITIVE"):
+            raise ValueError(f"{name}: pattern {r['pattern_id']} has the flag {r['flag']}")
+        try:
+            spark._jvm.java.util.regex.Pattern.compile(r["pattern"] or "")
+        except Exception as e:
+            raise ValueError(f"{name}: pattern {r['pattern_id']} does not compile") from e
+    return out.select("label_id", "pattern_id", "pattern", (F.col("flag") == "CASE_SENSITIVE").alias("case_sensitive"))
+
+
+def load_types(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """The active types of a set: label_id, type_id, type_name, definition, merge_into, display_name; an absent file is an empty table."""
+    raw = is_active(_optional(spark, f"{folder}/{name}_types.csv", ["label_id", "type_id", "type_name", "definition", "merge_into", "display_name", "active"]))
+    text = lambda c: F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)\s+", " "))
+    return raw.select(*[text(F.col(c)).alias(c) for c in ("label_id", "type_id", "type_name", "definition", "merge_into", "display_name")])
+
+
+def _optional(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """A file that may be absent; rows of a table without `active` are active."""
+    df = read_csv(spark, path, columns)
+    return df.withColumn("active", F.coalesce("active", F.lit("true")))
+
+
+def apply_views(spark: SparkSession, panel: Panel, files: Mapping[str, str]) -> list[str]:
+    """Runs SQL files (name to text) in the order of their names, settings filled in, statement by statement; one that fails is fatal and named. Returns the names."""
+    for name in sorted(files):
+        for statement in re.split(r";\s*(?:\n|$)", re.sub(r"(?m)^\s*--.*$", "", panel.fill(files[name]))):
+            if statement.strip():
+                try:
+                    spark.sql(statement)
+                except Exception as e:
+                    raise RuntimeError(f"{name}: {statement.strip()[:80]}") from e
+    return sorted(files)
+
+
 def type_resolution(types: DataFrame) -> DataFrame:
     """type_id, merged (what it is shown as) and its name."""
     t = types.select("type_id", F.coalesce(F.nullif("merge_into", F.lit("")), "type_id").alias("merged"))

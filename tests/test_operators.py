@@ -13,6 +13,7 @@ from loomwork.operators import decisions as DC
 from loomwork.operators import evaluation as E
 from loomwork.operators import extraction as X
 from loomwork.operators import linking as L
+from loomwork.operators import plan_text as P
 from loomwork.operators import relational as R
 from loomwork.operators import search as SE
 from loomwork.operators import text as T
@@ -291,3 +292,36 @@ def test_sinks(spark, tmp_path):
     assert incremental.due(state, "x", {"a": df}, {"k": 1}) and not incremental.due(state, "x", {"a": df}, {"k": 1}) and incremental.due(state, "x", {"a": df}, {"k": 2})
     done = incremental.new_rows(df, spark.createDataFrame([], "content_sha string"), ["kind", "v"])
     assert incremental.new_rows(df, done.limit(2), ["kind", "v"]).count() == 1
+
+
+def test_pooled_layers_share_their_weights():
+    r = np.random.default_rng(4)
+    labels = {}
+    for name, share in (("a", 0.5), ("b", 0.3)):
+        y = (r.random(80) < share).astype(int)
+        v = r.normal(size=(80, 3)) * 0.2 + np.stack([y, 1 - y, np.zeros(80)], axis=1)
+        v /= np.linalg.norm(v, axis=1, keepdims=True)
+        labels[name] = [{"unit": f"{name}{i}", "vector": v[i], "score": 0.5, "y": int(y[i]), "w": 1.0 + (i % 3), "project": f"P{i % 11}"} for i in range(80)]
+    labels["small"] = labels["a"][:3]
+    layers = E.pooled_layers(labels)
+    assert set(layers) == {"a", "b"} and np.allclose(layers["a"].b, layers["b"].b) and layers["a"].a != layers["b"].a
+    held = E.out_of_fold_all(labels)
+    for name in ("a", "b"):
+        assert np.mean([(p > 0.5) == bool(x["y"]) for p, x in zip(held[name], labels[name], strict=True)]) > 0.9
+    assert held["small"] == [0.5] * 3 and E.pooled_layers({}) == {}
+
+
+def test_tables_and_wrapped_references():
+    header, rows = X.clean_table([["Name", None, "Cost"], ["Roads and", "", "1,200"], ["bridges", "", ""], [None, None, None], ["infra-\nstructure", "", "3.5"]], {"infrastructure"})
+    assert header == ["Name", "Cost"] and rows == [["Roads and bridges", "1,200"], ["infrastructure", "3.5"]]
+    assert X.clean_table([]) == (None, [])
+    starts, head = P.ROW_START, __import__("re").compile(rf"\s*({P.REFERENCE}[-–—(.]?)(\s{{2,}}\S.*)?\s*$")
+    lines = ["AB-UNIT-123-GO-", "RFB / Supply of pumps", "IDA / 12345", "AB-UNIT-124-GO-RFQ / Vans"]
+    assert X.join_wrapped_refs(lines, starts, head, P.LOAN_CELL) == ["AB-UNIT-123-GO-RFB / Supply of pumps", "IDA / 12345", "AB-UNIT-124-GO-RFQ / Vans"]
+
+
+def test_folds_are_whole_projects(spark):
+    import zlib
+
+    df = spark.createDataFrame([(f"P{i}",) for i in range(40)], "project_id string")
+    assert all(r.f == zlib.crc32(r.project_id.encode()) % 5 for r in df.select("project_id", E.folds(F.col("project_id")).alias("f")).collect())

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomwork import __main__ as command
-from loomwork.sources import fetching, runs, working
+from loomwork.sources import fetching, readers, runs, working
 
 
 def listing(n, total=None):
@@ -106,3 +106,24 @@ def test_working_tables_are_written_once(spark):
 
 def test_command_line(capsys):
     assert command.main(["list"]) == 0 and "package_status" in capsys.readouterr().out
+
+
+def test_label_files(spark, tmp_path):
+    (tmp_path / "roads.csv").write_text('roads_id,roads_name,definition,active,family\nr1,Roads,"all  of\nthem",TRUE,climate\nr2,Paths,few,false,\n')
+    (tmp_path / "roads_patterns.csv").write_text("label_id,pattern_id,pattern,flags,active\nr1,w1,\\broads?\\b,,true\nr1,w2,UPS,CASE_SENSITIVE,true\nr1,w3,x,,false\n")
+    (tmp_path / "bad_patterns.csv").write_text("label_id,pattern_id,pattern,flags,active\nr1,w1,(,,true\n")
+    got = [tuple(r) for r in readers.load_set(spark, str(tmp_path), "roads").orderBy("label_id").collect()]
+    assert got == [("r1", "Roads", "all of them", True, "climate", "roads"), ("r2", "Paths", "few", False, "", "roads")]
+    assert [(r.pattern_id, r.case_sensitive) for r in readers.load_patterns(spark, str(tmp_path), "roads").orderBy("pattern_id").collect()] == [("w1", False), ("w2", True)]
+    assert readers.load_types(spark, str(tmp_path), "roads").count() == 0 and readers.load_patterns(spark, str(tmp_path), "none").count() == 0
+    with pytest.raises(ValueError):
+        readers.load_patterns(spark, str(tmp_path), "bad")
+
+
+def test_views_are_made_in_order_and_a_failure_is_named(spark):
+    panel = readers.Panel({"floor.default": "0.8"})
+    files = {"02_b.sql": "CREATE OR REPLACE TEMP VIEW b_view AS SELECT x + 1 AS y FROM a_view;\n", "01_a.sql": "-- first\nCREATE OR REPLACE TEMP VIEW a_view AS SELECT {{panel:floor.default}} AS x;\n"}
+    assert readers.apply_views(spark, panel, files) == ["01_a.sql", "02_b.sql"]
+    assert float(spark.table("b_view").first()["y"]) == 1.8
+    with pytest.raises(RuntimeError, match="03_c"):
+        readers.apply_views(spark, panel, {"03_c.sql": "SELECT * FROM no_such_table"})
