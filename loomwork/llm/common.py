@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 _OWN_DIR: list[str] = []
 _made = threading.local()
+#: Bytes of an Arrow batch while a working table is written, for executors with little memory.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,11 +43,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """`df` written as Parquet in the shared folder and read back.
 
     Cuts the lineage: a lost executor costs its running tasks, never the steps before; and whatever was
-    not deterministic in `df` (row ids, partition ids) is fixed from here on.
+    not deterministic in `df` (row ids, partition ids) is fixed from here on. While it is written, Arrow batches
+    are bounded to BATCH_BYTES; the session's own bound stands again afterwards.
     """
     spark, schema = df.sparkSession, df.schema
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(BATCH_SETTING, None)
+    spark.conf.set(BATCH_SETTING, BATCH_BYTES)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(BATCH_SETTING) if before is None else spark.conf.set(BATCH_SETTING, before)
     _tables().append(path)
     out = spark.read.schema(schema).parquet(path)
     out._own_path = path
@@ -107,14 +115,19 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
             yield b.slice(at, rows)
 
 
-def texts_of(batch: pa.RecordBatch, name: str) -> list[str]:
-    """Column `name` as str; null is the empty text."""
-    return [x or "" for x in batch.column(name).to_pylist()]
+def texts_of(batch: pa.RecordBatch, *path: str) -> list[str]:
+    """A column, or a field of a struct, as str; null is the empty text."""
+    return [x or "" for x in _at(batch, path).to_pylist()]
 
 
-def bytes_of(batch: pa.RecordBatch, name: str) -> list[bytes]:
-    """Column `name` as UTF-8 bytes without decoding; null is empty."""
-    return [x or b"" for x in batch.column(name).cast(pa.binary()).to_pylist()]
+def bytes_of(batch: pa.RecordBatch, *path: str) -> list[bytes]:
+    """A column, or a field of a struct, as UTF-8 bytes without decoding; null is empty."""
+    return [x or b"" for x in _at(batch, path).cast(pa.binary()).to_pylist()]
+
+
+def _at(batch: pa.RecordBatch, path: tuple[str, ...]) -> pa.Array:
+    column = batch.column(path[0])
+    return column if len(path) == 1 else column.flatten()[column.type.get_field_index(path[1])]
 
 
 def runs(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

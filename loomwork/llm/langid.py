@@ -181,11 +181,12 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)  # its size depends on the number of features and languages alone
     first = col(id_col).alias("doc_id") if keep is None else F.struct(*[col(c) for c in keep]).alias("row")
-    own = docs.select(first, col(text_col).alias("text"))
+    inside = keep is not None and text_col in keep  # the text goes along once
+    own = docs.select(first, *([] if inside else [col(text_col).alias("text")]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            got = [shared.value.predict(t) for t in texts_of(b, "text")]
+            got = [shared.value.predict(t) for t in texts_of(b, *(("row", text_col) if inside else ("text",)))]
             yield pa.record_batch([b.column(0), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], [b.schema.names[0], "lang_pred", "score"])
 
     return own.mapInArrow(run, T.StructType([own.schema.fields[0], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))

@@ -448,7 +448,7 @@ def near_duplicates(docs: DataFrame, plan: Plan = EXACT, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             fp, short, long = [], [], []
-            for t in bytes_of(b, "text"):
+            for t in bytes_of(b, *(("row", text_col) if inside else ("text",))):
                 hashes = _hashes(t, plan)
                 fp.append(_fingerprint(hashes, plan))
                 short.append(hashes.tobytes() if 0 < len(hashes) <= most else None)
@@ -456,7 +456,8 @@ def near_duplicates(docs: DataFrame, plan: Plan = EXACT, id_col: str = "doc_id",
             new = [pa.array(fp, pa.binary()), *([pa.array(short, pa.binary()), pa.array(long, pa.bool_())] if wide else [])]
             yield pa.record_batch([*(c for c, f in zip(b.columns, b.schema.names, strict=True) if f in kept), *new], [*kept, *added])
 
-    own = docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text"), *([F.struct(*[col(c) for c in names]).alias("row")] if names else []))
+    inside = text_col in names  # the text goes along once
+    own = docs.select(col(id_col).alias("doc_id"), *([] if inside else [col(text_col).alias("text")]), *([F.struct(*[col(c) for c in names]).alias("row")] if names else []))
     made = own.mapInArrow(run, T.StructType([*(f for f in own.schema if f.name in kept), *(T.StructField(x, T.BooleanType() if x == "long" else T.BinaryType()) for x in added)]))
     rows = written(made.withColumn("rid", F.monotonically_increasing_id()), "simhash")
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("rid").alias("rid"))
