@@ -48,7 +48,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark, schema = df.sparkSession, df.schema
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(BATCH_SETTING, None)
+    before = spark.conf.getAll.get(BATCH_SETTING)  # as it was set, if it was
     spark.conf.set(BATCH_SETTING, BATCH_BYTES)
     try:
         df.write.parquet(path)
