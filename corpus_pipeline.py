@@ -8,6 +8,7 @@ link by a similarity of five-word shingles of 0.8 or more the one with the small
 keeps what it takes of each source: a document that it takes in part counts as taken, and one that it takes
 more than once stands as often. The last stage packs what is left into sequences of at most 4096 tokens.
 Null ids, repeated rows and further columns pass through; an empty table gives an empty result at each stage.
+The pipeline is an application: unless its session has a bound for the bytes of Arrow batches, it sets one.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwork.llm import langid, mixing, packing, radix, simhash
-from loomwork.llm.common import made, made_since, read_table, release, written
+from loomwork.llm.common import BATCH_BYTES, BATCH_SETTING, made, made_since, read_table, release, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 #: Of each thread, the working tables of its run's stages before, which a stage deletes as soon as its own input does not read them.
@@ -34,6 +35,8 @@ def staged(first: bool = False) -> Callable[[Stage], Stage]:
     def wrap(stage: Stage) -> Stage:
         @functools.wraps(stage)
         def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+            if BATCH_SETTING not in spark.conf.getAll:  # whole documents pass through Python: a bound for executors with little memory
+                spark.conf.set(BATCH_SETTING, BATCH_BYTES)
             left = [] if first else release(spark, getattr(_left, "tables", []), docs)
             before = made()
             out = stage(spark, docs, sf_dir)
