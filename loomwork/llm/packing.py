@@ -17,7 +17,7 @@ from __future__ import annotations
 import sys
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +35,23 @@ EOT = 1
 GROUPS = 40
 LARGE = 1 / 8
 assert sys.byteorder == "little" and array("I").itemsize == 4  # the ids' bytes are those of the machine
-#: Distinct words whose ids a worker keeps; beyond it starts anew.
+#: Distinct words whose ids a task keeps; beyond them and a text's own it starts anew.
 WORDS_KEPT = 400_000
 RANGE_ROWS = 50_000
 
 
+class _Known(dict):
+    """What `make` gives for a key, worked out once."""
+
+    def __init__(self, make: Callable[[bytes], bytes]):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key: bytes) -> bytes:
+        ids = self[key] = self.make(key)
+        return ids
+
+
 class WordIds:
     """Ids of whole texts as little-endian uint32 bytes.
 
@@ -54,49 +66,40 @@ class WordIds:
     def __init__(self, path: str):
         tokenizer = Tokenizer.from_file(path)
         self.encode, self.merge = tokenizer.encode, tokenizer.model.tokenize
-        self.words: dict[bytes, bytes] = {}
-        self.runs: dict[str, bytes] = {}
+        self.words, self.runs = _Known(self._word), _Known(self._run)
         # The model's bytes as characters: printable Latin-1 ones stand for themselves, the rest from U+0100 on.
         own = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in own]
         self.chars = {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
-    def _run(self, run: str) -> bytes:
-        text = run if run.isascii() else "".join(map(self.chars.__getitem__, run.encode()))
-        ids = self.runs[run] = array("I", [t.id for t in self.merge(text)]).tobytes()
-        return ids
-
-    def _add(self, new: set[bytes]) -> None:
-        if len(self.runs) > WORDS_KEPT:
-            self.runs.clear()
-        get, run, words = self.runs.get, self._run, self.words
-        for word in new:
-            text = word.decode("utf-8")
-            if not text.isprintable() or not (text.isascii() or max(text) < "\u0250") or "<|" in text:
-                words[word] = array("I", self.encode(text, add_special_tokens=False).ids).tobytes()
-                continue
-            low = text.lower()
-            if low.isalpha():
-                words[word] = get(low) or run(low)
-            elif low[-1] in ".,;:!?" and low[:-1].isalpha():
-                words[word] = (get(low[:-1]) or run(low[:-1])) + (get(low[-1]) or run(low[-1]))
-            else:
-                words[word] = b"".join([get(r) or run(r) for r in self.RUNS.findall(low)])
+    def _run(self, run: bytes) -> bytes:
+        text = run.decode("ascii") if run.isascii() else "".join(map(self.chars.__getitem__, run))
+        return array("I", [t.id for t in self.merge(text)]).tobytes()
+
+    def _word(self, word: bytes) -> bytes:
+        if word.isalpha():  # of bytes: A to Z alone
+            return self.runs[word.lower()]
+        if word[-1] in b".,;:!?" and word[:-1].isalpha():
+            return self.runs[word[:-1].lower()] + self.runs[word[-1:]]
+        text = word.decode("utf-8")
+        if not text.isprintable() or not (text.isascii() or max(text) < "\u0250") or "<|" in text:
+            return array("I", self.encode(text, add_special_tokens=False).ids).tobytes()
+        low = text.lower()
+        if low.isalpha():
+            return self.runs[low.encode()]
+        if low[-1] in ".,;:!?" and low[:-1].isalpha():
+            return self.runs[low[:-1].encode()] + self.runs[low[-1].encode()]
+        return b"".join([self.runs[r.encode()] for r in self.RUNS.findall(low)])
 
     def batch(self, texts: list[bytes]) -> Iterator[bytes]:
         """The ids of each text."""
-        for at in range(0, len(texts), 64):
-            words = [t.split() for t in texts[at : at + 64]]
-            wanted = set().union(*words)
-            new = wanted.difference(self.words)
-            if len(self.words) + len(new) > WORDS_KEPT:
+        get = self.words.__getitem__
+        for text in texts:
+            yield b"".join(map(get, text.split()))
+            if len(self.words) > WORDS_KEPT:
                 self.words.clear()
-                new = wanted
-            if new:
-                self._add(new)
-            get = self.words.__getitem__
-            for w in words:
-                yield b"".join(map(get, w))
+            if len(self.runs) > WORDS_KEPT:
+                self.runs.clear()
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = EOT, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
