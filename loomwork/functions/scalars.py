@@ -6,7 +6,6 @@ Patterns that must treat letters, digits, spaces and case as Unicode does carry
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F

@@ -60,7 +60,7 @@ def repeated_lines(lines: DataFrame, share: float = 0.3, least: int = 3) -> Data
 
 #: Fixed patterns: what tells a citation and its source, verbs, what a commitment says, and a title's number; words that a title leaves small.
 CITATION = r"(?iU)\b(?:19|20)\d\d[a-z]?\b|\[link\]|\bhttps?:|www\."
-SOURCE = r"\b(?:Report|Paper|Profile|Database|Portal|Note|Study|Brief|Review|Survey|Outlook|Index|Series|Washington|Retrieved|Available|accessed|et al|Journal|Working|ITU|GSMA|OECD|World Bank|Bank)\b"
+SOURCE = r"\b(?:Report|Paper|Profile|Database|Portal|Note|Study|Brief|Review|Survey|Outlook|Index|Series|Washington|Retrieved|Available|accessed|et al|Journal|Working|ITU|GSMA|OECD|Bank)\b"
 VERB = r"(?i)\b(?:will|shall|would|should|must|is|are|was|were|be|been|being|has|have|had|can|could|may|might|do|does|did)\b"
 FIRM = r"(?i)\b(?:will|shall)\b"
 NUMBERED = r"^(?:\d+(?:\.\d+)*\.?|\(?[ivxlc]+\)|\(?[a-z]\)|[A-Z]\.)\s"

@@ -246,7 +246,7 @@ def project_folds(t):
 #: Units with why they are left out, by hand: text, kind, whether there is a lead-in, reason.
 LEFT_OUT = (
     ("towers and masts;", "sentence", False, "fragment"), ("(b) towers;", "sentence", True, ""), ("Project Risk Assessment and Mitigation", "sentence", False, "fragment"), ("14. Project Risk Assessment and Mitigation.", "sentence", False, "fragment"), ("The project will build it", "sentence", False, ""), ("Farmers in five towns grew more maize in the year.", "sentence", False, ""),
-    ("World Bank 2019", "footnote", False, "reference"), ("World Development Report 2019 of the World Bank says that growth is slow", "footnote", False, "reference"), ("This will be paid by the state", "footnote", False, ""), ("Prices in the five towns are those of the last year and were taken from the books.", "footnote", False, ""),
+    ("State Bank 2019", "footnote", False, "reference"), ("Development Report 2019 of the Bank says that growth is slow", "footnote", False, "reference"), ("This will be paid by the state", "footnote", False, ""), ("Prices in the five towns are those of the last year and were taken from the books.", "footnote", False, ""),
 )
 ROWS = (("Actions — the project will build roads and bridges in five towns and train all of the staff who run them", True), ("Costs — 12 13 14 15 16 17 18 19 20 21 22 23 24 25 26", False), ("the ministry and the towns of the region with roads and bridges and schools and clinics too", False), ("", False))
 
