@@ -44,7 +44,7 @@ def status_order(spark: SparkSession) -> DataFrame:
 
 def settings_row(spark: SparkSession, s: Settings) -> DataFrame:
     """The settings as a table of one row."""
-    return spark.createDataFrame([(s.min_probability, list(s.link_levels), s.ipf_only, s.package_link_min, s.near_copy_share, s.apply_pair_checks, s.pair_check_floor)], "commitment_min_probability double, commitment_link_levels array<string>, ipf_only boolean, package_link_min_probability double, near_copy_share double, apply_measure_pair_checks boolean, pair_check_floor double")
+    return spark.createDataFrame([(s.min_probability, list(s.link_levels), s.ipf_only, s.package_link_min, s.near_copy_share, s.apply_pair_checks, s.pair_check_floor, s.asset_yes, s.shingle_words)], "commitment_min_probability double, commitment_link_levels array<string>, ipf_only boolean, package_link_min_probability double, near_copy_share double, apply_measure_pair_checks boolean, pair_check_floor double, asset_yes double, shingle_words int")
 
 
 # Packages
