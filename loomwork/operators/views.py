@@ -246,13 +246,15 @@ def dropped_by_restructuring(units: DataFrame, components: DataFrame, documents:
     return out.select("commitment_id", "unit_id", F.when(F.coalesce("component_key", F.lit("")) != "", F.coalesce("hit", F.lit(False))).alias("dropped"))
 
 
-def commitments(units: DataFrame, documents: DataFrame, overlap: DataFrame, dropped: DataFrame, package_links: DataFrame, info: DataFrame, own_components: DataFrame, own_assets: DataFrame, labels: DataFrame, types: DataFrame) -> DataFrame:
-    """One row for each commitment: project x asset x measure x type."""
-    u = units.join(documents.select("document_id", "disclosure_date"), "document_id", "left").join(overlap.select("unit_id", "project_id", "near_copy_projects"), ["unit_id", "project_id"], "left").join(dropped.distinct(), ["commitment_id", "unit_id"], "left")
+def commitments(units: DataFrame, documents: DataFrame, overlap: DataFrame | None, dropped: DataFrame, package_links: DataFrame, info: DataFrame, own_components: DataFrame, own_assets: DataFrame, labels: DataFrame, types: DataFrame) -> DataFrame:
+    """One row for each commitment: project x asset x measure x type. Without `overlap`, which is dear, same_wording_projects is null: for counts that don't read it."""
+    near = units.withColumn("near_copy_projects", F.lit(None).cast("bigint")) if overlap is None else units.join(overlap.select("unit_id", "project_id", "near_copy_projects"), ["unit_id", "project_id"], "left")
+    none = F.lit(None).cast("bigint") if overlap is None else F.lit(0)
+    u = near.join(documents.select("document_id", "disclosure_date"), "document_id", "left").join(dropped.distinct(), ["commitment_id", "unit_id"], "left")
     part = F.nullif(F.coalesce(F.nullif(F.col("subcomponent_number"), F.lit("")), F.col("component_number")), F.lit(""))
     c = u.groupBy("commitment_id", "project_id", "label_set", "asset_id", "type_id").agg(
         F.when(F.bool_or(F.col("asset_from") == "sentence"), "sentence").otherwise(F.min("asset_from")).alias("asset_from"), R.distinct_text(part).alias("components"), F.countDistinct("wording").alias("sentences"), F.countDistinct("paragraph_id").alias("paragraphs"), F.countDistinct("document_id").alias("documents"),
-        F.max("probability").alias("strongest_p"), F.bool_and("dropped").alias("dropped_by_restructuring"), F.min("disclosure_date").alias("first_seen_date"), F.coalesce(F.max("near_copy_projects"), F.lit(0)).alias("same_wording_projects"),
+        F.max("probability").alias("strongest_p"), F.bool_and("dropped").alias("dropped_by_restructuring"), F.min("disclosure_date").alias("first_seen_date"), F.coalesce(F.max("near_copy_projects"), none).alias("same_wording_projects"),
     )
     rank = F.coalesce(F.array_position(F.array(*[F.lit(x) for x in STATUS_ORDER]), F.col("package_status")), F.lit(0))
     p = package_links.groupBy("commitment_id").agg(F.count("*").alias("linked_packages"), R.first_by("package_status", F.when(rank == 0, 999).otherwise(rank), F.col("package_id")).alias("status"), F.min("next_date").alias("next_date"), F.sum("estimated_amount_usd").alias("linked_package_estimate_usd"), F.count("estimated_amount_usd").alias("linked_packages_with_estimate"))
